@@ -1,0 +1 @@
+"""Intentionally empty: all jobs are monthly batches, there is no stream to process."""
