@@ -45,27 +45,26 @@ def csv_alias_list(text: Column, prefix: str = LABEL_PREFIX) -> Column:
     return F.concat(F.lit(" "), csv_join(aliased))
 
 
-def _literal_pattern(separator: str) -> str:
+def literal_pattern(separator: str) -> str:
+    """``separator`` as a pattern for `split`; one character stays clear of the regex engine."""
+    if len(separator) == 1:
+        return separator if separator.isalnum() else "\\" + separator
     return "\\Q" + separator + "\\E"
 
 
 def str_map(text: Column, pair_separator: str = ",", key_separator: str = ":") -> Column:
     """``a:1,b:2`` as a map. A repeated key keeps its last value; an item that is no pair is an error."""
-    pairs = F.transform(
-        F.split(text, _literal_pattern(pair_separator)),
-        lambda item: F.split(item, _literal_pattern(key_separator)),
-    )
-    well_formed = F.forall(pairs, lambda pair: F.size(pair) == 2)
-    last_of_key = F.filter(
-        pairs,
-        lambda pair, i: ~F.exists(
-            F.slice(pairs, i + 2, F.size(pairs)), lambda later: later[0] == pair[0]
-        ),
-    )
-    entries = F.transform(last_of_key, lambda pair: F.struct(pair[0].alias("key"), pair[1].alias("value")))
-    return F.when(text.isNull(), F.lit(None)).when(well_formed, F.map_from_entries(entries)).otherwise(
-        F.raise_error(F.concat(F.lit("not a list of pairs: "), text)).cast("map<string,string>")
-    )
+    empty = F.create_map().cast("map<string,string>")
+
+    def put(seen: Column, pair: Column) -> Column:
+        key, value = pair[0], pair[1]
+        others = F.map_filter(seen, lambda k, _: k != key)
+        bad = F.raise_error(F.concat(F.lit("not a pair: "), F.array_join(pair, key_separator))).cast("map<string,string>")
+        return F.when(F.size(pair) == 2, F.map_concat(others, F.create_map(key, value))).otherwise(bad)
+
+    items = F.split(text, literal_pattern(pair_separator))
+    pairs = F.transform(items, lambda item: F.split(item, literal_pattern(key_separator)))
+    return F.aggregate(pairs, empty, put)
 
 
 def template_fill(text: Column, params: Mapping[str, Column | str]) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.functions.text import LABEL_PREFIX
+from tagloom.functions.text import LABEL_PREFIX, literal_pattern
 from tagloom.operators.tags import multi_hot_columns, tokens
 
 
@@ -23,7 +23,7 @@ def collect_distinct(df: DataFrame, key: str, value: str, separator: str = ",")
 
 def explode_members(df: DataFrame, list_column: str, value: str, separator: str = ",") -> DataFrame:
     """One ``(list_column, value)`` row per item of a delimited list; empty items are kept."""
-    items = F.split(F.col(list_column), "\\Q" + separator + "\\E")
+    items = F.split(F.col(list_column), literal_pattern(separator))
     return df.select(F.explode(items).alias(list_column), F.col(value).cast("string").alias(value))
 
 

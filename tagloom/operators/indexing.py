@@ -2,16 +2,29 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 256
+MIN_BUCKETS, MAX_BUCKETS = 16, 4096
 
 
-def global_positions(df: DataFrame, order: Sequence[str], buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def default_buckets(spark: SparkSession) -> int:
+    return max(MIN_BUCKETS, min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS))
+
+
+def _bucket(cuts: Column, row: Column, step: int) -> Column:
+    """How many of the sorted cuts are not after ``row``: find the block of ``step`` cuts, then count in it."""
+    block = F.size(F.filter(cuts, lambda cut, i: (i % step == 0) & (cut <= row)))
+    heads = (block - 1) * step
+    inside = F.size(F.filter(F.slice(cuts, heads + 1, F.lit(step)), lambda cut: cut <= row))
+    return F.when(block == 0, F.lit(0)).otherwise(heads + inside)
+
+
+def global_positions(df: DataFrame, order: Sequence[str], buckets: int | None = None) -> DataFrame:
     """The distinct rows of ``df`` with ``copies``, ``start`` and ``total``.
 
     Sorted by ``order`` and then by the other columns, a row's copies take the positions ``start`` to
@@ -22,6 +35,7 @@ def global_positions(df: DataFrame, order: Sequence[str], buckets: int = DEFAULT
     smallest hashes, the same however often a task is retried. Only one row per bucket meets in one
     place, to turn the bucket sizes into offsets.
     """
+    buckets = buckets or default_buckets(df.sparkSession)
     columns = [*order, *[c for c in df.columns if c not in order]]
     rows = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies")).withColumn("_row", F.struct(*columns))
     # Every branch below uses the counts, so all of them read one and the same shuffle of the rows.
@@ -32,8 +46,8 @@ def global_positions(df: DataFrame, order: Sequence[str], buckets: int = DEFAULT
         .limit(buckets)
         .agg(F.sort_array(F.collect_list("_row")).alias("cuts"))
     ).scalar()
-    bucket = F.size(F.filter(F.col("_cuts"), lambda cut: cut <= F.col("_row")))
-    rows = rows.withColumn("_cuts", cuts).withColumn("_bucket", bucket).drop("_cuts")
+    step = max(1, math.isqrt(buckets))
+    rows = rows.withColumn("_cuts", cuts).withColumn("_bucket", _bucket(F.col("_cuts"), F.col("_row"), step)).drop("_cuts")
     sizes = rows.groupBy("_bucket").agg(F.sum("copies").alias("_size"))  # at most buckets + 1 rows
     ends = W.orderBy("_bucket")
     offsets = sizes.select(
