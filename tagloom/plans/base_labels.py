@@ -6,13 +6,13 @@ from collections.abc import Callable, Collection, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.operators.joins import Salt, join_tags
 from tagloom.operators.rules import Rule, RuleError
 from tagloom.operators.tags import tag_source
-from tagloom.sinks.runlog import COMPLETE, FAILED
+from tagloom.sinks.period import save_period
+from tagloom.sinks.runlog import COMPLETE, FAILED, STARTED, RunLog
 from tagloom.sources.catalog import label_tasks, read_rules, screen_tasks
 from tagloom.sources.tables import period_scan
 
@@ -83,4 +83,16 @@ def base_labels(
         raise ValueError(f"main source {main!r} could not be labelled: {statuses}")
     main_tags = labelled.pop(main)
     salt = Salt.of(main_tags, "id") if salted and labelled else None
-    return BaseLabels(join_tags(main_tags, labelled, salt, unique).select("id", F.col("labels")), statuses)
+    return BaseLabels(join_tags(main_tags, labelled, salt, unique), statuses)
+
+
+def run_base_labels(
+    spark: SparkSession, catalog: str, target: str, log: RunLog, period: str, **options
+) -> BaseLabels:
+    """The whole monthly job on catalog tables: label, join, save the period, write the run log."""
+    plan = base_labels(spark.read.table, spark.read.table(catalog), period, **options)
+    for source in plan.statuses:
+        log.append(source.source, period, [(STARTED, "start"), (source.status, source.result)])
+    with log.run(target, period):
+        save_period(plan.labels, target, period)
+    return plan

@@ -7,7 +7,9 @@ A run is ``(job_id, job_name, job_period)``. It starts with status 0 and ends wi
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+import traceback
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,17 +26,33 @@ EVENT_SCHEMA = (
 )
 
 
-def run_event(
-    job_id: str, job_name: str, job_period: str, event_time: dt.datetime, event_id: int,
-    status: str, result: str, job_desc: str = "", project: str = "",
-) -> tuple:
-    return (job_id, job_name, job_desc, job_period, project, event_time, event_id, status, result)
+class RunLog:
+    """Writes run events of this Spark application to a catalog table."""
 
+    def __init__(self, spark: SparkSession, table: str, project: str = "", file_format: str = "orc") -> None:
+        self.spark, self.table, self.project, self.file_format = spark, table, project, file_format
+        self.job_id = spark.sparkContext.applicationId
 
-def append_run_events(spark: SparkSession, table: str, events: Iterable[tuple], file_format: str = "orc") -> None:
-    spark.createDataFrame(list(events), EVENT_SCHEMA).coalesce(1).write.format(file_format).mode(
-        "append"
-    ).saveAsTable(table)
+    def append(self, job_name: str, job_period: str, changes: Iterable[tuple[str, str]], job_desc: str = "") -> None:
+        """Append ``(status, result)`` changes of one run, in their order."""
+        now = dt.datetime.now(dt.UTC).replace(tzinfo=None)
+        events = [
+            (self.job_id, job_name, job_desc, job_period, self.project, now, int(status), status, result)
+            for status, result in changes
+        ]
+        rows = self.spark.createDataFrame(events, EVENT_SCHEMA).coalesce(1)
+        rows.write.format(self.file_format).mode("append").saveAsTable(self.table)
+
+    @contextmanager
+    def run(self, job_name: str, job_period: str, job_desc: str = "") -> Iterator[None]:
+        """Log the start of a run and its end, complete or failed with the error; the error goes on."""
+        self.append(job_name, job_period, [(STARTED, "start")], job_desc)
+        try:
+            yield
+        except Exception:
+            self.append(job_name, job_period, [(FAILED, traceback.format_exc())], job_desc)
+            raise
+        self.append(job_name, job_period, [(COMPLETE, "complete")], job_desc)
 
 
 def run_log_latest(events: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from tagloom.functions import dates, text
 from tagloom.operators import aggregates, documents, rules, tags
 from tagloom.plans import base_labels as labels_plan
 from tagloom.plans import doc_update, resident, station_report, user_markets
+from tagloom.settings import apply_settings
 from tagloom.sinks import keyvalue, period, relational, runlog
 from tagloom.sinks.scratch import shared_database
 from tagloom.sources import catalog, tables
@@ -26,8 +28,12 @@ CAMPAIGN_SINCE = user_markets.window_start(s.PERIOD, 300, dt.date(2024, 2, 1))
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__.rstrip("_")] = fn
-    return fn
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(apply_settings(spark), sf_dir)
+
+    QUERIES[fn.__name__.rstrip("_")] = run
+    return run
 
 
 # Sources

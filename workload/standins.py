@@ -45,7 +45,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def rules_catalog(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(RULES, CATALOG_SCHEMA)
+    return spark.createDataFrame(RULES, CATALOG_SCHEMA).coalesce(1)
 
 
 def event_key(props: str = "props"):
@@ -224,31 +224,30 @@ def part_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Label documents of the users in credit; a user without profile label has no labels field."""
-    tags = profile_tags(spark, sf_dir).join(
-        user_profile(spark, sf_dir).where(F.col("acctbal") >= 0).select(F.col("user_id").alias("id")), "id", "left_semi"
-    )
-    return tags.select("id", F.nullif("labels", F.lit("")).alias("labels"))
+    in_credit = user_profile(spark, sf_dir).where(F.col("acctbal") >= 0)
+    return _tags(in_credit, "user_profile").select("id", F.nullif("labels", F.lit("")).alias("labels"))
 
 
-def profile_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tags(spark, sf_dir, "user_profile")
+def _rules(source: str) -> tuple[list[str], list[Rule]]:
+    rules = [Rule(*r) for r in RULES if r[2] == source]
+    return sorted({r.id for r in rules}), rules
 
 
-def activity_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tags(spark, sf_dir, "user_activity")
+def _tags(snapshot: DataFrame, source: str) -> DataFrame:
+    return tag_source(snapshot, *_rules(source), "user_id")
 
 
-def _tags(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+def profile_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _tags(user_profile(spark, sf_dir), "user_profile")
 
-    rules = [Rule(*r) for r in RULES if r[2] == source]
-    return tag_source(SOURCES[source](spark, sf_dir), sorted({r.id for r in rules}), rules, "user_id")
+
+def activity_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _tags(user_activity(spark, sf_dir), "user_activity")
 
 
 def gappy_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profile labels with an empty item for each label that does not apply, like ``101,,103,,``."""
-
-    rules = [Rule(*r) for r in RULES if r[2] == "user_profile"]
-    ids = sorted({r.id for r in rules})
+    ids, rules = _rules("user_profile")
     matrix = label_matrix(user_profile(spark, sf_dir), ids, rules, "user_id")
     items = [F.coalesce(F.col(f"label_{i}"), F.lit("")) for i in ids]
     return matrix.select("id", F.concat_ws(",", *items).alias("labels"))
