@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,12 +15,16 @@ def default_buckets(spark: SparkSession) -> int:
     return max(MIN_BUCKETS, min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS))
 
 
-def _bucket(cuts: Column, row: Column, step: int) -> Column:
-    """How many of the sorted cuts are not after ``row``: find the block of ``step`` cuts, then count in it."""
-    block = F.size(F.filter(cuts, lambda cut, i: (i % step == 0) & (cut <= row)))
-    heads = (block - 1) * step
-    inside = F.size(F.filter(F.slice(cuts, heads + 1, F.lit(step)), lambda cut: cut <= row))
-    return F.when(block == 0, F.lit(0)).otherwise(heads + inside)
+def _with_bucket(df: DataFrame, cuts: Column, columns: Sequence[str], count: int) -> DataFrame:
+    """Add ``_bucket``: how many of the at most ``count`` sorted cuts are not after the row.
+
+    A binary search, one projection per step, so that a step reads the result of the one before.
+    """
+    df = df.withColumn("_row", F.struct(*columns)).withColumn("_bucket", F.lit(0))
+    for step in (2**i for i in reversed(range(count.bit_length()))):
+        not_after = F.get(cuts, F.col("_bucket") + (step - 1)) <= F.col("_row")
+        df = df.withColumn("_bucket", F.col("_bucket") + F.when(not_after, step).otherwise(0))
+    return df.drop("_row")
 
 
 def global_positions(df: DataFrame, order: Sequence[str], buckets: int | None = None) -> DataFrame:
@@ -37,17 +40,16 @@ def global_positions(df: DataFrame, order: Sequence[str], buckets: int | None =
     """
     buckets = buckets or default_buckets(df.sparkSession)
     columns = [*order, *[c for c in df.columns if c not in order]]
-    rows = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies")).withColumn("_row", F.struct(*columns))
+    rows = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies"))
     # Every branch below uses the counts, so all of them read one and the same shuffle of the rows.
     cuts = (
         rows.where(F.col("copies") > 0)
-        .select("_row", F.xxhash64("_row").alias("_hash"))
+        .select(F.struct(*columns).alias("_row"), F.xxhash64(*columns).alias("_hash"))
         .orderBy("_hash")
         .limit(buckets)
         .agg(F.sort_array(F.collect_list("_row")).alias("cuts"))
     ).scalar()
-    step = max(1, math.isqrt(buckets))
-    rows = rows.withColumn("_cuts", cuts).withColumn("_bucket", _bucket(F.col("_cuts"), F.col("_row"), step)).drop("_cuts")
+    rows = _with_bucket(rows, cuts, columns, buckets)
     sizes = rows.groupBy("_bucket").agg(F.sum("copies").alias("_size"))  # at most buckets + 1 rows
     ends = W.orderBy("_bucket")
     offsets = sizes.select(
@@ -55,7 +57,7 @@ def global_positions(df: DataFrame, order: Sequence[str], buckets: int | None =
         (F.sum("_size").over(ends) - F.col("_size")).alias("_offset"),
         F.sum("_size").over(ends.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)).alias("total"),
     )
-    in_bucket = W.partitionBy("_bucket").orderBy("_row").rowsBetween(W.unboundedPreceding, W.currentRow)
+    in_bucket = W.partitionBy("_bucket").orderBy(*columns).rowsBetween(W.unboundedPreceding, W.currentRow)
     before = F.sum("copies").over(in_bucket) - F.col("copies")
     return (
         rows.withColumn("_before", before)
