@@ -64,27 +64,41 @@ def user_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Grouped by plain numbers and dates; texts are made of the few groups, not of all rows.
     return (
         table(spark, sf_dir, "events")
-        .groupBy(F.col("user_id").cast("string").alias("user_id"), F.date_format("ts", "yyyyMM").alias("month_id"))
+        .groupBy("user_id", F.trunc("ts", "month").alias("month"))
         .agg(
             F.count(F.lit(1)).alias("n_events"),
             F.count(F.when(F.col("event_type") == "purchase", 1)).alias("n_purchase"),
             F.max("value").alias("max_value"),
         )
+        .select(
+            F.col("user_id").cast("string").alias("user_id"),
+            "n_events",
+            "n_purchase",
+            "max_value",
+            F.date_format("month", "yyyyMM").alias("month_id"),
+        )
     )
 
 
 def user_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "orders")
-        .groupBy(F.col("o_custkey").cast("string").alias("user_id"))
+        .groupBy("o_custkey")
         .agg(
             F.count(F.lit(1)).alias("n_orders"),
             F.max("o_totalprice").alias("max_price"),
             F.max("o_orderpriority").alias("top_priority"),
         )
-        .withColumn("month_id", F.lit(PERIOD))
+        .select(
+            F.col("o_custkey").cast("string").alias("user_id"),
+            "n_orders",
+            "max_price",
+            "top_priority",
+            F.lit(PERIOD).alias("month_id"),
+        )
     )
 
 
@@ -134,11 +148,17 @@ def station_live(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "events")
         .select(
             event_key().alias("lac_ci"),
-            F.col("user_id").cast("string").alias("user_id"),
+            "user_id",
             F.when(hour.between(8, 19), "D").otherwise("N").alias("dn_flag"),
-            F.date_format("ts", "yyyyMM").alias("month_id"),
+            F.trunc("ts", "month").alias("month"),
         )
         .distinct()
+        .select(
+            "lac_ci",
+            F.col("user_id").cast("string").alias("user_id"),
+            "dn_flag",
+            F.date_format("month", "yyyyMM").alias("month_id"),
+        )
     )
 
 
@@ -152,8 +172,8 @@ def station_heat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _campaign():
-    return F.concat(F.lit("A"), F.date_format("o_orderdate", "yyyyMMdd"))
+def _campaign(day: str):
+    return F.concat(F.lit("A"), F.date_format(day, "yyyyMMdd")).alias("atid")
 
 
 def campaign_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,20 +182,22 @@ def campaign_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "orders")
         .select(
-            _campaign().alias("atid"),
             F.when(reached, "NOTERESSUC").otherwise("FAILED").alias("bstatus"),
             F.col("o_orderdate").cast("date").alias("send_time"),
         )
         .distinct()
+        .select(_campaign("send_time"), "bstatus", "send_time")
     )
 
 
 def campaign_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The users of a campaign in batches of at most 5000 neighbouring orders."""
+    users = F.transform("users", lambda user: user.cast("string"))
     return (
         table(spark, sf_dir, "orders")
-        .groupBy(_campaign().alias("atid"), F.floor(F.col("o_orderkey") / 5000).alias("batch_id"))
-        .agg(F.array_join(F.sort_array(F.collect_list(F.col("o_custkey").cast("string"))), ",").alias("userids"))
+        .groupBy(F.col("o_orderdate").cast("date").alias("day"), F.floor(F.col("o_orderkey") / 5000).alias("batch_id"))
+        .agg(F.collect_list("o_custkey").alias("users"))
+        .select(_campaign("day"), "batch_id", F.array_join(F.sort_array(users), ",").alias("userids"))
     )
 
 
