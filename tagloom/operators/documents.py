@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.operators.joins import count_repeats
 from tagloom.operators.tags import tokens
 
 
@@ -77,14 +78,13 @@ def labels_append(state: DataFrame, delta: DataFrame) -> DataFrame:
     """Append each delta text to its document, without looking for repeats.
 
     A document without labels field stays as it is, a missing document is inserted, an empty delta
-    changes nothing. Several deltas of an id are appended in text order; all of them end up in the one
-    document, so the document itself is the only bound on their number.
+    changes nothing. Several deltas of an id are appended in text order; equal ones are counted before
+    the shuffle and written out only in the document, which has to hold them all.
     """
-    by_id = (
-        delta.where(F.col("labels") != "")
-        .groupBy("id")
-        .agg(F.array_join(F.sort_array(F.collect_list("labels")), ",").alias("delta"))
-    )
+    counted = count_repeats(delta.where(F.col("labels") != "").select("id", "labels"), "copies")
+    texts = F.sort_array(F.collect_list(F.struct("labels", "copies")))
+    repeated = F.flatten(F.transform("texts", lambda t: F.array_repeat(t["labels"], t["copies"].cast("int"))))
+    by_id = counted.groupBy("id").agg(texts.alias("texts")).select("id", F.array_join(repeated, ",").alias("delta"))
     return _merge(state, by_id, F.concat_ws(",", "labels", "delta"))
 
 

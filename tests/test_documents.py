@@ -22,6 +22,12 @@ def test_append_is_repeatable_only_as_add(spark, rows, state):
     assert rows(added)[0] == ("1", "38,138")
 
 
+def test_several_deltas_of_one_document(spark, rows, state):
+    delta = spark.createDataFrame([("2", "7"), ("2", "5,6"), ("2", "7"), ("9", "1"), ("9", "1")], LABELS)
+    got = rows(d.labels_append(state, delta))
+    assert ("2", "138,5,6,7,7") in got and ("9", "1,1") in got
+
+
 def test_add_to_empty_document(spark, rows, state):
     delta = spark.createDataFrame([("4", "2,1"), ("4", "1")], LABELS)
     assert ("4", "1,2") in rows(d.labels_add(state, delta))
