@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,13 +10,9 @@ from pyspark.sql import SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder below the one the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session, whose tasks all see the driver's disk, may do without that setting.
+    Without that setting it lies below the warehouse, which the driver and all executors share too.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="tagloom-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
     return f"{base.rstrip('/')}/tagloom-{uuid.uuid4().hex}"
 
 
