@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
+from tagloom.llm.bpe import bpe_round_trip
 from tagloom.llm.common import table
 from tagloom.llm.exact_dedup import exact_dedup
 from tagloom.llm.line_dedup import line_dedup
@@ -72,3 +74,15 @@ SQL["op10_line_dedup"] = r"""
     select doc_id, count(*) n_lines, count(case when dropped then 1 end) n_dropped,
            sha256(coalesce(string_agg(case when not dropped then line end, chr(10) order by pos), '')) kept_sha256
     from marked group by doc_id"""
+
+
+@query
+def op6_bpe(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    coded = bpe_round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
