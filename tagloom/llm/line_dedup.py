@@ -7,7 +7,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import SPACES, let, same
+from tagloom.llm.common import SPACES, let, same, settled
 
 MIN_CHARS, MIN_DOCUMENTS = 20, 3
 
@@ -89,7 +89,8 @@ def line_dedup(
     """
     text = F.coalesce(F.col(text_column), F.lit(""))
     work = docs.withColumn("_mark", F.xxhash64(F.col(id_column), text))
-    shared = shared_lines(docs, id_column, text_column, min_chars, min_documents)
+    # Written, as adaptive execution splits a hot line's partition only if both sides come from a shuffle.
+    shared = settled(shared_lines(docs, id_column, text_column, min_chars, min_documents))
     positions = (
         work.select(
             F.col(id_column).alias("_id"), "_mark", F.posexplode(F.transform(lines_of(text), line_key)).alias("_pos", "_key")
