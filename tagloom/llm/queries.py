@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tagloom.llm.bpe import bpe_round_trip
 from tagloom.llm.common import table
 from tagloom.llm.exact_dedup import exact_dedup
+from tagloom.llm.fingerprints import fingerprint_chain
 from tagloom.llm.html_text import extract_main_text
 from tagloom.llm.line_dedup import line_dedup
 from tagloom.llm.mixing import mixing_plan
@@ -93,3 +94,8 @@ def op6_bpe(spark, sf):
 def op9_html_text(spark, sf):
     pages = extract_main_text(table(spark, sf, "pages"))
     return pages.select("page_id", "url", F.col("main_text").alias("text"), F.char_length("main_text").cast("long").alias("n_chars"))
+
+
+@query
+def op4_fingerprints(spark, sf):
+    return fingerprint_chain(table(spark, sf, "documents"))
