@@ -61,10 +61,12 @@ def build_index(rows: DataFrame, texts: DataFrame, capacity: int = CAPACITY) ->
     slots, depth = directory(entries, capacity)
     slots = settled(slots.coalesce(1))
     repeated = entries.where(F.col("_size") > 1).select("_key").hint("shuffle_hash")  # keys only; the texts stream by
+    # By the text alone, not by key and text: that needs a shuffle of its own, after copies were counted and
+    # after a hot key's partition of the join was split.
     chains = (
         texts.join(repeated, "_key", "left_semi")
-        .groupBy("_key", "_text")
-        .agg(F.min("_id").alias("_keep"), F.count(F.lit(1)).alias("_size"))
+        .groupBy("_text")
+        .agg(F.min("_key").alias("_key"), F.min("_id").alias("_keep"), F.count(F.lit(1)).alias("_size"))
         .select("_key", "_size", "_keep", F.sha2("_text", 256).alias("_sha"))
     )
     links = entries.where(F.col("_size") == 1).select("_key", "_size", "_keep", "_sha").unionByName(chains)
