@@ -10,6 +10,7 @@ from tagloom.llm.common import table
 from tagloom.llm.exact_dedup import exact_dedup
 from tagloom.llm.fingerprints import fingerprint_chain
 from tagloom.llm.html_text import extract_main_text
+from tagloom.llm.language import fit_language_model, held_out, predict_language
 from tagloom.llm.line_dedup import line_dedup
 from tagloom.llm.mixing import mixing_plan
 
@@ -99,3 +100,11 @@ def op9_html_text(spark, sf):
 @query
 def op4_fingerprints(spark, sf):
     return fingerprint_chain(table(spark, sf, "documents"))
+
+
+@query
+def op2_language_id(spark, sf):
+    docs = table(spark, sf, "documents")
+    network = fit_language_model(docs)
+    out = predict_language(docs.select("doc_id", "text"), network)
+    return out.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
