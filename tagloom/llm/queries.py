@@ -13,6 +13,7 @@ from tagloom.llm.html_text import extract_main_text
 from tagloom.llm.language import fit_language_model, held_out, predict_language
 from tagloom.llm.line_dedup import line_dedup
 from tagloom.llm.mixing import mixing_plan
+from tagloom.llm.personal_data import KINDS, find_personal_data, fit_chain_field
 
 QUERIES, SQL = {}, {}
 
@@ -108,3 +109,18 @@ def op2_language_id(spark, sf):
     network = fit_language_model(docs)
     out = predict_language(docs.select("doc_id", "text"), network)
     return out.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+def _written(spans):
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+@query
+def op7_personal_data(spark, sf):
+    docs = find_personal_data(table(spark, sf, "documents").select("doc_id", "text"), fit_chain_field()).drop("text")
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return docs.select("doc_id", *map(count, KINDS), F.sha2(_written(base), 256).alias("base_sha256"), _written(F.col("spans")).alias("spans"))
