@@ -10,6 +10,7 @@ from tagloom.llm.common import table
 from tagloom.llm.exact_dedup import exact_dedup
 from tagloom.llm.fingerprints import fingerprint_chain
 from tagloom.llm.html_text import extract_main_text
+from tagloom.llm.jaccard_join import jaccard_classes
 from tagloom.llm.language import fit_language_model, held_out, predict_language
 from tagloom.llm.line_dedup import line_dedup
 from tagloom.llm.mixing import mixing_plan
@@ -124,3 +125,8 @@ def op7_personal_data(spark, sf):
         return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     return docs.select("doc_id", *map(count, KINDS), F.sha2(_written(base), 256).alias("base_sha256"), _written(F.col("spans")).alias("spans"))
+
+
+@query
+def op5_jaccard_join(spark, sf):
+    return jaccard_classes(table(spark, sf, "documents"))
