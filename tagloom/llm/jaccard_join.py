@@ -319,27 +319,10 @@ def _linked(members: DataFrame, similarity: float) -> DataFrame:
     return in_batches(members, run, schema)
 
 
-def jaccard_classes(
-    docs: DataFrame,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    words: int = WORDS,
-    similarity: float = SIMILARITY,
-    recall: float = RECALL,
-) -> DataFrame:
-    """One row per row of ``docs``: ``(id_column, class_id, class_size, n_links)``.
-
-    Documents are linked if the Jaccard similarity of their sets of ``words``-word shingles is at least
-    ``similarity``; ``n_links`` counts them, copies too. Classes are the connected components of the links, named by
-    their smallest id. A text of fewer words is one shingle; texts without words are equal to each other. Null texts
-    have no words. Null ids come after all others as a name, and rows that repeat id and text count separately.
-    Other columns are not read.
+def _classes(docs: DataFrame, id_column: str, text_column: str, words: int, similarity: float, recall: float) -> tuple[DataFrame, DataFrame]:
+    """The hashed rows, and for each key of theirs its copies, its name, its class's name and size, and its links.
 
-    Copies (equal sets) are one set from the start. Sets go to the buckets of their chosen paths (`buckets`), in as many
-    runs as the target ``recall`` of pairs at the least similarity needs. Buckets are compared by brute force in
-    blocks (`_in_blocks`): first by the 48 smallest hashes of each set, then, where that leaves a pair, by the sets, of which
-    only those are read again. Every pair is compared in the smallest of the buckets that both are in, so pairs
-    are neither written nor counted twice; a bucket gives one row per set, its links and a connected set.
+    A name is the place of the smallest id in the order of ids, ``(none, id, mark)``, the mark being a hash of the text.
     """
     runs = runs_for(recall)
     text = F.coalesce(F.col(text_column), F.lit(""))
@@ -354,8 +337,8 @@ def jaccard_classes(
         )
     )
     found = buckets(sets.where(F.col("_size") > 0), similarity, runs)
-    paths = found.groupBy("_key").agg(F.collect_list("_path").alias("_paths"))
-    about = paths.join(sets.select("_key", "_size", "_copies", "_sketch"), "_key")
+    paths = found.groupBy("_key").agg(F.collect_list("_path").alias("_paths"))  # as many as the runs sample
+    about = settled(paths.join(sets.select("_key", "_size", "_copies", "_sketch"), "_key"))
     members = _in_blocks(found.join(about.drop("_copies"), "_key"))
     members = members.select(*GROUP, "_second", "_key", "_size", "_sketch", "_paths")
     likely = settled(_plausible(members.repartition(*GROUP).sortWithinPartitions(*GROUP), similarity))
@@ -371,11 +354,58 @@ def jaccard_classes(
     sums = classed.groupBy("_class").agg(F.min("_name").alias("_first"), F.sum("_copies").alias("_total"))
     classed = classed.select("_key", "_class").join(sums, "_class").drop("_class")
     counted = links.groupBy("_key").agg(F.sum("_links").alias("_links"))
-    about = sets.select("_key", "_copies", "_name").join(classed, "_key", "left").join(counted, "_key", "left")
-    about = about.select(
-        "_key",
-        F.coalesce("_first", "_name")["id"].alias("class_id"),
-        F.coalesce("_total", "_copies").alias("class_size"),
-        (F.coalesce("_links", F.lit(0)) + F.col("_copies") - 1).alias("n_links"),
+    result = sets.select("_key", "_copies", "_name").join(classed, "_key", "left").join(counted, "_key", "left")
+    return hashed, settled(
+        result.select(
+            "_key",
+            F.coalesce("_first", "_name").alias("_first"),
+            F.coalesce("_total", "_copies").alias("_total"),
+            (F.coalesce("_links", F.lit(0)) + F.col("_copies") - 1).alias("_links"),
+        )
     )
-    return hashed.select(F.col("_id").alias(id_column), "_key").join(settled(about), "_key").drop("_key")
+
+
+def jaccard_classes(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    words: int = WORDS,
+    similarity: float = SIMILARITY,
+    recall: float = RECALL,
+) -> DataFrame:
+    """One row per row of ``docs``: ``(id_column, class_id, class_size, n_links)``.
+
+    Documents are linked if the Jaccard similarity of their sets of ``words``-word shingles is at least
+    ``similarity``; ``n_links`` counts them, copies too. Classes are the connected components of the links, named by
+    their smallest id. A text of fewer words is one shingle; texts without words are equal to each other. Null texts
+    have no words. Null ids come after all others as a name, and rows that repeat id and text count separately.
+    Other columns are not read.
+
+    Copies (equal sets) are one set from the start. Sets go to the buckets of their chosen paths (`buckets`), in as many
+    runs as the target ``recall`` of pairs at the least similarity needs. Buckets are compared by brute force in
+    blocks (`_in_blocks`): first by the 48 smallest hashes of each set, then, where that leaves a pair, by the sets, of which
+    only those are read again. Every pair is compared in the smallest of the buckets that both are in, so pairs
+    are neither written nor counted twice; a bucket gives one row per set, its links and a connected set.
+    """
+    hashed, about = _classes(docs, id_column, text_column, words, similarity, recall)
+    about = about.select("_key", F.col("_first.id").alias("class_id"), F.col("_total").alias("class_size"), F.col("_links").alias("n_links"))
+    return hashed.select(F.col("_id").alias(id_column), "_key").join(about, "_key").drop("_key")
+
+
+def drop_near_copies(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    words: int = WORDS,
+    similarity: float = SIMILARITY,
+    recall: float = RECALL,
+) -> DataFrame:
+    """``docs`` with one row of each class of `jaccard_classes`: that with the smallest id.
+
+    Of rows that share this id, the one with the smallest hash of its text stays, and of equal ones, one.
+    """
+    _, about = _classes(docs, id_column, text_column, words, similarity, recall)
+    stay = about.select(F.col("_first.id").alias("_of"), F.col("_first.mark").alias("_with")).distinct().hint("shuffle_hash")
+    marked = docs.withColumn("_mark", F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))))
+    kept = marked.join(stay, (F.col("_mark") == F.col("_with")) & same(marked[id_column], F.col("_of")))
+    return kept.dropDuplicates(["_with", "_of"]).select(*docs.columns)

@@ -15,6 +15,7 @@ from tagloom.llm.language import fit_language_model, held_out, predict_language
 from tagloom.llm.line_dedup import line_dedup
 from tagloom.llm.mixing import mixing_plan
 from tagloom.llm.personal_data import KINDS, find_personal_data, fit_chain_field
+from tagloom.llm.quality import KEEP, fit_label_model, fit_scorer, score_quality
 
 QUERIES, SQL = {}, {}
 
@@ -130,3 +131,11 @@ def op7_personal_data(spark, sf):
 @query
 def op5_jaccard_join(spark, sf):
     return jaccard_classes(table(spark, sf, "documents"))
+
+
+@query
+def op8_quality(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = fit_label_model(docs)
+    scored = score_quality(docs, model, fit_scorer(docs, model))
+    return scored.select("doc_id", "quality", "weak_label", (F.col("quality") >= KEEP).alias("kept"))

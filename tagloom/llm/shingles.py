@@ -34,14 +34,9 @@ class _Powers:
         return cls.up
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """The different shingles of each text, sorted, and where each text's begin.
-
-    A shingle is ``words`` words in a row, words being what lies between white space. A text of fewer words is
-    one shingle of all of them, a text without words has none.
-    """
-    texts = len(offsets) - 1
-    none = np.zeros(0, np.uint64), np.zeros(texts + 1, np.int64)
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each word begins, its hash, and the number of the first word of each text. White space parts words."""
+    none = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
     if not len(data):
         return none
     inside = ~_SPACE[data]
@@ -58,8 +53,20 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> t
     terms = _BYTE[data[starts[0] :]]
     # Spaces are 0, so a word's sum may run on to the next word. Its length sets it apart from what is like it.
     value = np.add.reduceat(terms * _Powers.first(int(span.max()))[place], starts - starts[0])
-    word = mixed(value + np.add.reduceat(inside[starts[0] :].astype(np.uint64), starts - starts[0]) * _PLACES[-1])
-    at = np.searchsorted(starts, offsets)  # the first word of each text
+    length = np.add.reduceat(inside[starts[0] :].astype(np.uint64), starts - starts[0])
+    return starts, mixed(value + length * _PLACES[-1]), np.searchsorted(starts, offsets)
+
+
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """The different shingles of each text, sorted, and where each text's begin.
+
+    A shingle is ``words`` words in a row, words being what lies between white space. A text of fewer words is
+    one shingle of all of them, a text without words has none.
+    """
+    texts = len(offsets) - 1
+    _, word, at = word_hashes(data, offsets)
+    if not len(word):
+        return np.zeros(0, np.uint64), np.zeros(texts + 1, np.int64)
     counts = np.diff(at)
     # Rows of words: a full shingle begins at each word but a text's last ones; a short text is one row.
     rows = np.where(counts >= words, counts - words + 1, np.minimum(counts, 1))
