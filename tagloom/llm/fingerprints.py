@@ -8,7 +8,7 @@ from hashlib import sha256
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -119,15 +119,18 @@ class Fingerprint:
     """The hash of the whole text and its smallest window hashes."""
 
     def __init__(self, length: int, windows: np.ndarray, hashes: tuple[int, int], slots: int = SLOTS):
-        self.whole = f"{length:x}-{hashes[0]:08x}{hashes[1]:08x}"
+        self.length, self.whole = length, np.array(hashes, ">u4").tobytes()
         self.slots, self.few = slots, _smallest(windows, slots)
 
+    def __bytes__(self) -> bytes:
+        return self.whole + self.few.astype(">u4").tobytes()
+
     def __str__(self) -> str:
-        return f"{self.whole}-" + "".join(f"{h:08x}" for h in self.few.tolist())
+        return f"{self.length:x}-{self.whole.hex()}-{bytes(self)[8:].hex()}"
 
     def likeness(self, other: Fingerprint) -> float:
         """1 for equal texts, else the share of the smallest windows of both that both have: their Jaccard similarity."""
-        if self.whole == other.whole:
+        if (self.length, self.whole) == (other.length, other.whole):
             return 1.0
         both = np.union1d(self.few, other.few)[: self.slots]
         common = np.intersect1d(self.few, other.few, assume_unique=True)
@@ -164,17 +167,25 @@ class Text:
         return Fingerprint(keep + take, self._or_whole(np.concatenate(windows), whole[0]), whole, self.slots)
 
 
+# Digests travel as bytes, a half of their hexadecimal digits.
 RESULT = T.StructType(
     [
         T.StructField("n_chars", T.LongType()),
-        T.StructField("edited_sha256", T.StringType()),
-        T.StructField("fingerprint", T.StringType()),
-        T.StructField("edited_fingerprint", T.StringType()),
+        T.StructField("edited_sha256", T.BinaryType()),
+        T.StructField("fingerprint", T.BinaryType()),
+        T.StructField("edited_chars", T.LongType()),
+        T.StructField("edited_fingerprint", T.BinaryType()),
         T.StructField("near_edited", T.DoubleType()),
         T.StructField("near_next", T.DoubleType()),
         T.StructField("common_prefix", T.LongType()),
     ]
 )
+KINDS = {"bigint": pa.int64(), "string": pa.string(), "double": pa.float64(), "int": pa.int32(), "binary": pa.binary()}
+
+
+def _written(fingerprint: str, length: str) -> Column:
+    digits = F.lower(F.hex(fingerprint))
+    return F.concat(F.lower(F.hex(length)), F.lit("-"), digits.substr(1, 16), F.lit("-"), F.substring(digits, 17, 1 << 30))
 
 
 def _compared(own: Text, after: Text) -> tuple:
@@ -183,12 +194,13 @@ def _compared(own: Text, after: Text) -> tuple:
     half = n // 2
     take = min(half, len(after.points))
     edited = own.followed_by(n - half, after, take)
-    digest = sha256((own.text[: n - half] + after.text[:take]).encode("utf-8", "replace")).hexdigest()
+    digest = sha256((own.text[: n - half] + after.text[:take]).encode("utf-8", "replace")).digest()
     return (
         n,
         digest,
-        str(own.fingerprint),
-        str(edited),
+        bytes(own.fingerprint),
+        edited.length,
+        bytes(edited),
         own.fingerprint.likeness(edited),
         own.fingerprint.likeness(after.fingerprint),
         # The edited text is this one up to the seam, and from there what both still have in common.
@@ -197,7 +209,7 @@ def _compared(own: Text, after: Text) -> tuple:
 
 
 def fingerprint_chain(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW, slots: int = SLOTS) -> DataFrame:
-    """One row per row of ``docs``: its id, and the columns of `RESULT`.
+    """One row per row of ``docs``: its id, and the columns of `RESULT`, digests as hexadecimal text.
 
     The fingerprint is the text's length, two polynomial hashes of the whole and its ``slots`` smallest hashes
     of windows of ``window`` code points; ``near_*`` is 1 for equal texts and else the Jaccard similarity of the
@@ -228,8 +240,7 @@ def fingerprint_chain(docs: DataFrame, id_column: str = "doc_id", text_column: s
 
         for batch in batches:
             if arrow is None:
-                kinds = {"bigint": pa.int64(), "string": pa.string(), "double": pa.float64(), "int": pa.int32()}
-                arrow = pa.schema([batch.schema.field("_id"), *[pa.field(f.name, kinds[f.dataType.simpleString()]) for f in schema.fields[1:]]])
+                arrow = pa.schema([batch.schema.field("_id"), *[pa.field(f.name, KINDS[f.dataType.simpleString()]) for f in schema.fields[1:]]])
             found = []
             for key, text in zip(batch.column("_id").to_pylist(), batch.column("_text").to_pylist()):
                 now = (key, Text(text, window, slots))
@@ -259,9 +270,17 @@ def fingerprint_chain(docs: DataFrame, id_column: str = "doc_id", text_column: s
             pairs = zip(batch.column("_text").to_pylist(), batch.column("_next").to_pylist())
             found = [_compared(Text(a, window, slots), Text(b, window, slots)) for a, b in pairs]
             columns = list(zip(*found)) or [()] * len(RESULT)
-            kinds = {"bigint": pa.int64(), "string": pa.string(), "double": pa.float64()}
-            arrays = [pa.array(c, kinds[f.dataType.simpleString()]) for c, f in zip(columns, RESULT.fields)]
+            arrays = [pa.array(c, KINDS[f.dataType.simpleString()]) for c, f in zip(columns, RESULT.fields)]
             yield pa.RecordBatch.from_arrays([batch.column("_id"), *arrays], out.names)
 
     whole = done.where(F.col("_edge").isNull()).select(*out.names)
-    return whole.unionByName(in_batches(seams, finish, out)).withColumnRenamed("_id", id_column)
+    return whole.unionByName(in_batches(seams, finish, out)).select(
+        F.col("_id").alias(id_column),
+        "n_chars",
+        F.lower(F.hex("edited_sha256")).alias("edited_sha256"),
+        _written("fingerprint", "n_chars").alias("fingerprint"),
+        _written("edited_fingerprint", "edited_chars").alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+        "common_prefix",
+    )
