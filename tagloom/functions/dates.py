@@ -86,7 +86,7 @@ def previous_period(today: dt.date) -> str:
 
 
 def period_parameters(today: dt.date) -> dict[str, str]:
-    """The period each partition field stands for when none is given, by field name."""
+    """The period each partition field stands for when none is given, by field name (fixed values)."""
     this_month = today.strftime("%Y%m")
     last_month = shift_month(this_month, -1)
     last_day = (today.replace(day=1) - dt.timedelta(days=1)).strftime("%Y%m%d")

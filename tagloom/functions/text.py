@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: how label columns are named.
 LABEL_PREFIX = "label_"
 
 
@@ -53,18 +54,23 @@ def literal_pattern(separator: str) -> str:
 
 
 def str_map(text: Column, pair_separator: str = ",", key_separator: str = ":") -> Column:
-    """``a:1,b:2`` as a map. A repeated key keeps its last value; an item that is no pair is an error."""
-    empty = F.create_map().cast("map<string,string>")
-
-    def put(seen: Column, pair: Column) -> Column:
-        key, value = pair[0], pair[1]
-        others = F.map_filter(seen, lambda k, _: k != key)
-        bad = F.raise_error(F.concat(F.lit("not a pair: "), F.array_join(pair, key_separator))).cast("map<string,string>")
-        return F.when(F.size(pair) == 2, F.map_concat(others, F.create_map(key, value))).otherwise(bad)
-
-    items = F.split(text, literal_pattern(pair_separator))
-    pairs = F.transform(items, lambda item: F.split(item, literal_pattern(key_separator)))
-    return F.aggregate(pairs, empty, put)
+    """``a:1,b:2`` as a map.
+
+    Separators at the end are dropped, and a text of separators only is an empty map. An item that is no pair of a
+    key and a value that is not empty is an error. A repeated key keeps its last value, which needs
+    ``spark.sql.mapKeyDedupPolicy`` as `tagloom.settings` sets it.
+    """
+    between, within = literal_pattern(pair_separator), literal_pattern(key_separator)
+    trimmed = F.regexp_replace(text, f"(?:{between})+$", "")
+    # What starts or goes on after the first separator of an item: nothing, or a second one.
+    one_each = len(pair_separator) == len(key_separator) == 1
+    part = f"[^{between}{within}]" if one_each else f"(?:(?!{between}|{within}).)"
+    bad = ~trimmed.rlike(f"(?s)^{part}*{within}{part}+(?:{between}{part}*{within}{part}+)*+$")
+    return (
+        F.when((trimmed == "") & (text != ""), F.create_map().cast("map<string,string>"))
+        .when(bad, F.raise_error(F.concat(F.lit("not a pair in "), text)).cast("map<string,string>"))
+        .otherwise(F.str_to_map(trimmed, F.lit(between), F.lit(within)))
+    )
 
 
 def template_fill(text: Column, params: Mapping[str, Column | str]) -> Column:

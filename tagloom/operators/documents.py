@@ -1,7 +1,8 @@
 """Id-keyed label documents: search, upsert, and label additions and removals.
 
 A document state has one row per ``id`` and a nullable comma-separated ``labels`` text; null means
-the document has no labels field. Every update takes a state and returns the next one.
+the document has no labels field. Every update takes a state and returns the next one. Changes
+without an id belong to no document and are left out, so running an update again adds none.
 """
 
 from __future__ import annotations
@@ -41,29 +42,45 @@ def doc_projection(
     return source.where(F.col(partition_field) == F.lit(period)).select(*names)
 
 
-def latest_by_key(df: DataFrame, key: str | Sequence[str], order: Column) -> DataFrame:
-    """One row per key: the one that comes last in ``order``."""
+def latest_by_key(df: DataFrame, key: str | Sequence[str], order: Column, drop: Sequence[str] = ()) -> DataFrame:
+    """One row per key: the one that comes last in ``order``. Columns to ``drop`` do not travel with the rows."""
     keys = [key] if isinstance(key, str) else list(key)
-    rest = [c for c in df.columns if c not in keys]
+    rest = [c for c in df.columns if c not in keys and c not in drop]
     if not rest:
-        return df.distinct()
+        return df.select(*keys).distinct()
     last = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_last"))
     return last.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in rest])
 
 
-def doc_upsert(state: DataFrame, docs: DataFrame, order: Column | None = None) -> DataFrame:
-    """Store documents by id: a new one replaces the old one, others stay.
+def doc_upsert(
+    state: DataFrame, docs: DataFrame, order: Column | None = None, order_columns: Sequence[str] = ()
+) -> DataFrame:
+    """Store documents by id: a new one replaces the whole old one, others stay.
 
-    ``order`` says which of several documents of one id is the last; without it ids must be unique.
+    The result has the fields of both, null where a document does not have them. ``order`` says which of
+    several documents of one id is the last, and ``order_columns`` are columns only there for it, no fields;
+    without ``order`` ids must be unique. A document without id cannot be stored and is left out. One pass over the new
+    documents and one join.
     """
-    new = docs if order is None else latest_by_key(docs, "id", order)
-    new = new.select(*state.columns)
-    return state.join(new.select("id"), "id", "left_anti").unionByName(new)
+    new = docs.where(F.col("id").isNotNull())
+    fields = [c for c in docs.columns if c != "id"]
+    if order is not None:
+        fields = [c for c in fields if c not in order_columns]
+        new = latest_by_key(new.select("id", *fields, order.alias("_order")), "id", F.col("_order"), drop=["_order"])
+    both = [c for c in state.columns if c != "id"] + [c for c in fields if c not in state.columns]
+    old = state.select("id", *[F.col(c).alias(f"_old_{c}") for c in state.columns if c != "id"])
+    joined = old.join(new.select("id", F.lit(True).alias("_new"), *[F.col(c).alias(f"_new_{c}") for c in fields]), "id", "full_outer")
+
+    def value(c: str) -> Column:
+        fresh = F.col(f"_new_{c}") if c in fields else F.lit(None)
+        return F.when(F.col("_new"), fresh).otherwise(F.col(f"_old_{c}") if c in state.columns else F.lit(None)).alias(c)
+
+    return joined.select("id", *[value(c) for c in both])
 
 
 def _merge(state: DataFrame, delta: DataFrame, appended: Column) -> DataFrame:
-    # appended: the next text of a document that has labels, from `labels` and `delta`.
-    joined = state.withColumn("_doc", F.lit(True)).join(delta, "id", "full_outer")
+    # appended: the next text of a document that has labels, from `labels` and `delta`. A document needs an id.
+    joined = state.withColumn("_doc", F.lit(True)).join(delta.where(F.col("id").isNotNull()), "id", "full_outer")
     exists, has_labels, changed = F.col("_doc").isNotNull(), F.col("labels").isNotNull(), F.col("delta").isNotNull()
     return joined.select(
         "id",

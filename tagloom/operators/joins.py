@@ -12,58 +12,83 @@ Inner joins of two plain inputs need neither: adaptive execution splits them on
 
 from __future__ import annotations
 
+import math
 from collections.abc import Collection, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# An id with at least this share of the rows is certain to be found; the list of hot ids is
-# bounded by the inverse, so it is safe to broadcast.
-HOT_SHARE = 0.005
-MAX_SALTS = 512
+# An id with more rows than this part of an even partition is spread over salts.
+PART = 0.25
 MAX_COPIES_PER_ARRAY = 1_000_000
 
 _SALT = "_salt"
+_SALTS = "_salts"
 _HOT = "_hot_key"
 _COPIES = "_copies"
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """Every value that fills at least ``share`` of the rows; at most ``1 / share`` rows in all.
+def hot_keys(df: DataFrame, key: str, share: float) -> dict[str, float]:
+    """Every value that fills at least ``share`` of the rows that have one, with its share.
 
-    One pass over the key column with a bounded counter per task; no shuffle of the rows.
+    A bounded counter per task names at most ``1 / share`` values, and a second pass over the key column
+    counts those: the driver gets one number for each. The counter may name values below the share as well;
+    the counts leave them out.
     """
     keys = df.select(F.col(key).alias("k")).where(F.col("k").isNotNull())
-    return keys.stat.freqItems(["k"], share).select(F.explode("k_freqItems").alias(_HOT))
+    named = keys.stat.freqItems(["k"], share).first()
+    if not named or not named[0]:
+        return {}
+    named = keys.sparkSession.createDataFrame([(k,) for k in named[0]], keys.schema)
+    flagged = keys.join(F.broadcast(named.withColumn("_named", F.lit(True))), "k", "left")
+    counts = flagged.groupBy(F.when(F.col("_named"), F.col("k")).alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()
+    total = sum(r["n"] for r in counts)
+    return {r["k"]: r["n"] / total for r in counts if r["k"] is not None and r["n"] >= share * total}
 
 
 @dataclass(frozen=True)
 class Salt:
-    """Spreads the hot keys of the left side of a join."""
+    """Spreads the hot keys of the left side of a join.
 
-    hot: DataFrame
-    salts: int
+    ``salts`` is the number of salts of each hot key, decided once: both sides of every join read the same
+    list, which is part of the plan, so no match depends on how or when something is computed again.
+    """
+
+    salts: Mapping[str, int]
+    partitions: int
 
     @staticmethod
-    def of(df: DataFrame, key: str) -> Salt:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        return Salt(hot_keys(df, key), max(2, min(partitions, MAX_SALTS)))
+    def of(df: DataFrame, key: str, partitions: int | None = None) -> Salt:
+        """Keys with over a quarter of an even partition, in pieces of about that size.
+
+        At most ``4 * partitions`` keys are that large, and all their salts together are at most twice as many, so
+        the list may be broadcast.
+        """
+        partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        shares = hot_keys(df, key, PART / partitions)
+        return Salt({k: math.ceil(x * partitions / PART) for k, x in shares.items()}, partitions)
 
     def _marked(self, df: DataFrame, key: str) -> DataFrame:
-        return df.join(F.broadcast(self.hot), df[key] == self.hot[_HOT], "left")
+        if not self.salts:
+            return df.withColumn(_SALTS, F.lit(None).cast("int"))
+        schema = T.StructType([T.StructField(_HOT, df.schema[key].dataType), T.StructField(_SALTS, T.IntegerType())])
+        hot = df.sparkSession.createDataFrame(list(self.salts.items()), schema)
+        return df.join(F.broadcast(hot), df[key] == hot[_HOT], "left").drop(_HOT)
 
     def left(self, df: DataFrame, key: str) -> DataFrame:
-        """Rows of hot and null keys get the salt of the task that reads them, all others salt 0."""
-        task = F.pmod(F.spark_partition_id(), F.lit(self.salts))
-        spread = F.col(_HOT).isNotNull() | F.col(key).isNull()
-        return self._marked(df, key).withColumn(_SALT, F.when(spread, task).otherwise(F.lit(0))).drop(_HOT)
+        """Rows of hot and null keys get a salt by the task that reads them, all others salt 0."""
+        task = F.spark_partition_id()
+        spread = F.when(F.col(key).isNull(), F.lit(self.partitions)).otherwise(F.col(_SALTS))
+        # A task has rows of many hot keys: where each begins to count tells their salts apart.
+        salt = F.pmod(task + F.coalesce(F.hash(key), F.lit(0)), spread)
+        return self._marked(df, key).withColumn(_SALT, F.coalesce(salt, F.lit(0))).drop(_SALTS)
 
     def right(self, df: DataFrame, key: str) -> DataFrame:
         """Rows of hot keys once per salt, all others with salt 0."""
-        every_salt = F.sequence(F.lit(0), F.lit(self.salts - 1))
-        salts = F.when(F.col(_HOT).isNotNull(), every_salt).otherwise(F.array(F.lit(0)))
-        return self._marked(df, key).withColumn(_SALT, F.explode(salts)).drop(_HOT)
+        salts = F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1)
+        return self._marked(df, key).withColumn(_SALT, F.explode(salts)).drop(_SALTS)
 
 
 def left_join(left: DataFrame, right: DataFrame, key: str, salt: Salt | None = None) -> DataFrame:

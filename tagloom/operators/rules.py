@@ -8,7 +8,7 @@ once, on the driver, so Catalyst sees plain comparisons: pushed down, pruned and
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -102,27 +102,46 @@ def rule_predicate(rule: Rule) -> Column:
     return reduce(lambda a, b: a & b, [condition_predicate(c) for c in rule.conditions()])
 
 
-def label_column(label_id: str, rules: Iterable[Rule]) -> Column:
+RulesById = Mapping[str, Sequence[Rule]]
+
+
+def rules_by_id(rules: Iterable[Rule] | RulesById) -> RulesById:
+    if isinstance(rules, Mapping):
+        return rules
+    index: dict[str, list[Rule]] = {}
+    for rule in rules:
+        index.setdefault(rule.id, []).append(rule)
+    return index
+
+
+def label_column(label_id: str, rules: Iterable[Rule] | RulesById) -> Column:
     """``label_<id>``: the id where any catalog row of that id matches, else null."""
-    alternatives = [rule_predicate(r) for r in rules if r.id == label_id]
+    alternatives = [rule_predicate(r) for r in rules_by_id(rules).get(label_id, ())]
     if not alternatives:
         raise RuleError(f"label {label_id}: no rule")
     matched = reduce(lambda a, b: a | b, alternatives)
     return F.when(matched, F.lit(label_id)).alias(LABEL_PREFIX + label_id)
 
 
-def label_columns(label_ids: Sequence[str], rules: Iterable[Rule]) -> list[Column]:
-    rules = list(rules)
-    return [label_column(i, rules) for i in label_ids]
+def label_columns(label_ids: Sequence[str], rules: Iterable[Rule] | RulesById) -> list[Column]:
+    index = rules_by_id(rules)
+    return [label_column(i, index) for i in label_ids]
 
 
 def rule_conditions(catalog: DataFrame) -> DataFrame:
-    """One row per condition of every readable rule body."""
+    """One row per condition of every rule body, with what is wrong with it in ``error``.
+
+    A body that cannot be read, or has no field, is one row without a field.
+    """
     body = F.from_json("value", "map<string,struct<value:string,type:string>>")
-    return catalog.select("id", "source_name", F.explode(body).alias("field", "rule")).select(
-        "id",
-        "source_name",
-        "field",
-        F.upper("rule.type").alias("match_type"),
-        F.col("rule.value").alias("match_value"),
+    parsed = catalog.select("id", "source_name", F.explode_outer(body).alias("field", "rule"))
+    kind, value = F.upper("rule.type"), F.col("rule.value")
+    error = (
+        F.when(F.col("field").isNull(), "unreadable rule body")
+        .when(kind.isNull(), "no match type")
+        .when(~kind.isin(list(_MATCHERS)), "unknown match type")
+        .when(value.isNull(), "no value")
+    )
+    return parsed.select(
+        "id", "source_name", "field", kind.alias("match_type"), value.alias("match_value"), error.alias("error")
     )

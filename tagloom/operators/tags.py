@@ -8,19 +8,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.text import LABEL_PREFIX
-from tagloom.operators.rules import Rule, label_columns
+from tagloom.operators.rules import Rule, RulesById, label_columns
 
 
 def tokens(labels: Column) -> Column:
     return F.split(labels, ",")
 
 
-def label_matrix(source: DataFrame, label_ids: Sequence[str], rules: Iterable[Rule], id_column: str) -> DataFrame:
+def label_matrix(source: DataFrame, label_ids: Sequence[str], rules: Iterable[Rule] | RulesById, id_column: str) -> DataFrame:
     """``id`` and one nullable column per label, all in a single projection."""
     return source.select(F.col(id_column).cast("string").alias("id"), *label_columns(label_ids, rules))
 
 
-def tag_source(source: DataFrame, label_ids: Sequence[str], rules: Iterable[Rule], id_column: str) -> DataFrame:
+def tag_source(source: DataFrame, label_ids: Sequence[str], rules: Iterable[Rule] | RulesById, id_column: str) -> DataFrame:
     """``id`` and the comma-separated labels of each row, empty where none matches."""
     return source.select(
         F.col(id_column).cast("string").alias("id"),
@@ -31,7 +31,7 @@ def tag_source(source: DataFrame, label_ids: Sequence[str], rules: Iterable[Rule
 def composite_attribute(
     source: DataFrame,
     label_ids: Sequence[str],
-    rules: Iterable[Rule],
+    rules: Iterable[Rule] | RulesById,
     id_column: str,
     place_column: str,
 ) -> DataFrame:

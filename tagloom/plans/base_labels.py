@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Collection, Sequence
+import datetime as dt
+from collections.abc import Callable, Collection, Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from tagloom.functions.dates import previous_period
 from tagloom.operators.joins import Salt, join_tags
-from tagloom.operators.rules import Rule, RuleError
+from tagloom.operators.rules import Rule, RulesById
 from tagloom.operators.tags import tag_source
 from tagloom.sinks.period import save_period
 from tagloom.sinks.runlog import COMPLETE, FAILED, STARTED, RunLog
@@ -22,11 +23,20 @@ class SourceStatus:
     source: str
     status: str
     result: str
+    partition_field: str | None = None
+
+
+class MainSourceError(ValueError):
+    """The main source has no labels to join the others to; ``statuses`` says what became of each source."""
+
+    def __init__(self, main: str, statuses: list[SourceStatus]) -> None:
+        super().__init__(f"main source {main!r} could not be labelled: {statuses}")
+        self.statuses = statuses
 
 
 @dataclass
 class BaseLabels:
-    """The labels ``(id, labels)`` and what became of each source."""
+    """The labels ``(id, labels)`` and what became of each work unit."""
 
     labels: DataFrame
     statuses: list[SourceStatus] = field(default_factory=list)
@@ -38,10 +48,10 @@ def label_source(
     partition_field: str,
     period: str,
     label_ids: Sequence[str],
-    rules: Sequence[Rule],
+    rules: Iterable[Rule] | RulesById,
     id_column: str,
 ) -> DataFrame:
-    """One source: period scan, all its labels in one projection, one text per row."""
+    """One work unit: period scan, all its labels in one projection, one text per row."""
     snapshot = period_scan(read(source), partition_field, period)
     return tag_source(snapshot, sorted(label_ids), rules, id_column)
 
@@ -57,42 +67,71 @@ def base_labels(
     unique: Collection[str] = (),
     salted: bool = True,
 ) -> BaseLabels:
-    """Label all enabled sources of the catalog and join them to ``main`` on user id.
+    """Label all work units of the enabled sources and join them to ``main`` on user id.
 
-    ``read`` turns a source name into its table, for example ``spark.read.table``. A source that cannot
-    be labelled (missing table or field, bad rule) is reported and left out; without the main source
-    there is no result. Labels come in the order main, then ``enabled``, ascending within a source.
-    ``salted=False`` skips the search for ids that fill a large share of the main source.
+    ``read`` turns a source name into its table, for example ``spark.read.table``. A unit that cannot be
+    labelled, for whatever reason, is reported and left out; without the main source there is no result,
+    nor if the main source has rules in several partition fields, as none of them is the main one. Labels
+    come in the order main, then ``enabled``, by partition field within a source, and ascending within a
+    unit. ``salted=False`` skips the search for ids that fill a large share of the main source.
     """
-    rules = read_rules(catalog)
-    units = {u.source_name: u for u in screen_tasks(label_tasks(catalog), enabled).collect()}
+    tasks = screen_tasks(label_tasks(catalog), enabled)
+    rules = read_rules(catalog, tasks)
+    units: dict[str, list] = {}
+    for unit in sorted(tasks.collect(), key=lambda u: u.partition_field or ""):
+        units.setdefault(unit.source_name, []).append(unit)
     labelled: dict[str, DataFrame] = {}
+    single: list[str] = []
     statuses: list[SourceStatus] = []
     for source in [main, *[s for s in enabled if s != main]]:
-        if source not in units:
-            continue
-        unit = units[source]
-        try:
-            labelled[source] = label_source(
-                read, source, unit.partition_field, period, unit.pids.split("#"), rules, id_column
-            )
-            statuses.append(SourceStatus(source, COMPLETE, "complete"))
-        except (AnalysisException, RuleError) as e:
-            statuses.append(SourceStatus(source, FAILED, str(e)))
-    if main not in labelled:
-        raise ValueError(f"main source {main!r} could not be labelled: {statuses}")
-    main_tags = labelled.pop(main)
+        for unit in units.get(source, []):
+            name, partition_field = f"{source}/{unit.partition_field}", unit.partition_field
+            try:
+                if source == main and len(units[main]) > 1:
+                    raise ValueError(f"{len(units[main])} work units of the main source")
+                labelled[name] = label_source(
+                    read, source, partition_field, period, unit.pids.split("#"), rules, id_column
+                )
+                statuses.append(SourceStatus(source, COMPLETE, "complete", partition_field))
+            except Exception as e:  # whatever it is, the other sources go on
+                statuses.append(SourceStatus(source, FAILED, str(e), partition_field))
+            if source in unique:
+                single.append(name)
+    first = next((n for n in labelled if n.startswith(f"{main}/")), None) if main in units else None
+    if first is None:
+        raise MainSourceError(main, statuses)
+    main_tags = labelled.pop(first)
     salt = Salt.of(main_tags, "id") if salted and labelled else None
-    return BaseLabels(join_tags(main_tags, labelled, salt, unique), statuses)
+    return BaseLabels(join_tags(main_tags, labelled, salt, single), statuses)
+
+
+def _log_sources(log: RunLog, period: str, statuses: Sequence[SourceStatus]) -> None:
+    changes = [(s.source, [(STARTED, "start"), (s.status, s.result)]) for s in statuses]
+    log.append_all([(name, period, "", change) for name, change in changes])
 
 
 def run_base_labels(
-    spark: SparkSession, catalog: str, target: str, log: RunLog, period: str, **options
+    spark: SparkSession,
+    catalog: str,
+    target: str,
+    log: RunLog,
+    period: str | None = None,
+    *,
+    today: dt.date | None = None,
+    **options,
 ) -> BaseLabels:
-    """The whole monthly job on catalog tables: label, join, save the period, write the run log."""
-    plan = base_labels(spark.read.table, spark.read.table(catalog), period, **options)
-    for source in plan.statuses:
-        log.append(source.source, period, [(STARTED, "start"), (source.status, source.result)])
+    """The whole monthly job on catalog tables: label, join, save the period, write the run log.
+
+    Without ``period`` it is the month before ``today``. The run is logged from before the plan is made;
+    what became of each work unit is logged in either case.
+    """
+    period = period or previous_period(today or dt.date.today())
     with log.run(target, period):
+        try:
+            plan = base_labels(spark.read.table, spark.read.table(catalog), period, **options)
+        except MainSourceError as e:
+            _log_sources(log, period, e.statuses)
+            raise
+        _log_sources(log, period, plan.statuses)
         save_period(plan.labels, target, period)
     return plan

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from tagloom.operators.documents import update_documents
 from tagloom.plans.base_labels import label_source
 from tagloom.plans.resident import single_unit
-from tagloom.sources.catalog import read_rules
 
 
 def document_update(
@@ -26,8 +25,6 @@ def document_update(
     """``add``: append the labels the source gives its users. ``delete``: remove one label everywhere."""
     if action.upper() != "ADD":
         return update_documents(state, action, label_id=label_id)
-    unit = single_unit(catalog, source)
-    delta = label_source(
-        read, source, unit.partition_field, period, unit.pids.split("#"), read_rules(catalog), id_column
-    )
+    unit, rules = single_unit(catalog, source)
+    delta = label_source(read, source, unit.partition_field, period, unit.pids.split("#"), rules, id_column)
     return update_documents(state, action, delta)

@@ -4,20 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 
 from tagloom.operators.aggregates import invert_membership
+from tagloom.operators.rules import RulesById
 from tagloom.operators.tags import composite_attribute
 from tagloom.sources.catalog import label_tasks_single, read_rules
 from tagloom.sources.tables import period_scan
 
 
-def single_unit(catalog: DataFrame, source: str):
-    """The one work unit of a source; a source with rows in several partition fields has no single unit."""
-    units = label_tasks_single(catalog, source).collect()
+def single_unit(catalog: DataFrame, source: str) -> tuple[Row, RulesById]:
+    """The one work unit of a source and its rules; one with rows in several partition fields has no single unit."""
+    tasks = label_tasks_single(catalog, source)
+    units = tasks.collect()
     if len(units) != 1:
         raise ValueError(f"source {source!r} has {len(units)} work units in the catalog")
-    return units[0]
+    return units[0], read_rules(catalog, tasks)
 
 
 def resident_attributes(
@@ -30,9 +32,9 @@ def resident_attributes(
     place_column: str,
 ) -> DataFrame:
     """``(id, labels)``: the composite attributes of each user, sorted and joined by comma."""
-    unit = single_unit(catalog, source)
+    unit, rules = single_unit(catalog, source)
     snapshot = period_scan(read(source), unit.partition_field, period)
     attributes = composite_attribute(
-        snapshot, sorted(unit.pids.split("#")), read_rules(catalog), id_column, place_column
+        snapshot, sorted(unit.pids.split("#")), rules, id_column, place_column
     )
     return invert_membership(attributes, "id", "labels")

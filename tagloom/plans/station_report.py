@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from tagloom.operators.aggregates import label_counts_by_join, report_json
 from tagloom.sources.tables import period_scan
 
+# The columns of the report.
 STATION_KEYS = ["lac_ci", "dn_flag"]
 
 

@@ -10,6 +10,8 @@ RUNTIME_SETTINGS = {
     # HotSpot never compiles a method of more than 8000 bytes. A projection of about 40 labels or more
     # is larger when fused with its stage; below this limit Spark splits it, and it runs 20 times faster.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # A repeated key of a text map keeps its last value.
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
 }
 
 

@@ -24,14 +24,14 @@ def rolling_append(
     idempotent: bool = False,
     file_format: str = "parquet",
 ) -> DataFrame:
-    """Drop the rows of exactly ``period - keep_months``, then append the rows of ``period``.
+    """Append the rows of ``period``, then drop those of exactly ``period - keep_months``.
 
     A second run appends them again; ``idempotent=True`` replaces the period instead.
     """
     rows = df.where(F.col(partition_field) == F.lit(period))
     ensure_table(df, table, partition_field, file_format)
-    drop_period(df.sparkSession, table, partition_field, shift_month(period, -keep_months))
     write_period(rows, table, period, partition_field, overwrite=idempotent)
+    drop_period(df.sparkSession, table, partition_field, shift_month(period, -keep_months))
     return df.sparkSession.table(table)
 
 

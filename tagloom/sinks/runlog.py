@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from tagloom.functions.dates import fmt_datetime_19
 from tagloom.functions.text import single_to_double_quotes
 
+# The columns of the run log and its status codes.
 RUN_KEY = ["job_id", "job_name", "job_period"]
 STARTED, COMPLETE, FAILED = "0", "1", "2"
-
 EVENT_SCHEMA = (
     "job_id string, job_name string, job_desc string, job_period string, project string, "
     "event_time timestamp_ntz, event_id bigint, status string, result string"
@@ -35,13 +35,19 @@ class RunLog:
 
     def append(self, job_name: str, job_period: str, changes: Iterable[tuple[str, str]], job_desc: str = "") -> None:
         """Append ``(status, result)`` changes of one run, in their order."""
+        self.append_all([(job_name, job_period, job_desc, changes)])
+
+    def append_all(self, runs: Iterable[tuple[str, str, str, Iterable[tuple[str, str]]]]) -> None:
+        """Append the changes of several runs, ``(job_name, job_period, job_desc, changes)``, in one write."""
         now = dt.datetime.now(dt.UTC).replace(tzinfo=None)
         events = [
             (self.job_id, job_name, job_desc, job_period, self.project, now, int(status), status, result)
+            for job_name, job_period, job_desc, changes in runs
             for status, result in changes
         ]
-        rows = self.spark.createDataFrame(events, EVENT_SCHEMA).coalesce(1)
-        rows.write.format(self.file_format).mode("append").saveAsTable(self.table)
+        if events:
+            rows = self.spark.createDataFrame(events, EVENT_SCHEMA).coalesce(1)
+            rows.write.format(self.file_format).mode("append").saveAsTable(self.table)
 
     @contextmanager
     def run(self, job_name: str, job_period: str, job_desc: str = "") -> Iterator[None]:
@@ -56,19 +62,29 @@ class RunLog:
 
 
 def run_log_latest(events: DataFrame) -> DataFrame:
-    """One row per run: when it was created, when it last ended, and its latest status and result.
+    """One row per run that was started, with its description and its latest status and result.
 
-    Events of the same time are ordered by ``event_id``.
+    ``create_time`` is the first start; ``end_time`` the latest end, null while the run is open, also if it
+    was started again after an end. A run that has ends only was never started and is left out. Events of the
+    same time are ordered by ``event_id``.
     """
-    ended = F.when(F.col("status") != STARTED, F.col("event_time"))
-    last = F.max_by(F.struct("status", "result"), F.struct("event_time", "event_id"))
+    at = F.struct("event_time", "event_id")
+    started = F.col("status") == STARTED
     runs = events.groupBy(*RUN_KEY).agg(
-        F.min("event_time").alias("created"), F.max(ended).alias("ended"), last.alias("last")
+        F.min(F.when(started, F.col("event_time"))).alias("created"),
+        F.max(F.when(started, at)).alias("start"),
+        F.max_by(F.struct("job_desc", "project"), F.when(started, at)).alias("about"),
+        F.max_by(F.struct("status", "result", "event_time"), at).alias("last"),
     )
-    return runs.select(
-        *RUN_KEY,
+    ended = F.when(F.col("last.status") != STARTED, F.col("last.event_time"))
+    return runs.where(F.col("start").isNotNull()).select(
+        "job_id",
+        "job_name",
+        F.col("about.job_desc").alias("job_desc"),
+        "job_period",
+        F.col("about.project").alias("project"),
         fmt_datetime_19(F.col("created")).alias("create_time"),
-        fmt_datetime_19(F.col("ended")).alias("end_time"),
+        fmt_datetime_19(ended).alias("end_time"),
         F.col("last.status").alias("status"),
         single_to_double_quotes(F.col("last.result")).alias("result"),
     )

@@ -6,6 +6,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+PREFIX = "tagloom_"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder below the one the cluster names in ``spark.checkpoint.dir``.
@@ -18,6 +20,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 def shared_database(spark: SparkSession) -> str:
     """A fresh database whose managed tables lie in a `shared_folder`."""
-    name = f"tagloom_{uuid.uuid4().hex}"
+    name = f"{PREFIX}{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{shared_folder(spark)}'")
     return name
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Drop all databases of `shared_database` and their files; call it when their tables are read."""
+    for row in spark.sql(f"SHOW DATABASES LIKE '{PREFIX}*'").collect():
+        spark.sql(f"DROP DATABASE IF EXISTS {row[0]} CASCADE")

@@ -14,9 +14,6 @@ CATALOG_SCHEMA = T.StructType(
     [T.StructField(n, T.StringType()) for n in ("id", "value", "source_name", "source_label", "partition_field")]
 )
 
-# Rules become expressions of one query plan, so a catalog beyond this size is a mistake.
-MAX_RULES = 20_000
-
 
 def label_catalog(catalog: DataFrame, label_id: str) -> DataFrame:
     """All catalog rows of one label."""
@@ -54,9 +51,14 @@ def screen_tasks(tasks: DataFrame, enabled: Sequence[str]) -> DataFrame:
     return tasks.where(F.col("source_name").isin(list(enabled)))
 
 
-def read_rules(catalog: DataFrame) -> list[Rule]:
-    """The catalog as driver-side rules. It is control data; an oversized catalog is refused, not cut."""
-    rows = catalog.select(*CATALOG_SCHEMA.names).limit(MAX_RULES + 1).collect()
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"the rule catalog has more than {MAX_RULES} rows")
-    return [Rule(*row) for row in rows]
+def read_rules(catalog: DataFrame, units: DataFrame) -> dict[str, list[Rule]]:
+    """The rules of the ids of the work units, by id, whatever source a rule row names.
+
+    The driver gets only what it is about to compile; the rest of the catalog is left out where it is read.
+    """
+    wanted = units.select(F.explode(F.split("pids", "#")).alias("id")).distinct()
+    rows = catalog.select(*CATALOG_SCHEMA.names).join(wanted, "id", "left_semi").select(*CATALOG_SCHEMA.names).collect()
+    index: dict[str, list[Rule]] = {}
+    for row in sorted(rows, key=lambda r: tuple(v or "" for v in r)):
+        index.setdefault(row["id"], []).append(Rule(*row))
+    return index

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tagloom.functions.dates import period_parameters
 
@@ -47,6 +48,34 @@ def jdbc_read_options(
     return options
 
 
+# The column classes of a relational result and their types here.
+RELATIONAL_TYPES = {
+    "java.lang.String": T.StringType(),
+    "java.lang.Integer": T.IntegerType(),
+    "java.lang.Long": T.LongType(),
+    "java.lang.Boolean": T.BooleanType(),
+    "java.lang.Double": T.DoubleType(),
+    "java.lang.Float": T.FloatType(),
+    "java.sql.Date": T.DateType(),
+    "java.sql.Time": T.TimestampType(),
+    "java.sql.Timestamp": T.TimestampType(),
+    "java.math.BigDecimal": T.DecimalType(10, 0),
+}
+
+
+def relational_schema(columns: Mapping[str, str]) -> T.StructType:
+    """The schema of a result with these column classes, all nullable; an unknown class is an error."""
+    unknown = sorted(set(columns.values()) - set(RELATIONAL_TYPES))
+    if unknown:
+        raise ValueError(f"no type for {', '.join(unknown)}")
+    return T.StructType([T.StructField(name, RELATIONAL_TYPES[kind]) for name, kind in columns.items()])
+
+
+def as_relational(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """``df`` with exactly these columns and their types, as a relational result has them."""
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in relational_schema(columns).fields])
+
+
 def read_relational(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
     """The distinct rows of a relational query, read by the executors."""
     return distinct_rows(spark.read.format("jdbc").options(**options).load())

@@ -11,6 +11,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from pyspark.sql import SparkSession
 
+    from tagloom.settings import apply_settings
+    from tagloom.sinks.scratch import drop_scratch
+
     session = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
@@ -22,7 +25,8 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    return session
+    yield apply_settings(session)
+    drop_scratch(session)
 
 
 @pytest.fixture(scope="session")

@@ -28,6 +28,30 @@ def test_several_deltas_of_one_document(spark, rows, state):
     assert ("2", "138,5,6,7,7") in got and ("9", "1,1") in got
 
 
+def test_changes_without_id_add_nothing(spark, rows, state):
+    delta = spark.createDataFrame([(None, "7"), ("9", "1")], LABELS)
+    want = rows(state) + [("9", "1")]
+    for change in (
+        lambda s: d.labels_append(s, delta.where("id is null")),
+        lambda s: d.labels_add(s, delta),
+        lambda s: d.labels_append_one(s, delta.where("id is null"), "7"),
+        lambda s: d.labels_remove_tail(s, delta.where("id is null").withColumnRenamed("labels", "label")),
+        lambda s: d.doc_upsert(s, delta),
+    ):
+        twice = rows(change(change(state)))
+        assert twice in (rows(state), want)
+
+
+def test_upsert_keeps_all_fields(spark, rows, state):
+    new = spark.createDataFrame([("1", "9", "m"), ("7", None, "n")], "id string, labels string, markets string")
+    stored = d.doc_upsert(state, new)
+    assert stored.columns == ["id", "labels", "markets"]
+    assert ("1", "9", "m") in rows(stored) and ("7", None, "n") in rows(stored) and ("2", "138", None) in rows(stored)
+    back = d.doc_upsert(stored, spark.createDataFrame([("1", "8"), ("5", "0")], LABELS))
+    assert back.columns == ["id", "labels", "markets"]
+    assert ("1", "8", None) in rows(back) and ("5", "0", None) in rows(back) and ("7", None, "n") in rows(back)
+
+
 def test_add_to_empty_document(spark, rows, state):
     delta = spark.createDataFrame([("4", "2,1"), ("4", "1")], LABELS)
     assert ("4", "1,2") in rows(d.labels_add(state, delta))
@@ -69,9 +93,9 @@ def test_search_matches_whole_labels(rows, state):
 
 def test_upsert_replaces_and_keeps(spark, rows, state):
     new = spark.createDataFrame([("1", "x", 2), ("1", "y", 1), ("9", "z", 1)], "id string, labels string, seq int")
-    got = rows(d.doc_upsert(state, new, F.col("seq")))
+    got = rows(d.doc_upsert(state, new, F.col("seq"), ["seq"]))
     assert got == [("1", "x"), ("2", "138"), ("3", None), ("4", ""), ("5", "5,6,7"), ("9", "z")]
-    assert rows(d.doc_upsert(d.doc_upsert(state, new, F.col("seq")), new, F.col("seq"))) == got
+    assert rows(d.doc_upsert(d.doc_upsert(state, new, F.col("seq"), ["seq"]), new, F.col("seq"), ["seq"])) == got
 
 
 def test_dispatch(spark, rows, state):

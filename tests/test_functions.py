@@ -34,8 +34,13 @@ def test_str_map(spark):
     assert one(spark, text.str_map(F.lit("a=1|b=2"), "|", "=")) == {"a": "1", "b": "2"}
     assert one(spark, text.str_map(F.lit("a::1;;b::2"), ";;", "::")) == {"a": "1", "b": "2"}
     assert one(spark, text.str_map(F.lit(None).cast("string"))) is None
-    with pytest.raises(Exception, match="not a pair"):
-        one(spark, text.str_map(F.lit("a:1,b")))
+    assert one(spark, text.str_map(F.lit("a:1,b:2,,"))) == {"a": "1", "b": "2"}
+    assert one(spark, text.str_map(F.lit("a::1;;b::2;;"), ";;", "::")) == {"a": "1", "b": "2"}
+    assert one(spark, text.str_map(F.lit(",,"))) == {}
+    assert one(spark, text.str_map(F.lit(":1"))) == {"": "1"}
+    for bad in ("a:1,b", "a:1,b:", "a:1:2", "", "a:1,,b:2", ",a:1", "a:1,b:2:"):
+        with pytest.raises(Exception, match="not a pair"):
+            one(spark, text.str_map(F.lit(bad)))
 
 
 def test_template(spark):

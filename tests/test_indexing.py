@@ -2,6 +2,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tagloom.operators import indexing
 from tagloom.operators.indexing import _with_bucket, global_positions
 from tagloom.sinks.keyvalue import key_value_entries
 from pyspark.sql import functions as F
@@ -35,6 +36,18 @@ def test_bucket_counts_cuts(spark, n):
     assert all(r._bucket == sum(10 * i <= r.x for i in range(n)) for r in got)
 
 
+def test_buckets_are_balanced(spark):
+    df = spark.range(200_000).select(F.xxhash64("id").alias("o"))
+    placed = indexing.global_positions(df, ["o"], 256)
+    # The number of the bucket is not part of the result; the window that places the rows has one group for each.
+    rows = df.withColumn("_row", F.struct("o")).withColumn("_hash", F.xxhash64("o"))
+    sample = sorted(r._row.o for r in rows.orderBy("_hash").limit(256 * indexing.ROWS_PER_CUT).collect())
+    cuts = sample[indexing.ROWS_PER_CUT - 1 :: indexing.ROWS_PER_CUT]
+    assert len(cuts) == 256 and placed.count() == 200_000
+    sizes = _with_bucket(df, F.array(*[F.struct(F.lit(c).alias("o")) for c in cuts]), ["o"], 256).groupBy("_bucket").count()
+    assert max(r["count"] for r in sizes.collect()) <= 2 * 200_000 / 257
+
+
 def test_a_hot_row_is_one_row(spark, plan):
     df = spark.range(100_000).select(F.lit("same").alias("e"))
     placed = global_positions(df, [], 8)

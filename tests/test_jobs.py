@@ -5,12 +5,12 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tagloom.plans import doc_update, resident, station_report, user_markets
-from tagloom.plans.base_labels import base_labels, run_base_labels
+from tagloom.plans import doc_update, jobs, resident, station_report, user_markets
+from tagloom.plans.base_labels import MainSourceError, base_labels, run_base_labels
 from tagloom.plans.publish import publish_key_values, publish_relational
 from tagloom.sinks import period as p
 from tagloom.sinks.relational import jdbc_write_options, rolling_append
-from tagloom.sinks.runlog import RunLog, run_log_latest
+from tagloom.sinks.runlog import EVENT_SCHEMA, RunLog, run_log_latest
 from tagloom.sinks.scratch import shared_folder
 from tagloom.sources import catalog as c
 from tagloom.sources import tables as t
@@ -31,10 +31,142 @@ def test_work_units(rules, rows):
     assert c.label_catalog(rules, "302").count() == 2
 
 
-def test_oversized_catalog_is_refused(rules, monkeypatch):
-    monkeypatch.setattr(c, "MAX_RULES", 3)
-    with pytest.raises(ValueError, match="more than 3"):
-        c.read_rules(rules)
+def test_only_the_rules_of_the_units_are_read(spark, rules):
+    many = spark.range(20_001).select(
+        F.col("id").cast("string").alias("id"), F.lit('{"x":{"value":"1","type":"single"}}').alias("value"),
+        F.lit("elsewhere").alias("source_name"), F.lit("n").alias("source_label"), F.lit("dt").alias("partition_field"),
+    )
+    read = c.read_rules(rules.unionByName(many), c.label_tasks_single(rules, "user_spend"))
+    assert {i: sorted(r.source_name for r in rs) for i, rs in read.items()} == {
+        "301": ["elsewhere", "user_spend"], "302": ["elsewhere", "user_spend", "user_spend"],
+    }
+
+
+def test_a_source_with_two_partition_fields_keeps_all_labels(spark, rows):
+    table = spark.createDataFrame([("u1", 1, "202401", "x"), ("u1", 2, "x", "202401"), ("u2", 1, "202401", "202401")], "id string, n int, month_id string, dt string")
+    body = '{"n":{"value":"[%d,%d]","type":"range"}}'
+    catalog = [
+        ("0", body % (1, 9), "people", "a", "month_id"), ("1", body % (1, 1), "acts", "a", "month_id"), ("2", body % (2, 2), "acts", "b", "dt"),
+    ]
+    for order in (catalog, catalog[::-1]):
+        given = spark.createDataFrame(order, c.CATALOG_SCHEMA)
+        plan = base_labels(lambda _: table, given, "202401", main="people", enabled=["people", "acts"], id_column="id")
+        assert rows(plan.labels) == [("u1", "0,2,1"), ("u2", "0,1")]
+        assert [(x.source, x.partition_field, x.status) for x in plan.statuses] == [("people", "month_id", "1"), ("acts", "dt", "1"), ("acts", "month_id", "1")]
+        with pytest.raises(MainSourceError) as e:
+            base_labels(lambda _: table, given, "202401", main="acts", enabled=["people", "acts"], id_column="id")
+        assert [x.status for x in e.value.statuses] == ["2", "2", "1"]
+
+
+MONTHLY = ["base_labels_units", "base_labels_months", "station_report_months", "resident_attributes_months", "labels_append_months"]
+
+
+@pytest.mark.parametrize("name", MONTHLY)
+def test_months_matter(spark, sf, monkeypatch, name):
+    """Without its period filter the query differs from its SQL."""
+    from tagloom.plans import base_labels as labels_plan
+    from workload.check import connect, difference
+    from workload.oracles import oracle_sql
+    from workload.queries import QUERIES
+
+    for module in (labels_plan, resident, station_report):
+        monkeypatch.setattr(module, "period_scan", lambda df, *_: df)
+    assert difference(QUERIES[name](spark, sf), connect(sf), oracle_sql()[name]) is not None
+
+
+def test_relational_types(spark):
+    kinds = {"s": "java.lang.String", "i": "java.lang.Integer", "l": "java.lang.Long", "b": "java.lang.Boolean", "d": "java.lang.Double",
+             "f": "java.lang.Float", "day": "java.sql.Date", "t": "java.sql.Time", "ts": "java.sql.Timestamp", "n": "java.math.BigDecimal"}
+    assert t.relational_schema(kinds).simpleString() == (
+        "struct<s:string,i:int,l:bigint,b:boolean,d:double,f:float,day:date,t:timestamp,ts:timestamp,n:decimal(10,0)>"
+    )
+    typed = t.as_relational(spark.sql("select 1 i, '2' n, 'x' other"), {"n": "java.math.BigDecimal", "i": "java.lang.Long"})
+    assert typed.dtypes == [("n", "decimal(10,0)"), ("i", "bigint")]
+    with pytest.raises(ValueError, match="java.sql.Blob"):
+        t.relational_schema({"x": "java.sql.Blob"})
+
+
+def latest(spark, database):
+    return {r.job_name: r for r in run_log_latest(spark.table(f"{database}.runs")).collect()}
+
+
+def test_failed_base_labels_are_logged(spark, rules, database):
+    rules.write.saveAsTable(f"{database}.rules")
+    log = RunLog(spark, f"{database}.runs", "p")
+    with pytest.raises(MainSourceError):
+        run_base_labels(spark, f"{database}.rules", "target", log, main="user_profile", enabled=["user_profile"], id_column="x", today=dt.date(2024, 2, 5))
+    runs = latest(spark, database)
+    assert {n: (r.status, r.job_period, r.project) for n, r in runs.items()} == {
+        "target": ("2", "202401", "p"), "user_profile": ("2", "202401", "p"),
+    }
+    with pytest.raises(Exception, match="no_catalog"):
+        run_base_labels(spark, f"{database}.no_catalog", "other", log, main="m", enabled=[], id_column="x")
+    assert latest(spark, database)["other"].status == "2"
+
+
+def job_cases(spark, database, log):
+    """Each job as a call of the frames it reads, what it stores, and its name in the log."""
+    doc, out = spark.createDataFrame([("1", "a")], "id string, labels string"), []
+    rows = spark.createDataFrame([("1", "x", "7", "202401"), ("2", "y", "8", "202312")], "id string, labels string, atid string, month_id string")
+    return out, {
+        "user_markets": lambda df: jobs.run_user_markets(doc, df or rows, spark.createDataFrame([("7", "1,2")], "atid string, userids string"), spark.createDataFrame([("7", "NOTERESSUC", dt.date(2024, 1, 1))], "atid string, bstatus string, send_time date"), out.append, log, "202401"),
+        "update_src": lambda df: jobs.run_document_update(doc, None, None, "src", "delete" if df is None else "nothing", out.append, log, "202401", id_column="id", label_id="a"),
+        "publish_documents": lambda df: jobs.run_publish_documents(doc, df or rows, out.append, log, "202401", id_column="id", other_columns="labels"),
+        f"{database}.relational": lambda df: jobs.run_publish_relational(df or rows, f"{database}.relational", log, today=dt.date(2024, 2, 29)),
+        "publish_set": lambda df: jobs.run_publish_key_values(df or rows, "set", out.append, log, "202401", key="k", value="id", order=[]),
+    }
+
+
+def test_jobs_store_and_log(spark, rows, database):
+    out, cases = job_cases(spark, database, RunLog(spark, f"{database}.runs"))
+    got = {name: rows(job(None)) for name, job in cases.items()}
+    assert got == {
+        "user_markets": [("1", "x", "7")], "update_src": [("1", "")], "publish_documents": [("1", "x")],
+        f"{database}.relational": [("1", "x", "7", "202401")], "publish_set": [("k", "1")],
+    }
+    assert len(out) == 4
+    assert {n: (r.status, r.job_period) for n, r in latest(spark, database).items()} == {n: ("1", "202401") for n in cases}
+
+
+def test_failed_jobs_are_logged(spark, database):
+    out, cases = job_cases(spark, database, RunLog(spark, f"{database}.runs"))
+    for job in cases.values():
+        with pytest.raises(Exception):
+            job(spark.createDataFrame([(1,)], "unfit int"))
+    assert out == [] and {n: r.status for n, r in latest(spark, database).items()} == {n: "2" for n in cases}
+
+
+def test_saving_jobs_fail_with_a_log(spark, rules, database):
+    log = RunLog(spark, f"{database}.runs")
+    with pytest.raises(Exception):
+        jobs.run_station_report(spark, "no_stations", "no_labels", "report", log, "202401", label_ids=["1"])
+    rules.write.saveAsTable(f"{database}.rules")
+    with pytest.raises(Exception):
+        jobs.run_resident_attributes(spark, f"{database}.rules", "nothing", "attributes", log, "202401", id_column="i", place_column="p")
+    assert {n: r.status for n, r in latest(spark, database).items()} == {"report": "2", "attributes": "2"}
+
+
+def test_run_log_of_restarts_and_strays(spark):
+    def event(minute, name, status):
+        return ("j", name, f"desc {minute}", "202401", "p", dt.datetime(2024, 1, 1, 0, minute), minute, status, status)
+
+    events = [event(1, "open again", "0"), event(2, "open again", "1"), event(3, "open again", "0"), event(1, "stray", "1"),
+              event(1, "late", "2"), event(2, "late", "0"), event(1, "done", "0"), event(2, "done", "2")]
+    got = {r.job_name: r for r in run_log_latest(spark.createDataFrame(events, EVENT_SCHEMA)).collect()}
+    assert {n: (r.status, r.create_time[-5:], (r.end_time or "")[-5:], r.job_desc) for n, r in got.items()} == {
+        "open again": ("0", "01:00", "", "desc 3"), "late": ("0", "02:00", "", "desc 2"), "done": ("2", "01:00", "02:00", "desc 1"),
+    }
+    assert len(got["done"]) == 9
+
+
+def test_unreadable_bodies_are_kept(spark, rows):
+    from tagloom.operators.rules import rule_conditions
+
+    bodies = ["not json", "", None, "{}", '{"a":{"value":"1"}}', '{"a":{"type":"near","value":"1"}}', '{"a":{"type":"list"}}', '{"a":{"type":"list","value":"1"}}']
+    df = spark.createDataFrame([(str(i), b, "s") for i, b in enumerate(bodies)], "id string, value string, source_name string")
+    errors = {r["id"]: r["error"] for r in rule_conditions(df).collect()}
+    unreadable = "unreadable rule body"
+    assert [errors[str(i)] for i in range(8)] == [unreadable] * 4 + ["no match type", "unknown match type", "no value", None]
 
 
 def test_default_period(spark, rows):

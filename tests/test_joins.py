@@ -3,7 +3,6 @@ from pyspark.sql import functions as F
 
 from tagloom.operators.aggregates import label_counts, label_counts_by_join
 from tagloom.operators.joins import (
-    HOT_SHARE,
     Salt,
     count_repeats,
     hot_keys,
@@ -57,8 +56,8 @@ def test_join_tags_without_others(rows, hot_main):
 
 
 def test_hot_keys_are_found_and_bounded(hot_main):
-    found = [r[0] for r in hot_keys(hot_main, "id").collect()]
-    assert "hot" in found and len(found) <= 1 / HOT_SHARE and None not in found
+    assert hot_keys(hot_main, "id", 0.01) == {"hot": pytest.approx(1 / 3, abs=0.02)}
+    assert hot_keys(hot_main.where("id = 'none'"), "id", 0.01) == {}
 
 
 def test_salt_spreads_hot_and_null_ids_only(hot_main):
@@ -68,6 +67,29 @@ def test_salt_spreads_hot_and_null_ids_only(hot_main):
     assert set(salts.values()) == {1}
 
 
+def test_salts_follow_the_share_and_the_partitions(spark):
+    rows = spark.range(0, 100_000, 1, 16).select(F.when(F.col("id") % 1000 < 3, "warm").otherwise(F.col("id").cast("string")).alias("id"))
+    assert Salt.of(rows, "id", 8).salts == {}  # 0.3 % is little of an eighth
+    assert Salt.of(rows, "id", 400).salts == {"warm": 5}  # and more than a 400th
+    spread = Salt.of(rows, "id", 400).left(rows, "id").where("id = 'warm'")
+    assert spread.select("_salt").distinct().count() == 5
+
+
+def test_salted_join_without_exchange_reuse(spark, rows, hot_main, others):
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        assert rows(join_tags(hot_main, others, Salt.of(hot_main, "id"))) == rows(plain_chain(hot_main, others))
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_user_markets_reads_the_saved_labels_only(spark, sf, plan):
+    from workload.queries import QUERIES
+
+    text = plan(QUERIES["user_markets"](spark, sf))
+    assert text.count("Scan orc") <= 2 and "customer.parquet" not in text and "events.parquet" not in text
+
+
 def test_each_input_is_shuffled_to_the_join_once(spark, plan, hot_main, others):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

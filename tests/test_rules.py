@@ -89,7 +89,9 @@ def test_rule_conditions_equal_parsed_rules(spark, rows):
     body = '{"a":{"value":"1,2","type":"list"},"b":{"value":"[0,1)","type":"Range"}}'
     catalog = spark.createDataFrame([("1", body, "s"), ("2", "", "s"), ("3", None, "s")], "id string, value string, source_name string")
     parsed = {(c.field, c.kind, c.value) for c in Rule("1", body).conditions()}
-    assert {r[2:] for r in rows(rules.rule_conditions(catalog))} == parsed
+    found = rows(rules.rule_conditions(catalog))
+    assert {r[2:5] for r in found if r[5] is None} == parsed
+    assert [(r[0], r[2:]) for r in found if r[5]] == [(i, (None, None, None, "unreadable rule body")) for i in "23"]
 
 
 def _matches(rule, row):

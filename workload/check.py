@@ -65,6 +65,7 @@ def session(master: str = "local[8]") -> SparkSession:
 
 
 def main(folder: str, names: list[str]) -> int:
+    from tagloom.sinks.scratch import drop_scratch
     from workload.oracles import oracle_sql
     from workload.queries import QUERIES
 
@@ -78,6 +79,7 @@ def main(folder: str, names: list[str]) -> int:
             wrong = f"{type(e).__name__}: {str(e)[:500]}"
         failed += wrong is not None
         print(f"{name:24s} {time.time() - start:6.2f}s {'ok' if wrong is None else wrong}", flush=True)
+    drop_scratch(spark)
     print(f"{failed} of {len(names or QUERIES)} differ")
     return failed
 

@@ -104,9 +104,49 @@ VIEWS = {
         select lac_ci, dn_flag, """ + ", ".join(
             f"cast(sum(label_{i}) as double) label_{i}" for i in ("101", "102", "103", "201", "202", "203", "302")
         ) + " from station_live s join user_flags u on s.user_id = u.id where s.month_id = '202401' group by lac_ci, dn_flag",
-    "docs": """
-        select t.id, nullif(t.labels, '') labels
-        from profile_tags t join user_profile p on t.id = p.user_id where p.acctbal >= 0""",
+    "docs": "select id, nullif(labels, '') labels from activity_tags",
+    "order_profile": """
+        select distinct cast(o_custkey as varchar) user_id, c_mktsegment segment, c_acctbal acctbal,
+               strftime(o_orderdate, '%Y%m') month_id
+        from orders join customer on o_custkey = c_custkey""",
+    "order_profile_tags": """
+        select user_id id, month_id, concat_ws(',', case when segment = 'BUILDING' then '101' end,
+               case when segment in ('MACHINERY', 'FURNITURE') then '102' end,
+               case when acctbal >= 0 and acctbal < 1000 then '103' end) labels
+        from order_profile""",
+    "order_spend": """
+        select cast(o_custkey as varchar) user_id, count(*) n_orders, max(o_totalprice) max_price,
+               min(o_orderpriority) top_priority, strftime(date_trunc('month', o_orderdate), '%Y%m') month_id,
+               strftime(date_trunc('month', o_orderdate) + interval 1 month, '%Y%m') dt
+        from orders group by o_custkey, date_trunc('month', o_orderdate)""",
+    "order_visit_tags": """
+        select cast(o_custkey as varchar) id, cast(o_orderkey % 50 as varchar) lac_ci, strftime(o_orderdate, '%Y%m') month_id,
+               case when o_orderstatus in ('F', 'P') then '411' end label_411,
+               case when o_totalprice >= 100000 and o_totalprice <= 300000 then '412' end label_412
+        from orders""",
+    "order_station": """
+        select distinct cast(o_orderkey % 50 as varchar) lac_ci, cast(o_custkey as varchar) user_id,
+               case when o_orderpriority < '3' then 'D' else 'N' end dn_flag, strftime(o_orderdate, '%Y%m') month_id
+        from orders""",
+    "order_station_counts": """
+        select s.lac_ci, s.dn_flag, """ + ", ".join(
+            f"cast(count(case when list_contains(string_split(t.labels, ','), '{i}') then 1 end) as double) label_{i}"
+            for i in ("101", "102", "103")
+        ) + """ from order_station s join order_profile_tags t on s.user_id = t.id
+        where s.month_id = '199806' and t.month_id = '199806' group by s.lac_ci, s.dn_flag""",
+    "order_attributes": """
+        select id, string_agg(distinct attribute, ',' order by attribute) labels
+        from (select id, concat_ws('_', lac_ci, label_412, label_411) attribute from order_visit_tags where month_id = '199806')
+        group by id""",
+    "run_events": """
+        select cast(user_id as varchar) job_id, event_type job_name, 'run ' || event_id job_desc,
+               strftime(ts, '%Y%m') || 'w' || cast(floor(day(ts) / 8) as integer) job_period, 'p' || event_id % 3 project,
+               ts, event_id, case when value < 1 then '2' when value < 40 then '1' else '0' end status
+        from events""",
+    "market_lists": """
+        select userid, string_agg(distinct atid, ',' order by atid) markets
+        from (select b.atid, unnest(string_split(b.userids, ',')) userid
+              from campaign_batch b join reached_actions a on a.atid = b.atid) group by userid""",
     "gappy": """
         select id, coalesce(label_101, '') || ',' || coalesce(label_102, '') || ',' || coalesce(label_103, '')
                || ',' || coalesce(label_104, '') || ',' || coalesce(label_105, '') labels
@@ -184,8 +224,10 @@ ORACLES = {
         select user_id, event_type what from events union select o_custkey, o_orderpriority from orders""",
     "rule_conditions": """
         select id, source_name, f.field, upper(json_extract_string("value", '$.' || f.field || '.type')) match_type,
-               json_extract_string("value", '$.' || f.field || '.value') match_value
-        from part_catalog, (values ('price'), ('kind')) f(field) where "value" <> ''""",
+               json_extract_string("value", '$.' || f.field || '.value') match_value, cast(null as varchar) error
+        from part_catalog, (values ('price'), ('kind')) f(field) where "value" <> ''
+        union all
+        select id, source_name, null, null, null, 'unreadable rule body' from part_catalog where "value" = ''""",
     "match_single": f"""
         select {_LINE}, l_returnflag = 'R' returned, cast(l_quantity as varchar) = '23' whole,
                cast(l_quantity as varchar) = '23.0' "double" from lineitem""",
@@ -220,6 +262,36 @@ ORACLES = {
     "base_labels_repeated": """
         select p.id, concat_ws(',', nullif(p.labels, ''), nullif(v.labels, ''), nullif(s.labels, '')) labels
         from profile_tags p left join visit_tags v on p.id = v.id left join spend_tags s on p.id = s.id""",
+    "base_labels_units": """
+        select p.id, concat_ws(',', nullif(p.labels, ''), case when b.top_priority <= '3-MEDIUM' then '321' end,
+               case when s.n_orders = 1 then '311' end, case when s.max_price > 200000 and s.max_price <= 1000000 then '312' end) labels
+        from order_profile_tags p left join order_spend s on p.id = s.user_id and s.month_id = '199806'
+             left join order_spend b on p.id = b.user_id and b.dt = '199806'
+        where p.month_id = '199806'""",
+    "base_labels_months": """
+        select p.id, concat_ws(',', nullif(p.labels, ''), v.label_411, v.label_412) labels
+        from order_profile_tags p left join order_visit_tags v on p.id = v.id and v.month_id = '199806'
+        where p.month_id = '199806'""",
+    "station_report_months": """
+        select lac_ci, dn_flag, cast(to_json({'lac_ci': lac_ci, 'dn_flag': dn_flag, 'label_101': label_101,
+               'label_102': label_102, 'label_103': label_103}) as varchar) result, '199806' month_id
+        from order_station_counts""",
+    "station_report_saved": """
+        select lac_ci, dn_flag, cast(to_json({'lac_ci': lac_ci, 'dn_flag': dn_flag, 'label_101': label_101,
+               'label_102': label_102, 'label_103': label_103}) as varchar) result, '199806' month_id
+        from order_station_counts""",
+    "resident_attributes_months": "select * from order_attributes",
+    "resident_attributes_saved": "select id, labels, '199806' month_id from order_attributes",
+    "labels_append_months": _append(
+        """select id, string_agg(concat_ws(',', label_411, label_412), ',' order by concat_ws(',', label_411, label_412)) delta
+           from order_visit_tags where month_id = '199806' and (label_411 is not null or label_412 is not null) group by id""",
+        "s.labels || ',' || d.delta",
+    ),
+    "user_markets_documents": """
+        , n as (select t.id, t.labels, m.markets from order_profile_tags t left join market_lists m on t.id = m.userid
+                where t.month_id = '199806')
+        select * from n union all
+        select id, labels, null from docs where id not in (select id from n)""",
     "station_join": """
         select s.lac_ci, s.user_id, s.dn_flag, u.labels from station_live s join user_labels u on s.user_id = u.id
         where s.month_id = '202401'""",
@@ -235,26 +307,25 @@ ORACLES = {
         select userids, string_agg(distinct atid, ',' order by atid) atid
         from (select atid, unnest(string_split(userids, ',')) userids from campaign_batch) group by userids""",
     "user_markets": """
-        , m as (select userid, string_agg(distinct atid, ',' order by atid) markets
-                from (select b.atid, unnest(string_split(b.userids, ',')) userid
-                      from campaign_batch b join reached_actions a on a.atid = b.atid) group by userid)
-        select u.id, u.labels, m.markets from user_labels u left join m on u.id = m.userid""",
+        select u.id, u.labels, m.markets from user_labels u left join market_lists m on u.id = m.userid""",
     "resident_attributes": """
         select id, string_agg(distinct labels, ',' order by labels) labels from visit_attributes group by id""",
     "docs_with_any_label": """
-        select * from docs where list_has_any(string_split(labels, ','), ['101', '104'])""",
-    "docs_with_label": "select * from docs where list_contains(string_split(labels, ','), '103')",
+        select * from docs where list_has_any(string_split(labels, ','), ['201', '203'])""",
+    "docs_with_label": "select * from docs where list_contains(string_split(labels, ','), '203')",
     "doc_upsert": """
-        , n as (select cast(user_id as varchar) id, arg_max(event_type, (ts, event_id)) labels from events group by 1)
-        select id, labels from n union all select id, labels from docs where id not in (select id from n)""",
+        , n as (select cast(o_custkey as varchar) id, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) labels,
+                       arg_max(o_orderstatus, (o_orderdate, o_orderkey)) state
+                from orders_monthly where month_id = '199806' group by 1)
+        select * from n union all select id, labels, null from docs where id not in (select id from n)""",
     "doc_projection": "select lac_ci, longitude, latitude, per_num from station_heat where month_id = '202401'",
     "doc_projection_id_only": "select lac_ci from station_heat where month_id = '202401'",
     "labels_append_one": _append(
-        "select id, '203' delta from activity_tags where list_contains(string_split(labels, ','), '203')",
-        "s.labels || ',203'",
+        "select id, '103' delta from profile_tags where list_contains(string_split(labels, ','), '103')",
+        "s.labels || ',103'",
     ),
     "labels_append": _append(
-        "select id, labels delta from activity_tags where labels <> ''", "s.labels || ',' || d.delta"
+        "select id, labels delta from profile_tags where labels <> ''", "s.labels || ',' || d.delta"
     ),
     "labels_add": _append(
         """select id, list_sort(list(distinct label)) added, array_to_string(list_sort(list(distinct label)), ',') delta
@@ -264,15 +335,16 @@ ORACLES = {
         """concat_ws(',', s.labels, nullif(array_to_string(
              list_filter(d.added, lambda x: not list_contains(string_split(s.labels, ','), x)), ','), ''))""",
     ),
-    "labels_remove": _removed("x <> '103'"),
+    "labels_remove": _removed("x <> '203'"),
     "labels_remove_tail": _append(
         """select id, list_sort(list(label)) removed, array_to_string(list_sort(list(label)), ',') delta
-           from (select id, unnest(string_split(labels, ',')) label from profile_tags)
-           where label in ('102', '103', '105') group by id""",
+           from (select id, unnest(string_split(labels, ',')) label
+                 from (select * from profile_tags union all select * from activity_tags))
+           where label in ('103', '202', '203') group by id""",
         """array_to_string(list_filter(string_split(s.labels, ','),
              lambda x, i: i = 1 or not list_contains(d.removed, x)), ',')""",
     ),
-    "labels_remove_many": _removed("x not in ('101', '103', '105')"),
+    "labels_remove_many": _removed("x not in ('201', '203')"),
     "labels_compact": """
         select id, array_to_string(list_filter(string_split(labels, ','), lambda x: x <> ''), ',') labels from gappy""",
     "save_period": _saved("199706"),
@@ -296,12 +368,12 @@ ORACLES = {
         select 'user_zset' "key", member, cast(max(i) as double) score
         from (select member, row_number() over (order by o_orderdate, member) - 1 i from pushes) group by member""",
     "run_log_latest": """
-        select cast(user_id as varchar) job_id, event_type job_name, strftime(ts, '%Y%m') job_period,
-               strftime(min(ts), '%Y-%m-%d %H:%M:%S') create_time,
-               strftime(max(case when value < 40 then ts end), '%Y-%m-%d %H:%M:%S') end_time,
-               arg_max(case when value < 1 then '2' when value < 40 then '1' else '0' end, (ts, event_id)) status,
-               'it"s ' || event_type result
-        from events group by user_id, event_type, strftime(ts, '%Y%m')""",
+        select job_id, job_name, arg_max(job_desc, (ts, event_id)) filter (where status = '0') job_desc, job_period,
+               arg_max(project, (ts, event_id)) filter (where status = '0') project,
+               strftime(min(ts) filter (where status = '0'), '%Y-%m-%d %H:%M:%S') create_time,
+               case when arg_max(status, (ts, event_id)) <> '0' then strftime(max(ts), '%Y-%m-%d %H:%M:%S') end end_time,
+               arg_max(status, (ts, event_id)) status, 'it"s ' || job_name result
+        from run_events group by job_id, job_name, job_period having count(*) filter (where status = '0') > 0""",
     "csv_split": "select id, cast(len(items) as integer) n, array_to_string(items, '|') items from gappy_items",
     "csv_join": "select user_id, segment || ',' || nation joined from user_profile",
     "csv_clean_split": "select user_id, 2 n, segment || '|' || nation items from user_profile",

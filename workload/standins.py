@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.operators.rules import Rule
+from tagloom.operators.rules import Rule, label_columns
 from tagloom.operators.tags import label_matrix, tag_source
 from tagloom.plans.base_labels import BaseLabels, base_labels
 from tagloom.sources.catalog import CATALOG_SCHEMA
@@ -40,13 +40,27 @@ RULES = [
     ("903", '{"x":{"value":"1","type":"single"}}', None, "none", "month_id"),
 ]
 
+# Rules over the sources that span many months; one source has rules in two partition fields.
+ORDER_PERIOD = "199806"
+ORDER_LABELS = ["101", "102", "103"]
+ORDER_RULES = [
+    ("101", '{"segment":{"value":"BUILDING","type":"single"}}', "order_profile", "segment", "month_id"),
+    ("102", '{"segment":{"value":"MACHINERY,FURNITURE","type":"list"}}', "order_profile", "segment", "month_id"),
+    ("103", '{"acctbal":{"value":"[0,1000)","type":"range"}}', "order_profile", "balance", "month_id"),
+    ("311", '{"n_orders":{"value":"[1,1]","type":"range"}}', "order_spend", "orders", "month_id"),
+    ("312", '{"max_price":{"value":"(200000,1000000]","type":"range"}}', "order_spend", "price", "month_id"),
+    ("321", '{"top_priority":{"value":"1-URGENT,2-HIGH,3-MEDIUM","type":"list"}}', "order_spend", "before", "dt"),
+    ("411", '{"event_type":{"value":"F,P","type":"list"}}', "order_visit", "visit", "month_id"),
+    ("412", '{"value":{"value":"[100000,300000]","type":"range"}}', "order_visit", "visit", "month_id"),
+]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def rules_catalog(spark: SparkSession) -> DataFrame:
-    columns = dict(zip(CATALOG_SCHEMA.names, map(list, zip(*RULES, strict=True)), strict=True))
+def rules_catalog(spark: SparkSession, rules=RULES) -> DataFrame:
+    columns = dict(zip(CATALOG_SCHEMA.names, map(list, zip(*rules, strict=True)), strict=True))
     return spark.createDataFrame(pa.table(columns))  # a local relation: reading it takes no job
 
 
@@ -114,7 +128,73 @@ def user_visit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _month(date: str):
+    return F.date_format(date, "yyyyMM").alias("month_id")
+
+
+def order_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of each customer in each month with an order of theirs."""
+    months = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), _month("o_orderdate")).distinct()
+    return months.join(table(spark, sf_dir, "customer"), "c_custkey").select(
+        F.col("c_custkey").cast("string").alias("user_id"),
+        F.col("c_mktsegment").alias("segment"),
+        F.col("c_acctbal").alias("acctbal"),
+        "month_id",
+    )
+
+
+def order_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What customers spent by order month; ``dt`` is the month after."""
+    return (
+        table(spark, sf_dir, "orders")
+        .groupBy("o_custkey", F.trunc("o_orderdate", "month").alias("month"))
+        .agg(
+            F.count(F.lit(1)).alias("n_orders"),
+            F.max("o_totalprice").alias("max_price"),
+            F.min("o_orderpriority").alias("top_priority"),
+        )
+        .select(
+            F.col("o_custkey").cast("string").alias("user_id"),
+            "n_orders",
+            "max_price",
+            "top_priority",
+            _month("month"),
+            F.date_format(F.add_months("month", 1), "yyyyMM").alias("dt"),
+        )
+    )
+
+
+def order_visit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order as a visit to one of 50 places."""
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").cast("string").alias("user_id"),
+        (F.col("o_orderkey") % 50).cast("string").alias("lac_ci"),
+        F.col("o_orderstatus").alias("event_type"),
+        F.col("o_totalprice").alias("value"),
+        _month("o_orderdate"),
+    )
+
+
+def order_station(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Who ordered at a place, by month; urgent and high orders are day, the others night."""
+    flag = F.when(F.col("o_orderpriority") < "3", "D").otherwise("N").alias("dn_flag")
+    visits = table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 50).alias("place"), "o_custkey", flag, _month("o_orderdate"))
+    return visits.distinct().select(
+        F.col("place").cast("string").alias("lac_ci"), F.col("o_custkey").cast("string").alias("user_id"), "dn_flag", "month_id"
+    )
+
+
+def labels_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile labels of all months, as a saved label table holds them."""
+    rules = [Rule(*r) for r in ORDER_RULES if r[2] == "order_profile"]
+    labels = F.concat_ws(",", *label_columns(sorted(r.id for r in rules), rules)).alias("labels")
+    return order_profile(spark, sf_dir).select(F.col("user_id").alias("id"), labels, "month_id")
+
+
 SOURCES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "order_profile": order_profile,
+    "order_spend": order_spend,
+    "order_visit": order_visit,
     "user_profile": user_profile,
     "user_activity": user_activity,
     "user_spend": user_spend,
@@ -215,11 +295,15 @@ def order_labels(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
 
 
 def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of a user and event type in a part of a month: open ones, restarts, and ends without a start."""
     value = F.col("value")
+    part = F.floor(F.dayofmonth("ts") / 8).cast("string")
     return table(spark, sf_dir, "events").select(
         F.col("user_id").cast("string").alias("job_id"),
         F.col("event_type").alias("job_name"),
-        F.date_format("ts", "yyyyMM").alias("job_period"),
+        F.concat(F.lit("run "), F.col("event_id").cast("string")).alias("job_desc"),
+        F.concat(F.date_format("ts", "yyyyMM"), F.lit("w"), part).alias("job_period"),
+        F.concat(F.lit("p"), (F.col("event_id") % 3).cast("string")).alias("project"),
         F.col("ts").alias("event_time"),
         "event_id",
         F.when(value < 1, "2").when(value < 40, "1").otherwise("0").alias("status"),
@@ -247,9 +331,8 @@ def part_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Label documents of the users in credit; a user without profile label has no labels field."""
-    in_credit = user_profile(spark, sf_dir).where(F.col("acctbal") >= 0)
-    return _tags(in_credit, "user_profile").select("id", F.nullif("labels", F.lit("")).alias("labels"))
+    """Label documents of all users with events; a user without activity label has no labels field."""
+    return activity_tags(spark, sf_dir).select("id", F.nullif("labels", F.lit("")).alias("labels"))
 
 
 def _rules(source: str) -> tuple[list[str], list[Rule]]:
