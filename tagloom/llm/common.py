@@ -28,6 +28,19 @@ def settled(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as keep it apart from the columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
+def packed(df: DataFrame, *more: Column) -> DataFrame:
+    """All columns of ``df`` as one, ``_row``, beside ``more``, so that no name of theirs meets one of its own."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), *more)
+
+
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` computed once, also where ``use`` names it in a lambda."""
     return F.element_at(F.transform(F.array(value), use), 1)

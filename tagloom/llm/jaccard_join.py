@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagloom.llm.common import in_batches, same, settled, utf8
+from tagloom.llm.common import in_batches, packed, same, settled, utf8
 from tagloom.llm.components import components
 from tagloom.llm.shingles import WORDS, mixed, shingle_sets, text_parts
 
@@ -406,6 +406,7 @@ def drop_near_copies(
     """
     _, about = _classes(docs, id_column, text_column, words, similarity, recall)
     stay = about.select(F.col("_first.id").alias("_of"), F.col("_first.mark").alias("_with")).distinct().hint("shuffle_hash")
-    marked = docs.withColumn("_mark", F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))))
-    kept = marked.join(stay, (F.col("_mark") == F.col("_with")) & same(marked[id_column], F.col("_of")))
-    return kept.dropDuplicates(["_with", "_of"]).select(*docs.columns)
+    mark = F.xxhash64(F.coalesce(F.col(text_column), F.lit("")))
+    marked = packed(docs, F.col(id_column).alias("_id"), mark.alias("_mark"))
+    kept = marked.join(stay, (F.col("_mark") == F.col("_with")) & same(F.col("_id"), F.col("_of")))
+    return kept.dropDuplicates(["_with", "_of"]).select("_row.*")

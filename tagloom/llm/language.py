@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagloom.llm.common import in_batches, uniform, utf8
+from tagloom.llm.common import in_batches, uniform, unused, utf8
 
 WINDOW = 128  # bytes
 WIDTHS, FILTERS = (2, 3, 4), 16
@@ -185,15 +185,15 @@ def predict_language(
     """
     if network is None:
         return docs.withColumns({out_column: F.lit(UNKNOWN), score_column: F.lit(0.0)})
-    kept = [c for c in docs.columns if c not in (out_column, score_column, "_letter")]
+    kept, flag = [c for c in docs.columns if c not in (out_column, score_column)], unused(docs, "_letter")
     fields = [T.StructField(out_column, T.StringType()), T.StructField(score_column, T.DoubleType())]
-    work = docs.withColumn("_letter", F.coalesce(F.col(text_column).rlike(r"\p{L}"), F.lit(False))).select(*kept, "_letter")
+    work = docs.select(*kept, F.coalesce(F.col(text_column).rlike(r"\p{L}"), F.lit(False)).alias(flag))
     model = docs.sparkSession.sparkContext.broadcast(network)  # some 100 kB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array(model.value.languages, object)
         for batch in batches:
-            letter = batch.column("_letter").to_numpy(zero_copy_only=False).astype(bool)
+            letter = batch.column(flag).to_numpy(zero_copy_only=False).astype(bool)
             best, score = model.value.predict(*utf8(batch.column(text_column)))
             language = pa.array(np.where(letter, names[best], UNKNOWN), pa.string())
             arrays = [*[batch.column(c) for c in kept], language, pa.array(np.where(letter, score, 0.0), pa.float64())]

@@ -7,7 +7,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import SPACES, let, same, settled
+from tagloom.llm.common import SPACES, let, packed, same, settled
 
 MIN_CHARS, MIN_DOCUMENTS = 20, 3
 
@@ -81,19 +81,20 @@ def line_dedup(
     Null or empty texts are one empty line; their text becomes empty. Each row is a document: rows that
     repeat an id count separately, and if theirs is the largest id, each keeps the line. Null ids come
     before all others; a key that only documents without id hold stays in all of them. Other columns
-    pass through. An empty table gives an empty table.
+    pass through; columns with the names of the counts are replaced. An empty table gives an empty table.
 
     Only hashes, ids and positions are exploded and shuffled by line; the texts are shuffled once, to
     meet the positions to drop. A line with a large share of all rows is one row of the counts; in the
     join back, adaptive execution splits the partition it makes large.
     """
     text = F.coalesce(F.col(text_column), F.lit(""))
-    work = docs.withColumn("_mark", F.xxhash64(F.col(id_column), text))
+    work = packed(docs, F.col(id_column).alias("_id"), text.alias("_text"), F.xxhash64(F.col(id_column), text).alias("_mark"))
+    text = F.col("_text")
     # Written, as adaptive execution splits a hot line's partition only if both sides come from a shuffle.
     shared = settled(shared_lines(docs, id_column, text_column, min_chars, min_documents))
     positions = (
         work.select(
-            F.col(id_column).alias("_id"), "_mark", F.posexplode(F.transform(lines_of(text), line_key)).alias("_pos", "_key")
+            "_id", "_mark", F.posexplode(F.transform(lines_of(text), line_key)).alias("_pos", "_key")
         )
         .where(F.char_length("_key") >= min_chars)
         .select("_id", "_mark", "_pos", *_hashed(F.col("_key")))
@@ -102,18 +103,17 @@ def line_dedup(
     drops = (
         positions.join(shared, ["_h1", "_h2"])
         .where(~same(F.col("_id"), F.col("_last")))
-        .groupBy("_id", F.col("_mark").alias("_of"))
+        .groupBy(F.col("_id").alias("_of"), F.col("_mark").alias("_with"))
         .agg(F.sort_array(F.collect_set("_pos")).alias("_dropped"))
         .hint("shuffle_hash")  # a small part of the texts' size; the texts need no sort
     )
     kept = F.when(F.col("_dropped").isNull(), text).otherwise(
         let(lines_of(text), lambda lines: F.array_join(_without(lines, F.col("_dropped")), "\n"))
     )
-    joined = work.join(drops, same(work[id_column], drops["_id"]) & (work["_mark"] == drops["_of"]), "left")
-    return joined.withColumns(
-        {
-            "_n_lines": F.size(lines_of(text)).cast("long"),
-            "_n_dropped": F.coalesce(F.size("_dropped"), F.lit(0)).cast("long"),
-            text_column: kept,
-        }
-    ).select(*docs.columns, "_n_lines", "_n_dropped")
+    joined = work.join(drops, same(F.col("_id"), F.col("_of")) & (F.col("_mark") == F.col("_with")), "left")
+    columns = [c for c in docs.columns if c not in ("_n_lines", "_n_dropped")]
+    return joined.select(
+        *[kept.alias(c) if c == text_column else F.col("_row").getField(c).alias(c) for c in columns],
+        F.size(lines_of(text)).cast("long").alias("_n_lines"),
+        F.coalesce(F.size("_dropped"), F.lit(0)).cast("long").alias("_n_dropped"),
+    )

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import SPACE_CLASS, same, settled, uniform
+from tagloom.llm.common import packed, same, settled, uniform
 from tagloom.operators.indexing import global_positions
 
 WEIGHTS, SHARE, MAX_REPEATS = (3, 1, 2), 1.5, 2
@@ -195,7 +195,7 @@ def mix_sources(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     plan = mixing_plan(docs, id_column, text_column, source_column, **options).select(
         F.col("_id"), F.col("_source"), F.col("_size"), "_copies"
     )
-    work = docs.withColumn("_n", words(F.col(text_column)))
-    on = same(work[id_column], plan["_id"]) & same(work[source_column], plan["_source"]) & (work["_n"] == plan["_size"])
+    work = packed(docs, F.col(id_column).alias("_of"), F.col(source_column).alias("_from"), words(F.col(text_column)).alias("_n"))
+    on = same(F.col("_of"), F.col("_id")) & same(F.col("_from"), F.col("_source")) & (F.col("_n") == F.col("_size"))
     taken = work.join(plan.hint("shuffle_hash"), on).where(F.col("_copies") > 0)
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    return taken.select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("_row.*")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagloom.llm.common import in_batches
+from tagloom.llm.common import in_batches, unused
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[str, int, int]
@@ -373,14 +373,14 @@ def find_personal_data(docs: DataFrame, field: ChainField, text_column: str = "t
     Null and empty texts have none. A text without digit or @ has none either and is not looked at in Python.
     Other columns pass through; a column with the name of the result is replaced. No shuffle.
     """
-    kept = [c for c in docs.columns if c not in (out_column, "_look")]
-    work = docs.withColumn("_look", F.coalesce(F.col(text_column).rlike("[0-9@]"), F.lit(False))).select(*kept, "_look")
+    kept, flag = [c for c in docs.columns if c != out_column], unused(docs, "_look")
+    work = docs.select(*kept, F.coalesce(F.col(text_column).rlike("[0-9@]"), F.lit(False)).alias(flag))
     model = docs.sparkSession.sparkContext.broadcast(field)  # some 100 kB
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            look = np.flatnonzero(batch.column("_look").to_numpy(zero_copy_only=False).astype(bool))
+            look = np.flatnonzero(batch.column(flag).to_numpy(zero_copy_only=False).astype(bool))
             out = [[]] * batch.num_rows
             for i in range(0, len(look), 500):
                 some = look[i : i + 500]

@@ -143,12 +143,12 @@ class LabelModel:
         self.bad = np.append(bad, 1.0)
 
 
-def _mapped(df: DataFrame, names: list[str], fields: list[T.StructField], add) -> DataFrame:
-    """``df`` with the columns that ``add(words)`` gives, about 1 MB of text at a time."""
+def _mapped(df: DataFrame, names: list[str], fields: list[T.StructField], add, text: str = "_text") -> DataFrame:
+    """The columns ``names`` and those that ``add(words)`` gives, about 1 MB of text at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = utf8(batch.column("_text"))
+            data, offsets = utf8(batch.column(text))
             for i, j in text_parts(offsets):
                 arrays = add(Words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]))
                 kept = [batch.column(c).slice(i, j - i) for c in names]
@@ -247,5 +247,4 @@ def score_quality(docs: DataFrame, model: LabelModel, scorer: Scorer, text_colum
         scorer, bad = both.value
         return [pa.array(scorer.score(words)), pa.array(1 - bad[words.votes()])]
 
-    work = docs.select(*kept).withColumn("_text", F.col(text_column))
-    return _mapped(work, kept, fields, add)
+    return _mapped(docs.select(*kept), kept, fields, add, text_column)

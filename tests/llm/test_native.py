@@ -1,0 +1,197 @@
+"""Mixing, exact dedup and line dedup: the queries against their SQL or brute force, and the edge cases."""
+
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tagloom.llm import exact_dedup as ed
+from tagloom.llm import line_dedup as ld
+from tagloom.llm import mixing as mx
+from tagloom.llm.queries import QUERIES, SQL
+from workload.check import connect, difference
+
+NATIVE = ["op1_source_mixing", "op3_exact_dedup", "op10_line_dedup"]
+
+
+@pytest.mark.parametrize("name", list(SQL))
+def test_query_equals_sql(spark, sf, name):
+    assert difference(QUERIES[name](spark, sf), connect(sf), SQL[name]) is None
+
+
+@pytest.mark.parametrize("name", NATIVE)
+def test_native_queries_run_no_python(spark, sf, plan, name):
+    text = plan(QUERIES[name](spark, sf))
+    for operator in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert operator not in text
+
+
+# Line dedup
+
+
+def line_key(line):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line.strip(" \t\n\x0b\f\r"))
+
+
+def deduped(rows, min_chars=20, min_documents=3):
+    holders = {}
+    for i, (key, text) in enumerate(rows):
+        for k in {line_key(x) for x in (text or "").split("\n")}:
+            if len(k) >= min_chars:
+                holders.setdefault(k, []).append(i)
+    last = {k: max((rows[i][0] for i in h if rows[i][0] is not None), default=None) for k, h in holders.items() if len(h) >= min_documents}
+    out = []
+    for key, text in rows:
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if line_key(x) not in last or last[line_key(x)] == key]
+        out.append((key, "\n".join(kept), len(lines), len(lines) - len(kept)))
+    return sorted(out, key=repr)
+
+
+def test_line_dedup_equals_brute_force(spark):
+    r = random.Random(1)
+    shared = ["A line that is shared by MANY documents", "  a LINE that is shared by many documents \t", "Élan VITAL et autres choses É", "élan vital et autres choses é",
+              "short", "İstanbul ve diğer Güzel ŞEHİRLER", "ΣΑΣ ΣΑΣ ΣΑΣ ΣΑΣ ΣΑΣ ΣΑΣ", "", "x" * 19, "x" * 20]
+    rows = [(i, "\n".join(r.choices(shared + [f"own line number {i} of the text"], k=r.randint(0, 12)))) for i in range(60)]
+    rows += [(100, None), (101, ""), (102, "\n"), (None, shared[0]), (7, rows[7][1]), (7, rows[7][1] + "\n" + shared[2]), (103, "\n".join([shared[0]] * 3000))]
+    df = spark.createDataFrame([(k, t, "h", 1) for k, t in rows], "doc_id long, text string, _id string, _n_lines int").repartition(5)
+    out = ld.line_dedup(df)
+    assert out.columns == ["doc_id", "text", "_id", "_n_lines", "_n_dropped"]
+    got = sorted(((x.doc_id, x.text, x._n_lines, x._n_dropped) for x in out.collect()), key=repr)
+    assert got == deduped(rows)
+
+
+def test_line_dedup_of_documents_without_id(spark):
+    line = "the very same line of all of these"
+    df = spark.createDataFrame([(None, line)] * 4 + [(None, "other")], "doc_id long, text string")
+    assert [x.text for x in ld.line_dedup(df).collect()].count(line) == 4
+    assert ld.line_dedup(df.limit(0)).collect() == []
+
+
+# Exact dedup
+
+
+def copies(rows):
+    groups = {}
+    for key, text in rows:
+        groups.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", text or ""), []).append(key)
+    out = []
+    for norm, keys in groups.items():
+        keep = min((k for k in keys if k is not None), default=None)
+        first = True
+        for k in keys:
+            out.append((k, keep, len(keys), k == keep and first, hashlib.sha256(norm.encode()).hexdigest()))
+            first = first and k != keep
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("bits", [64, 3])  # 3: all keys collide, and chains are long
+def test_exact_dedup_equals_brute_force(spark, bits):
+    r = random.Random(2)
+    texts = ["a b", "a  b", "a\tb", " a b", "a b ", "", " ", "é\n", "é\r\n\n", "x" * 50_000, "A b", None]
+    rows = [(r.randint(0, 200), r.choice(texts)) for _ in range(60)] + [(300 + i, f"own {i}") for i in range(60)]
+    rows += [(None, "a b"), (None, "nobody else"), (None, "nobody else"), (5, "twice"), (5, "twice")]
+    df = spark.createDataFrame([(k, t, "h", False) for k, t in rows], "doc_id long, text string, _key string, kept boolean").repartition(4)
+    got = sorted((tuple(x) for x in ed.exact_dedup(df, capacity=4, hash_bits=bits).collect()), key=repr)
+    assert got == copies(rows)
+
+
+def test_directory_splits_until_buckets_fit(spark):
+    keys = spark.range(3000).select(F.xxhash64("id").alias("_key"))
+    slots, depth = ed.directory(keys, 50)
+    placed = keys.join(slots, F.shiftrightunsigned("_key", 64 - depth) == F.col("_slot"))
+    buckets = placed.groupBy("_bucket", "_depth").agg(F.count(F.lit(1)).alias("n"), F.min("_key").alias("low"), F.max("_key").alias("high")).collect()
+    assert sum(b.n for b in buckets) == 3000 and max(b.n for b in buckets) <= 50
+    signed = lambda x: x % (1 << 64)
+    for b in buckets:  # a bucket is the range of keys with its prefix, and its parent would be overfull
+        span = 1 << (64 - b._depth)
+        assert signed(b._bucket) <= signed(b.low) <= signed(b.high) < signed(b._bucket) + span
+        low = signed(b._bucket) // (2 * span) * (2 * span)
+        assert sum(low <= signed(k._key) < low + 2 * span for k in placed.select("_key").collect()) > 50
+        break
+    same = spark.range(100).select(F.lit(7).cast("long").alias("_key"))
+    slots, depth = ed.directory(same, 10)
+    assert slots.count() == 1 and slots.first()._depth == depth  # no split can part equal keys
+
+
+def test_exact_dedup_of_nothing(spark):
+    df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    assert ed.exact_dedup(df.limit(0)).collect() == []
+    assert [tuple(x)[:4] for x in ed.exact_dedup(df).collect()] == [(1, 1, 1, True)]
+
+
+# Mixing
+
+
+def targets(sizes, weights=(3, 1, 2), share=1.5, cap=2):
+    """Shares by weight; what is above a cap is shared again, until nothing is."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    total, capped = share * sum(sizes.values()), {}
+    while True:
+        rest = total - sum(capped.values())
+        free = {s: w for s, w in weight.items() if s not in capped}
+        if not free:
+            return capped
+        got = {s: rest * w / sum(free.values()) for s, w in free.items()}
+        over = [s for s, t in got.items() if t > cap * sizes[s]]
+        if not over:
+            return capped | got
+        capped |= {s: cap * sizes[s] for s in over}
+
+
+def corpus(seed, count):
+    r = random.Random(seed)
+    sources = ["hot"] * 12 + ["a", "b", "c", "Z", "é", None, "", "\U0001f642", "￮"]
+    return [(i, " w" * r.choice([0, 1, 3, 10, 40, 200]), r.choice(sources)) for i in range(count)]
+
+
+def test_mix_meets_the_targets(spark):
+    rows = corpus(3, 4000)
+    df = spark.createDataFrame([(*x, "_", 9) for x in rows], "doc_id long, text string, source string, _id string, size int").repartition(6)
+    plan = mx.mixing_plan(df).collect()
+    sizes, taken, got = {}, {}, {}
+    for _, text, source in rows:
+        sizes[source] = sizes.get(source, 0) + len(text) // 2
+    want = targets(sizes)
+    assert sorted(x._id for x in plan) == [x[0] for x in rows]
+    for x in plan:
+        assert 0 <= x._copies <= 2 and x._words == sizes[x._source]
+        taken[x._source] = taken.get(x._source, 0) + x._copies * x._size
+        got[x._source] = x._target
+    for source, target in want.items():
+        assert got[source] == pytest.approx(target)
+        assert abs(taken[source] - target) <= 200  # less than one document
+    assert sum(taken.values()) == pytest.approx(1.5 * sum(sizes.values()), rel=0.02)
+    again = mx.mixing_plan(df.repartition(3)).collect()
+    assert sorted(map(repr, plan)) == sorted(map(repr, again))
+    mixed = mx.mix_sources(df)
+    assert mixed.columns == df.columns
+    count = {r.doc_id: r["count"] for r in mixed.groupBy("doc_id").count().collect()}
+    assert {x._id: x._copies for x in plan if x._copies} == count
+
+
+def test_rounding_keeps_the_chances(spark):
+    """Over many seeds a document is taken as often as its fraction says, and the words hardly vary."""
+    rows = [(i, " w" * (1 + i % 7), "only") for i in range(300)] + [(1000 + i, " w" * 5, "other") for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").cache()
+    seeds, seen = 12, {}
+    for seed in range(seeds):
+        for x in mx.mixing_plan(df, weights=(1, 1), share=0.3, seed=seed).where("_source = 'only'").collect():
+            seen.setdefault(x._id, []).append((x._copies, x._target / x._words))
+    rate = sum(c for v in seen.values() for c, _ in v) / (300 * seeds)
+    assert rate == pytest.approx(next(iter(seen.values()))[0][1], abs=0.03)
+    assert len({tuple(c for c, _ in v) for v in seen.values()}) > 100  # different documents each time
+    df.unpersist()
+
+
+def test_mix_edge_cases(spark):
+    schema = "doc_id long, text string, source string"
+    df = spark.createDataFrame([(1, None, "a"), (2, "", "a"), (None, "x y", "b"), (None, "x y", "b"), (3, "x", None)], schema)
+    plan = {(x._id, x._source): x for x in mx.mixing_plan(df).collect()}
+    assert len(plan) == 4 and plan[None, "b"]._rows == 2
+    assert plan[1, "a"]._copies == plan[2, "a"]._copies == 1  # a source without words
+    assert mx.mixing_plan(df.limit(0)).collect() == [] and mx.mix_sources(df.limit(0)).collect() == []
+    assert mx.mix_sources(df).where("source = 'b'").count() == 2 * plan[None, "b"]._copies

@@ -55,12 +55,12 @@ def test_frames(spark):
     rows = [(1, None), (2, ""), (3, " \n\t"), (4, good * 3), (4, good * 3), (None, "SPAM!! BUY!! NOW!! " * 30), (6, good * 2000)]
     df = spark.createDataFrame([(k, t, 0.5, "_") for k, t in rows], "doc_id long, text string, quality double, _text string")
     model = ql.fit_label_model(df)
-    out = ql.score_quality(df.drop("_text"), model, ql.fit_scorer(df, model)).collect()
-    assert out[0].__fields__ == ["doc_id", "text", "quality", "weak_label"] and len(out) == len(rows)
+    out = ql.score_quality(df, model, ql.fit_scorer(df, model)).collect()
+    assert out[0].__fields__ == ["doc_id", "text", "_text", "quality", "weak_label"] and len(out) == len(rows)
     score = {(r.doc_id, r.text): (r.quality, r.weak_label) for r in out}
     assert [score[k, t] for k, t in rows[:3]] == [(0.0, 0.0)] * 3
     assert score[4, good * 3][0] > 0.5 > score[None, "SPAM!! BUY!! NOW!! " * 30][0]
-    empty = df.limit(0).drop("_text")
+    empty = df.limit(0)
     model = ql.fit_label_model(empty)
     assert ql.score_quality(empty, model, ql.fit_scorer(empty, model)).collect() == []
 
