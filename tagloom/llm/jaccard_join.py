@@ -15,7 +15,7 @@ from tagloom.llm.common import in_batches, packed, same, settled, utf8
 from tagloom.llm.components import components
 from tagloom.llm.shingles import WORDS, mixed, shingle_sets, text_parts
 
-SIMILARITY, RECALL = 0.8, 0.999
+SIMILARITY, RECALL = 0.8, 0.9999
 BRANCHING = 2.0  # shared tokens that a run samples, on average, of two sets at the least similarity
 LEVELS = 3  # tokens a path can have
 BUCKET = 2000  # a bucket with more sets is split by the next token of the paths, up to the last level
@@ -214,7 +214,7 @@ def common_counts(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     column = (np.cumsum(times > 1) - 1)[token[keep]]
     row = np.repeat(np.arange(n), np.diff(ends))[keep]
     if not len(column):
-        return out
+        return out.astype(np.int64)
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
     np.fill_diagonal(out, 0)
@@ -225,7 +225,7 @@ def common_counts(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
         part[row[i:j], column[i:j] - begin] = 1
         out += part @ part.T
     np.fill_diagonal(out, np.diff(ends))
-    return out
+    return out.astype(np.int64)  # counts below 2^24 are exact, and what is computed from them must be
 
 
 def _first_meeting(paths: np.ndarray, ends: np.ndarray, here: int, pair: np.ndarray) -> np.ndarray:

@@ -107,6 +107,15 @@ def test_join_equals_brute_force(spark, monkeypatch, small):
     assert got(jj.jaccard_classes(df, recall=0.9999)) == brute(rows)
 
 
+def test_pairs_at_exactly_the_least_similarity(spark):
+    """Sets of 9 k shingles of which 8 k are common, in a group that is compared as a matrix."""
+    assert jj._near(np.array([[0, 800], [800, 0]]), np.array([900, 900]), 0.8)[0, 1]
+    for c in [1, 2, 3, 7, 60, 333, 1000]:
+        near = jj._near(jj.common_counts(np.tile(np.arange(8 * c), 3), np.arange(4) * 8 * c), np.full(3, 9 * c), 0.8)
+        assert near.all()
+        assert not jj._near(np.array([[8 * c - 1]]), np.array([9 * c]), 0.8).any()
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     assert got(jj.jaccard_classes(df)) == [(1, 1, 1, 0)]
