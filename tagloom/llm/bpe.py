@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tagloom.llm.common import in_batches, text_column as text_array, utf8
 
-KEPT_FRAGMENTS = 400_000  # in each task's memory; more are encoded again
+KEPT_FRAGMENTS = 250_000  # in each task's memory; more are encoded again
 _SLICE = 200_000
 
 
