@@ -61,11 +61,12 @@ def str_map(text: Column, pair_separator: str = ",", key_separator: str = ":") -
     ``spark.sql.mapKeyDedupPolicy`` as `tagloom.settings` sets it.
     """
     between, within = literal_pattern(pair_separator), literal_pattern(key_separator)
-    trimmed = F.regexp_replace(text, f"(?:{between})+$", "")
-    # What starts or goes on after the first separator of an item: nothing, or a second one.
-    one_each = len(pair_separator) == len(key_separator) == 1
-    part = f"[^{between}{within}]" if one_each else f"(?:(?!{between}|{within}).)"
-    bad = ~trimmed.rlike(f"(?s)^{part}*{within}{part}+(?:{between}{part}*{within}{part}+)*+$")
+    if len(pair_separator) == len(key_separator) == 1:
+        trimmed, part = F.rtrim(text, F.lit(pair_separator)), f"[^{between}{within}]"
+    else:
+        trimmed, part = F.regexp_replace(text, f"(?:{between})+$", ""), f"(?:(?!{between}|{within}).)"
+    pair = f"{part}*+{within}{part}++"
+    bad = ~trimmed.rlike(f"(?s)^{pair}(?:{between}{pair})*+$")
     return (
         F.when((trimmed == "") & (text != ""), F.create_map().cast("map<string,string>"))
         .when(bad, F.raise_error(F.concat(F.lit("not a pair in "), text)).cast("map<string,string>"))

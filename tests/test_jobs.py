@@ -11,7 +11,7 @@ from tagloom.plans.publish import publish_key_values, publish_relational
 from tagloom.sinks import period as p
 from tagloom.sinks.relational import jdbc_write_options, rolling_append
 from tagloom.sinks.runlog import EVENT_SCHEMA, RunLog, run_log_latest
-from tagloom.sinks.scratch import shared_folder
+from tagloom.sinks.scratch import drop_scratch, shared_database, shared_folder
 from tagloom.sources import catalog as c
 from tagloom.sources import tables as t
 from workload import standins as s
@@ -238,6 +238,13 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) != shared_folder(spark)
 
 
+def test_scratch_databases_are_dropped(spark):
+    name = shared_database(spark)
+    spark.range(3).write.saveAsTable(f"{name}.t")
+    drop_scratch(spark)
+    assert not spark.catalog.databaseExists(name)
+
+
 def test_run_log(spark, rows, database):
     log = RunLog(spark, f"{database}.runs", "p")
     with log.run("good", "202401"):
