@@ -20,7 +20,7 @@ BRANCHING = 2.0  # shared tokens that a run samples, on average, of two sets at
 LEVELS = 3  # tokens a path can have
 BUCKET = 2000  # a bucket with more sets is split by the next token of the paths, up to the last level
 SKETCH, SKETCH_COMMON = 48, 0.55
-BLOCK_SETS, BLOCK_TOKENS = 500, 1 << 21
+BLOCK_SETS, BLOCK_TOKENS = 1000, 1 << 21
 
 _ODD = np.random.default_rng(5).integers(1, 2**62, 4096, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -156,7 +156,7 @@ def buckets(sets: DataFrame, similarity: float, runs: int) -> DataFrame:
 def _in_blocks(members: DataFrame) -> DataFrame:
     """Rows of a bucket as groups of one or two blocks of it, so that every two sets of it are in one group.
 
-    A block has at most some 500 sets and 2 million tokens, however large the bucket is.
+    A block has at most some 1,000 sets and 2 million tokens, however large the bucket is.
     """
     largest = F.pow(F.lit(2.0), F.col("_class") + 1)  # of the bucket's sets
     wide = F.greatest(F.lit(1), F.least(F.lit(BLOCK_SETS), F.floor(F.lit(BLOCK_TOKENS) / largest)))
