@@ -141,10 +141,12 @@ def buckets(sets: DataFrame, similarity: float, runs: int) -> DataFrame:
             done.append(counted.select("_path", "_class", "_key", "_n"))
             break
         done.append(counted.where(F.col("_n") <= BUCKET).select("_path", "_class", "_key", "_n"))
-        large = counts.where(F.col("_n") > BUCKET)
+        # Written, so that Spark knows how small they mostly are, and need not shuffle all rows to find the few.
+        large = settled(counts.where(F.col("_n") > BUCKET).coalesce(1))
         if large.isEmpty():
             break
-        again = level.join(large, "_path").select("_path", "_class", "_key", "_run").join(sets.select("_key", "_picks"), "_key")
+        again = settled(level.join(large, "_path").select("_path", "_class", "_key", "_run"))
+        again = again.join(sets.select("_key", "_picks"), "_key")
         token = F.explode(F.get("_picks", F.col("_run") * LEVELS + depth)).alias("_token")
         level = again.select("_key", "_run", "_class", "_path", token).select("_key", "_run", "_class", F.xxhash64("_path", "_token").alias("_path"))
     out = done[0]
