@@ -28,17 +28,19 @@ _ODD = np.random.default_rng(5).integers(1, 2**62, 4096, dtype=np.uint64) * np.u
 def runs_for(recall: float) -> int:
     """How many runs find a pair at the least similarity with this probability.
 
-    Such a pair shares at least `BRANCHING` sampled tokens a run on average, so a run misses it with a chance of
-    exp(-`BRANCHING`) at most.
+    Such a pair shares at least `BRANCHING` sampled tokens on a level of a run on average, so none with a chance of
+    exp(-`BRANCHING`) at most. In buckets that are split up to the last level it must share one on every level, and
+    as samples do not depend on the path, no other path makes up for a level without one.
     """
-    return max(1, math.ceil(math.log(1 / (1 - recall)) / BRANCHING))
+    found = (1 - math.exp(-BRANCHING)) ** LEVELS
+    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - found)))
 
 
 HASHED = T.StructType(
     [
         T.StructField("_key", T.BinaryType()),
         T.StructField("_size", T.LongType()),
-        T.StructField("_picks", T.ArrayType(T.ArrayType(T.LongType()))),
+        T.StructField("_picks", T.ArrayType(T.ArrayType(T.IntegerType()))),
         T.StructField("_sketch", T.ArrayType(T.IntegerType())),
     ]
 )
@@ -47,7 +49,8 @@ HASHED = T.StructType(
 def _sampled(sets: np.ndarray, ends: np.ndarray, similarity: float, runs: int) -> tuple[np.ndarray, np.ndarray]:
     """For each text, run and level the tokens whose hash is below a bound that depends on the set's size.
 
-    The bound is the same function of the token for all sets, so sets share samples as they share tokens.
+    The bound is the same function of the token for all sets, so sets share samples as they share tokens. Samples are
+    named by 32 bits: two tokens of one name only put more sets in a bucket.
     """
     sizes = np.diff(ends)
     of = np.repeat(np.arange(len(sizes)), sizes)
@@ -58,11 +61,11 @@ def _sampled(sets: np.ndarray, ends: np.ndarray, similarity: float, runs: int) -
         value = sets * _ODD[k]
         value = (value ^ (value >> np.uint64(29))) * _ODD[k + 1] >> np.uint64(1)
         chosen = np.flatnonzero(value < bound)
-        picks.append(mixed(sets[chosen] + _ODD[k]))
+        picks.append((mixed(sets[chosen] + _ODD[k]) >> np.uint64(32)).astype(np.uint32))
         lengths[:, k] = np.bincount(of[chosen], minlength=len(sizes))
     # By text, then run and level.
     owner = np.concatenate([np.repeat(np.arange(len(sizes)), lengths[:, k]) for k in range(runs * LEVELS)])
-    return np.concatenate(picks)[np.argsort(owner, kind="stable")].view(np.int64), lengths.ravel()
+    return np.concatenate(picks)[np.argsort(owner, kind="stable")].view(np.int32), lengths.ravel()
 
 
 def _offsets(lengths: np.ndarray) -> pa.Array:
@@ -131,7 +134,7 @@ def buckets(sets: DataFrame, similarity: float, runs: int) -> DataFrame:
     level = sets.select("_key", "_picks", F.explode(F.array_distinct(F.array(*at))).alias("_class"))
     level = level.select("_key", "_picks", "_class", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("_run"))
     level = level.select("_key", "_run", "_class", F.explode(F.get("_picks", F.col("_run") * LEVELS)).alias("_token"))
-    level = level.select("_key", "_run", "_class", F.xxhash64("_class", "_token").alias("_path"))
+    level = level.select("_key", "_run", "_class", F.xxhash64("_class", "_run", "_token").alias("_path"))
     done = []
     for depth in range(1, LEVELS + 1):
         level = settled(level)

@@ -116,6 +116,45 @@ def test_pairs_at_exactly_the_least_similarity(spark):
         assert not jj._near(np.array([[8 * c - 1]]), np.array([9 * c]), 0.8).any()
 
 
+def test_recall_in_buckets_split_to_the_last_level():
+    """Pairs at exactly the least similarity that no run samples on all levels."""
+    pairs, r = 40_000, np.random.default_rng(7)
+    both, one = r.integers(1, 2**63, (pairs, 80), dtype=np.uint64), r.integers(1, 2**63, (2, pairs, 10), dtype=np.uint64)
+    runs, names = jj.runs_for(jj.RECALL), []
+    for x in one:
+        picks, lengths = jj._sampled(np.hstack([both, x]).ravel(), np.arange(pairs + 1) * 90, jj.SIMILARITY, runs)
+        place = np.repeat(np.arange(len(lengths)), lengths)  # pair, run and level
+        names.append(place * 2**32 + picks.view(np.uint32))
+    shared = np.zeros(pairs * runs * jj.LEVELS, bool)
+    shared[np.intersect1d(*names) >> 32] = True
+    found = shared.reshape(pairs, runs, jj.LEVELS).all(2).any(1)
+    assert (~found).sum() <= 2 * (1 - jj.RECALL) * pairs
+
+
+def test_recall_in_large_classes(spark, monkeypatch):
+    """Some thousand different near copies, in buckets that are split up to the last level."""
+    monkeypatch.setattr(jj, "BUCKET", 30)
+    r, texts = random.Random(4), []
+    for group in range(20):
+        base = [f"w{group}x{i}" for i in range(96)]
+        for i in range(150):
+            copy = list(base)
+            copy[r.randrange(96)] = f"other{group}x{i}"
+            texts.append(" ".join(copy))
+    links = 0
+    for group in range(20):
+        sets = [shingle_set(t) for t in texts[group * 150 : group * 150 + 150]]
+        names = {x: i for i, x in enumerate(set().union(*sets))}
+        has = np.zeros((150, len(names)))
+        for i, s in enumerate(sets):
+            has[i, [names[x] for x in s]] = 1
+        common, size = has @ has.T, has.sum(1)
+        links += (common / (size[:, None] + size[None, :] - common) >= 0.8 - 1e-9).sum() - 150
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    found = sum(row.n_links for row in jj.jaccard_classes(df).select("n_links").collect())
+    assert links > 400_000 and links * 0.9995 <= found <= links
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     assert got(jj.jaccard_classes(df)) == [(1, 1, 1, 0)]
