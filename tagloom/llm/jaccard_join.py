@@ -241,10 +241,13 @@ def _first_meeting(paths: np.ndarray, ends: np.ndarray, here: int, pair: np.ndar
     return pair & (common_counts(mine[below], ends) == 0) if ends[-1] else pair
 
 
-def _pairs(second: np.ndarray) -> np.ndarray:
-    """Which two rows of a group meet there: all in a group of one block, else those of different blocks."""
+def _pairs(second: np.ndarray, alone: bool) -> np.ndarray:
+    """Which two rows of a group meet there: all in a group of one block (``alone``), else those of different blocks.
+
+    A group of two blocks may have rows of one only, as the other can be empty; no two of them meet there.
+    """
     n = len(second)
-    pair = second[:, None] != second[None, :] if second.any() else np.ones((n, n), bool)
+    pair = np.ones((n, n), bool) if alone else second[:, None] != second[None, :]
     np.fill_diagonal(pair, False)
     return pair
 
@@ -264,13 +267,14 @@ def _plausible(members: DataFrame, similarity: float) -> DataFrame:
             paths, path_ends = _lists(batch.column("_paths"))
             second = batch.column("_second").to_numpy(zero_copy_only=False).astype(bool)
             here, sizes = batch.column("_path").to_numpy(), batch.column("_size").to_numpy()
+            alone = batch.column("_low").to_numpy() == batch.column("_high").to_numpy()
             # Far fewer of the smallest shingles in common than similar sets have: some 6 standard deviations.
             least = similarity * SKETCH_COMMON
             keep = []
             for a, b in zip(starts[:-1], starts[1:]):
                 if b - a < 2:
                     continue
-                pair = _pairs(second[a:b])
+                pair = _pairs(second[a:b], alone[a])
                 few = np.diff(sketch_ends[a : b + 1])
                 common = common_counts(sketch, sketch_ends[a : b + 1])
                 small = np.minimum(few[:, None], few[None, :])
@@ -296,13 +300,14 @@ def _linked(members: DataFrame, similarity: float) -> DataFrame:
             paths, path_ends = _lists(batch.column("_paths"))
             second = batch.column("_second").to_numpy(zero_copy_only=False).astype(bool)
             here, copies = batch.column("_path").to_numpy(), batch.column("_copies").to_numpy()
+            alone = batch.column("_low").to_numpy() == batch.column("_high").to_numpy()
             keys = batch.column("_key").to_pylist()
             out = [], [], []
             for a, b in zip(starts[:-1], starts[1:]):
                 if b - a < 2:
                     continue
                 sizes = np.diff(ends[a : b + 1])
-                pair = _pairs(second[a:b]) & _near(common_counts(values, ends[a : b + 1]), sizes, similarity)
+                pair = _pairs(second[a:b], alone[a]) & _near(common_counts(values, ends[a : b + 1]), sizes, similarity)
                 if not pair.any():
                     continue
                 pair = _first_meeting(paths, path_ends[a : b + 1], int(here[a]), pair)

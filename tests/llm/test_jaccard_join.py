@@ -107,6 +107,13 @@ def test_join_equals_brute_force(spark, monkeypatch, small):
     assert got(jj.jaccard_classes(df, recall=0.9999)) == brute(rows)
 
 
+def test_links_count_once_where_blocks_are_empty(spark, monkeypatch):
+    """A few sets over as many blocks, as very long near copies have."""
+    monkeypatch.setattr(jj, "BLOCK_TOKENS", 1)
+    rows = list(enumerate(corpus(6, groups=20, singles=5)))
+    assert got(jj.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))) == brute(rows)
+
+
 def test_pairs_at_exactly_the_least_similarity(spark):
     """Sets of 9 k shingles of which 8 k are common, in a group that is compared as a matrix."""
     assert jj._near(np.array([[0, 800], [800, 0]]), np.array([900, 900]), 0.8)[0, 1]
