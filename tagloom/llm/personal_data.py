@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 from itertools import groupby
 
@@ -62,8 +63,11 @@ def base_spans(text: str) -> list[Span]:
 
 _TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|\S")
 _RUN = re.compile(r"\S+")
-_TRIGGER = re.compile(r"[0-9@]")
-REACH = 8  # tokens to either side of a digit or @ that are looked at
+# Where personal data can be: digits, @, '(at)' or '[at]', and 'at' before a dotted host. Read alike by Spark.
+_AT = r"[(\[{][ \t]*[aA][tT][ \t]*[)\]}]|(?<![A-Za-z])[aA][tT][ \t]+[^ \t\r\n.]+\.[^ \t\r\n.]"
+TRIGGER = f"[0-9@]|{_AT}"
+_TRIGGER, _WRITTEN_AT = re.compile(TRIGGER), re.compile(_AT)
+REACH = 8  # tokens to either side of such a place that are looked at
 LABELS = ("O", *(f"{b}-{k}" for k in KINDS for b in "BI"))
 
 
@@ -86,10 +90,10 @@ def _digits(run: str) -> str:
 
 
 def segments(text: str) -> Iterator[list[tuple[int, int, list[str]]]]:
-    """Tokens near a digit or @, as runs of ``(start, end, features)``.
+    """Tokens near a match of `TRIGGER`, as runs of ``(start, end, features)``.
 
     No span begins further than `REACH` tokens from one, so all other tokens are no personal data by definition.
-    Line ends end a segment. Looks at the lines with such a character only, and keeps one line's tokens.
+    Line ends end a segment. Looks at the lines with such a match only, and keeps one line's tokens.
     """
     position, end = _TRIGGER.search(text), 0
     while position:
@@ -107,6 +111,11 @@ def _line_segments(text: str, start: int, end: int) -> Iterator[list[tuple[int,
         if t == "@" or "0" <= t[0] <= "9":
             near[max(0, i - REACH)] += 1
             near[min(last, i + REACH + 1)] -= 1
+    written = list(_WRITTEN_AT.finditer(text, start, end))
+    starts = [a for a, _, _ in tokens] if written else []
+    for m in written:
+        near[max(0, bisect_right(starts, m.start()) - 1 - REACH)] += 1
+        near[min(last, bisect_left(starts, m.end()) + REACH)] -= 1
     inside = np.flatnonzero(np.cumsum(near[:-1]) > 0)
     for part in np.split(inside, np.flatnonzero(np.diff(inside) > 1) + 1):
         if len(part):
@@ -231,8 +240,11 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
 WORDS = "the of and to in is it for on with le la les de et un une que der die das und ein zu el los una y con para please write call".split()
 
 
-def labelled_table(rows: int = 250, seed: int = 11) -> list[tuple[str, list[Span]]]:
-    """Sentences with marked spans, made by rule: each kind in several ways of writing, and numbers that are none."""
+def labelled_table(rows: int = 250, seed: int = 11, written: bool = False) -> list[tuple[str, list[Span]]]:
+    """Sentences with marked spans, made by rule: each kind in several ways of writing, and numbers that are none.
+
+    With ``written``, sentences without digits or @, and addresses in them with '(at)' or '[at]'.
+    """
     r = random.Random(seed)
 
     def number(n: int) -> str:
@@ -261,6 +273,7 @@ def labelled_table(rows: int = 250, seed: int = 11) -> list[tuple[str, list[Span
             f"+{number(2)} {number(3)} {number(3)} {number(4)}", f"00{number(2)} {number(3)} {number(3)} {number(4)}", f"{number(3)}.{number(3)}.{number(4)}",
         ]),
     }
+    written_address = lambda: f"{name()}{r.choice(['', '', '.' + name()])}{r.choice([' (at) ', '[at]'])}{name()}{r.choice(['', '.' + name()])}.{r.choice(['com', 'org', 'net', 'de', 'fr'])}"
     others = [
         lambda: f"{r.randint(1900, 2099)}-{r.randint(10, 12)}-{r.randint(10, 28)}", lambda: f"{r.randint(1, 23)}:{number(2)}", lambda: number(r.randint(1, 13)),
         lambda: f"{number(2)}.{number(2)}", lambda: f"{number(1)}.{number(1)}.{number(1)}", lambda: f"{number(1)},{number(3)}.{number(2)}", lambda: f"#{number(5)}",
@@ -274,20 +287,20 @@ def labelled_table(rows: int = 250, seed: int = 11) -> list[tuple[str, list[Span
         for _ in range(r.randint(3, 14)):
             kind = r.random()
             if kind < 0.12:
-                k = r.choice(KINDS)
-                piece = writers[k]()
+                k = "email" if written else r.choice(KINDS)
+                piece = written_address() if written else writers[k]()
                 spans.append((k, len(text), len(text) + len(piece)))
             else:
-                piece = r.choice(others)() if kind < 0.3 else word()
+                piece = r.choice(others)() if kind < 0.3 and not written else f"(at) {word()}" if written and kind < 0.15 else word()
             text += piece + (r.choice([".", ",", "!!", "###", "%%%", " |", ";"]) if r.random() < 0.25 else "") + " "
         table.append((text.strip(), spans))
     return table
 
 
 def fit_chain_field(table: Iterable[tuple[str, list[Span]]] | None = None) -> ChainField:
-    """A field learned from rows of text and spans; by default from `labelled_table`."""
+    """A field learned from rows of text and spans; by default from `labelled_table`, both forms."""
     sequences, labels, seen = [], [], {}
-    for text, spans in labelled_table() if table is None else table:
+    for text, spans in labelled_table() + labelled_table(100, written=True) if table is None else table:
         for segment in segments(text):
             sequences.append([f for _, _, f in segment])
             marks = []
@@ -309,7 +322,7 @@ def _likely(kind: str, piece: str) -> bool:
     """Could this be of the kind at all?"""
     digits = _NO_DIGIT.sub("", piece)
     if kind == "email":
-        return bool(re.search(r"(@|\bat\b)", piece) and "." in piece and piece[-1].isalnum())
+        return bool(re.search(r"(@|\b[aA][tT]\b)", piece) and "." in piece and piece[-1].isalnum())
     if kind == "ip":
         return bool(re.fullmatch(r"[0-9]{1,3}(\.[0-9]{1,3}){3}", piece)) and all(int(p) <= 255 for p in piece.split("."))
     if kind == "card":
@@ -370,11 +383,11 @@ def find_personal_data(docs: DataFrame, field: ChainField, text_column: str = "t
     """``docs`` with the spans of personal data in the whole text, in code points, by kind and place.
 
     ``base`` spans are the matches of the fixed patterns, all of them; the others were added by the field.
-    Null and empty texts have none. A text without digit or @ has none either and is not looked at in Python.
+    Null and empty texts have none. A text without a match of `TRIGGER` has none either and is not looked at in Python.
     Other columns pass through; a column with the name of the result is replaced. No shuffle.
     """
     kept, flag = [c for c in docs.columns if c != out_column], unused(docs, "_look")
-    work = docs.select(*kept, F.coalesce(F.col(text_column).rlike("[0-9@]"), F.lit(False)).alias(flag))
+    work = docs.select(*kept, F.coalesce(F.col(text_column).rlike(TRIGGER), F.lit(False)).alias(flag))
     model = docs.sparkSession.sparkContext.broadcast(field)  # some 100 kB
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_())]))
 

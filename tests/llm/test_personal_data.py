@@ -71,6 +71,19 @@ def test_field_finds_unseen_spans_and_leaves_plain_text_alone(field):
     assert [(k, base) for k, _, _, base in added] == [("email", False), ("phone", False)]
 
 
+def test_written_addresses_without_digits(spark, field):
+    """No digit and no @ in the text, or none within reach; also through the frame, which chooses the texts to look at."""
+    rest = "and so on with words " * 20
+    forms = ["jane (at) host.org", "jane.doe[at]mail.host.com", "anna (at) mail.example.de"]
+    texts = [f"please write to {f} {end}" for f in forms for end in ("", rest, rest + "on 2024-05-01")]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for r in pd.find_personal_data(df, field).collect():
+        address = next(f for f in forms if f in r.text)
+        assert [(s.kind, r.text[s.start : s.end], s.base) for s in r.spans] == [("email", address, False)], r.text
+    plain = ["We met at home. Look at this (at least once) and at St.Paul for the rest", "(at) noon [at] night"]
+    assert pd.all_spans(plain, field) == [[], []]
+
+
 def test_decode_is_the_best_path(field):
     import itertools
 
