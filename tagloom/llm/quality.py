@@ -20,10 +20,11 @@ HEURISTICS = {
     "words equal to the one before": (0.05, 0.25),
     "words without any letter": (0.05, 0.2),
     "words that end a sentence": (0.3, 0.6),
-    "repeated words, of the first 200": (0.6, 0.85),
+    "repeated words, of the first 200": (0.6, 0.85),  # and of every 200 that follow: see `WINDOW`
     "digits per character": (0.1, 0.5),
     "words that end in a symbol": (0.1, 0.4),
 }
+WINDOW = 200  # words that are compared with each other; the mean over all windows does not depend on a text's length
 FEWEST_WORDS = 8  # shares of fewer words say nothing, and all heuristics are silent
 NO_WORDS = -1  # instead of votes
 GOOD, BAD, SILENT = 0, 1, 2
@@ -70,11 +71,12 @@ class Words:
     def measures(self) -> np.ndarray:
         """`HEURISTICS` of each text, as columns."""
         words, characters = np.maximum(self.counts, 1), np.maximum(self.characters, 1)
-        early = np.arange(len(self.of)) - self.first[self.of] < 200 if len(self.of) else np.zeros(0, bool)
-        order = np.lexsort((self.hashes[early], self.of[early]))
-        h, o = self.hashes[early][order], self.of[early][order]
-        again = np.zeros(len(o), bool)
-        again[1:] = (h[1:] == h[:-1]) & (o[1:] == o[:-1])
+        place = np.arange(len(self.of)) - (self.first[self.of] if len(self.of) else 0)
+        window = np.cumsum(place % WINDOW == 0)  # the texts' words follow each other
+        order = np.lexsort((self.hashes, window))
+        h, w = self.hashes[order], window[order]
+        again = np.zeros(len(h), bool)
+        again[1:] = (h[1:] == h[:-1]) & (w[1:] == w[:-1])
         return np.stack(
             [
                 self.symbols / characters,
@@ -82,7 +84,7 @@ class Words:
                 self.per_text(self.same) / words,
                 self.per_text((self.kinds & _LETTERS) == 0) / words,
                 self.per_text(self.last == 8) / words,
-                np.bincount(o[again], minlength=self.texts) / np.minimum(words, 200),
+                np.bincount(self.of[order][again], minlength=self.texts) / words,
                 self.digits / characters,
                 self.per_text(self.last == 32) / words,
             ],

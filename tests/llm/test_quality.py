@@ -26,6 +26,15 @@ def test_measures():
     assert m["words that end in a symbol"] == pytest.approx(2 / 8)
 
 
+def test_repetition_after_the_first_words_counts():
+    name, varied = "repeated words, of the first 200", " ".join(f"w{i}" for i in range(200))
+    texts = ["a b", f"{varied} " + "buy this now and here " * 2000, " ".join(f"w{i}" for i in range(5000)), varied + " a a"]
+    together = words(*texts).measures()[:, list(ql.HEURISTICS).index(name)]
+    assert together == pytest.approx([0, (10_000 - 50 * 5) / 10_200, 0, 1 / 202])
+    vote = words(*texts).votes() // 3 ** list(ql.HEURISTICS).index(name) % 3
+    assert vote.tolist() == [ql.SILENT, ql.BAD, ql.GOOD, ql.GOOD]
+
+
 def test_batches_do_not_matter():
     texts = ["a b c", "", "  ", "c d c", "C!! D##", "é " * 50]
     together, alone = words(*texts), [words(t) for t in texts]
