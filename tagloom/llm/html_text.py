@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -32,15 +33,17 @@ ENDS = {
 }
 P_SCOPE = {"button", "caption", "html", "object", "table", "td", "th", "template"}
 
-# Elements that are never part of an article, and words of class, id or role that say the same of any element.
+# Elements that are never part of an article, and words of class, id or role that say the same of any element, as a
+# form does, but for one that holds the main part of the page (`_wrappers`).
 NOT_SHOWN = frozenset("head iframe math noscript object script select style svg template textarea title".split())
-NOT_ARTICLE = frozenset("aside button dialog footer form menu nav".split())
+NOT_ARTICLE = frozenset("aside button dialog footer menu nav".split())
 NOT_ARTICLE_WORDS = frozenset(
     "ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments complementary consent"
     " contentinfo cookie cookies disqus disclaimer footer form gdpr login masthead menu modal nav navbar navigation newsletter"
     " notice notices pager pagination popup promo promoted promotion related replies responses search share sharing sidebar"
     " signup skip social sponsor sponsored subscribe subscription toolbar widget".split()
 )
+MAIN_PART, NEARLY_ALL = 0.5, 0.9  # of the density sum: with the page's headline, and without
 _WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -50,7 +53,8 @@ class Page(HTMLParser):
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.tags, self.parents, self.out = ["#page"], [-1], [False]  # out: no part of an article
+        self.tags, self.parents = ["#page"], [-1]
+        self.marks = [False]  # no part of an article: True by the element's kind, None by its name only
         self.texts: list[tuple[int, str]] = []  # (element, text); (element, None): a block begins or ends
         self.open = [0]
         self.feed(html)
@@ -81,26 +85,27 @@ class Page(HTMLParser):
             self.texts.append((parent, None))
         self.tags.append(tag)
         self.parents.append(parent)
-        self.out.append(self.out[parent] or self._is_out(tag, attrs))
+        self.marks.append(self._mark(tag, attrs))
         if tag in BLOCK:
             self.texts.append((len(self.tags) - 1, None))
         if tag not in VOID:
             self.open.append(len(self.tags) - 1)
 
-    def _is_out(self, tag, attrs) -> bool:
+    def _mark(self, tag, attrs) -> bool | None:
         if tag in NOT_SHOWN or tag in NOT_ARTICLE:
             return True
         if tag in ("html", "body", "article", "main"):
             return False
         if tag == "header":
             return not any(self.tags[i] in ("article", "main") for i in self.open)
+        mark = None if tag == "form" else False
         for name, value in attrs:
             if value and name in ("class", "id", "role"):
                 if not NOT_ARTICLE_WORDS.isdisjoint(_WORD.findall(_CAMEL.sub(" ", value).lower())):
-                    return True
+                    mark = None
             elif name == "hidden" or name == "aria-hidden" and value == "true":
                 return True
-        return False
+        return mark
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)  # the slash means nothing in HTML
@@ -114,8 +119,11 @@ class Page(HTMLParser):
         self.texts.append((self.open[-1], data))
 
 
-def densities(page: Page) -> list[float]:
-    """The composite text density of every element: characters per tag, adjusted by the links in it."""
+def densities(page: Page, out: list[bool] | None = None) -> list[float]:
+    """The composite text density of every element: characters per tag, adjusted by the links in it.
+
+    Elements that are ``out`` are left out of those that they are in.
+    """
     n = len(page.tags)
     chars, tags, link_chars, links = [0] * n, [0] * n, [0] * n, [0] * n
     in_link = [False] * n
@@ -127,6 +135,8 @@ def densities(page: Page) -> list[float]:
             chars[node] += size
             link_chars[node] += size * in_link[node]
     for i in range(n - 1, 0, -1):
+        if out and out[i]:
+            continue
         up = page.parents[i]
         chars[up] += chars[i]
         link_chars[up] += link_chars[i]
@@ -142,32 +152,77 @@ def densities(page: Page) -> list[float]:
     return out
 
 
+def _out(page: Page, lifted: set[int] | None) -> list[bool]:
+    """Which elements are no part of an article: those marked and all in them. ``lifted`` marks by name do not count;
+    None lifts all."""
+    out = [False] * len(page.tags)
+    for i in range(1, len(out)):
+        mark = page.marks[i]
+        out[i] = out[page.parents[i]] or (mark if mark is not None else lifted is not None and i not in lifted)
+    return out
+
+
+def _densest(page: Page, density: list[float], out: list[bool]) -> tuple[int, float]:
+    """The element whose children's densities have the largest sum, and the sum."""
+    sums = [0.0] * len(density)
+    for i in range(1, len(sums)):
+        if not out[i]:
+            sums[page.parents[i]] += density[i]
+    best = max(range(len(sums)), key=lambda i: (not out[i], sums[i]))
+    return best, sums[best]
+
+
+def _path(page: Page, node: int) -> list[int]:
+    path = []
+    while node >= 0:
+        path.append(node)
+        node = page.parents[node]
+    return path
+
+
+def _wrappers(page: Page, density: list[float]) -> set[int]:
+    """The elements marked by name that hold the main part of the page.
+
+    They lie around the element that is densest by itself, and the page without marked elements has less than half of its sum if
+    they hold the headline, else less than a tenth. From the outermost to the innermost, so that long comments in a wrapper
+    stay out.
+    """
+    if None not in page.marks:
+        return set()
+    whole, most = _densest(page, density, _out(page, None))
+    marked = [i for i in reversed(_path(page, whole)) if page.marks[i] is None]
+    headline = [tag in ("h1", "article", "main") for tag in page.tags]
+    for i in range(len(headline) - 1, 0, -1):
+        headline[page.parents[i]] |= headline[i]
+
+    def stays(k: int) -> bool:
+        out = _out(page, set(marked[:k]))
+        _, rest = _densest(page, densities(page, out), out)
+        return rest >= most * (1 - (MAIN_PART if headline[marked[k]] else NEARLY_ALL))
+
+    return set(marked[: bisect_left(range(len(marked)), True, key=stays)])
+
+
 def main_text(html: str) -> str:
     """The text of the element whose children's densities have the largest sum.
 
-    The lowest density on the way from there to the body is the threshold: outside an article element, what
-    lies below it and is mostly links is a list of links and left out. If the element lies in an article or
-    main element, that is the main text. Elements that say they are no article count for neither.
+    The lowest density on the way from there to the body is the threshold: what lies below it and is mostly links
+    is a list of links and left out. If the element lies in an article or main element, that is the main text.
+    Elements that say they are no article count for neither, but for those by name that hold the main part of the page.
     """
     page = Page(html)
     n, density = len(page.tags), densities(page)
-    sums = [0.0] * n
-    for i in range(1, n):
-        if not page.out[i]:
-            sums[page.parents[i]] += density[i]
-    best = max(range(n), key=lambda i: (not page.out[i], sums[i]))
-    path, node = [], best
-    while node >= 0:
-        path.append(node)
-        node = page.parents[node]
+    out = _out(page, _wrappers(page, density))
+    best, _ = _densest(page, density, out)
+    path = _path(page, best)
     whole = [i for i in path if page.tags[i] in ("article", "main")]
     root = whole[-1] if whole else best
     threshold = min((density[i] for i in path if page.tags[i] not in ("html", "#page")), default=0.0)
-    inside, linked = [False] * n, _mostly_links(page) if not whole else None
-    inside[root] = not page.out[root]
+    inside, linked = [False] * n, _mostly_links(page)
+    inside[root] = not out[root]
     for i in range(root + 1, n):
-        links_only = linked is not None and linked[i] and density[i] < threshold
-        inside[i] = inside[page.parents[i]] and not page.out[i] and not links_only
+        links_only = linked[i] and density[i] < threshold
+        inside[i] = inside[page.parents[i]] and not out[i] and not links_only
     parts = [" " if text is None else text for node, text in page.texts if inside[node] or text is None]
     return " ".join("".join(parts).split())
 

@@ -114,6 +114,34 @@ def test_other_templates():
     assert ht.main_text(page) == f"The été title {text} Second paragraph goes on a point {text}"
 
 
+LONG = "A sentence with quite a few words in it, as articles have. " * 6
+OTHERS = f"""<div class="sidebar"><p>{LONG}</p></div><div id="comments"><p>{LONG}</p><p>{LONG}</p></div><form>Sign up</form>"""
+
+
+@pytest.mark.parametrize(
+    "start", ["<form runat=server>", "<div class='has-sidebar'>", "<div id='no-comments'>", "<div class='content-sidebar-wrap'><div id=form1>", "<body class='x'><div class=share-page><form>"]
+)
+@pytest.mark.parametrize("headline", ["<h1>Title</h1>", ""])
+@pytest.mark.parametrize("article", ["<div>{}</div>", "<article>{}</article>"])
+def test_wrappers_with_other_names(start, headline, article):
+    inner = article.format(f"{headline}<p>{LONG}</p><p>{LONG}</p>")
+    text = f"{'Title ' if headline else ''}{LONG}{LONG}".strip()
+    assert ht.main_text(f"<p>We</p>{start}{inner}{OTHERS}") == text
+    assert ht.main_text(f"<article>{start}{headline}<p>{LONG}</p><p>{LONG}</p>{OTHERS}</article>") == text
+
+
+def test_long_comments_stay_out():
+    comments = f"<div class=comments>{f'<p>{LONG}</p>' * 9}</div>"
+    for page in (f"<h1>Title</h1><div><p>{LONG}</p></div>{comments}", f"<div class=has-sidebar><h1>Title</h1><div><p>{LONG}</p></div>{comments}</div>"):
+        assert "Title" not in ht.main_text(comments) and ht.main_text(page).count("A sentence") == 6
+
+
+def test_lists_of_links_in_main_go():
+    links = "<ul>" + "<li><a href=1>An other page</a>" * 20 + "</ul>"
+    for tag in ("main", "article", "div"):
+        assert ht.main_text(f"<{tag}><h1>Title</h1><div><p>{LONG}</p><p>{LONG}</p><p>See <a>this</a> page</div>{links}</{tag}>").endswith("See this page")
+
+
 @pytest.mark.parametrize("page", ["", "   ", "<", "<p", "<!-- open", "&", "&amp", "<script>x", "</p></div>", "<a><a><a>" * 50, "<div>" * 5000])
 def test_broken_pages_do_not_crash(page):
     assert isinstance(ht.main_text(page), str)
