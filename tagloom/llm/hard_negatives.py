@@ -148,7 +148,8 @@ def _blocks(rows: DataFrame, columns: list[str], most: Column) -> DataFrame:
     """``(_length, _cell, _part, _rows)``: the rows of a cell in blocks, dealt by the hash of the id."""
     cell = ["_length", "_cell"]
     placed = dealt(rows, cell, F.col("_id"), most)
-    return placed.groupBy(*cell, "_part").agg(F.collect_list(F.struct(*columns)).alias("_rows"))
+    # Dealt by cell and part; the rows may come from the join by cell, where a hot cell is one task.
+    return placed.repartition(*cell, "_part").groupBy(*cell, "_part").agg(F.collect_list(F.struct(*columns)).alias("_rows"))
 
 
 _KEY = ["_length", "_cell", "_part"]

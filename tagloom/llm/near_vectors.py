@@ -119,7 +119,7 @@ def _celled(groups: DataFrame, length: int, axes: np.ndarray, threshold: float)
 
 
 def tiles(groups: DataFrame, length: int, axes: np.ndarray, threshold: float) -> DataFrame:
-    """``(_label, _length, _cell, _part, _parts, _tile)``: the groups of a cell in tiles of about a megabyte.
+    """``(_label, _length, _cells, _part, _rows)``: the groups of a cell in tiles of about a megabyte.
 
     Rows are dealt to the tiles of their cell by hash, so tiles are even however large a label or a cell is.
     """
@@ -128,7 +128,8 @@ def tiles(groups: DataFrame, length: int, axes: np.ndarray, threshold: float) ->
     most = F.greatest(F.lit(32), F.floor(F.lit(BLOCK_BYTES) / (8 * F.col("_length"))))
     placed = dealt(celled, cell, F.col("_key"), most)
     row = F.struct("_id", "_key", "_size", "_turned")
-    return placed.groupBy(*cell, "_part").agg(F.first("_parts").alias("_parts"), F.collect_list(row).alias("_rows"))
+    # Dealt by cell and part; the rows may come from the join by cell, where a hot cell is one task.
+    return placed.repartition(*cell, "_part").groupBy(*cell, "_part").agg(F.collect_list(row).alias("_rows"))
 
 
 def _tile_pairs(keys: DataFrame) -> DataFrame:
