@@ -14,8 +14,15 @@ from pyspark.sql import types as T
 
 from tagloom.llm.common import in_batches, text_column as text_array, utf8
 
-KEPT_FRAGMENTS = 250_000  # in each task's memory; more are encoded again
+#: What a task remembers of fragments and their ids, in bytes; beyond it the older half is forgotten and encoded again.
+KEPT_BYTES = 64 << 20
+#: Longer fragments are not remembered. An entry is counted with what Python needs for two short byte strings and a place.
+KEPT_LENGTH, _ENTRY = 48, 200
 _SLICE = 200_000
+# The white space of more than one byte in UTF-8.
+_WIDE_SPACES = [c.encode() for c in "\u0085\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"]
+# What an apostrophe takes with it as one word.
+_CONTRACTED = ["s", "t", "re", "ve", "m", "ll", "d"]
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -41,6 +48,8 @@ class Codec:
         self.tokenizer.no_padding()
         alphabet = byte_alphabet()
         tokens = {i: bytes(alphabet[c] for c in t) for t, i in told["model"]["vocab"].items()}
+        if any(t.get(x) for t in told["added_tokens"] for x in ("lstrip", "rstrip", "single_word")):
+            raise ValueError("added tokens that take white space with them or stand for whole words only are not supported")
         added = {t["id"]: t["content"].encode() for t in told["added_tokens"]}
         self.added = re.compile(b"|".join(map(re.escape, added.values()))) if added else None
         self._learn_cuts(tokens.values())
@@ -51,34 +60,52 @@ class Codec:
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.bytes = np.frombuffer(b"".join(tokens.get(i, b"") for i in range(len(self.lengths))), np.uint8)
         self.known: dict[bytes, bytes] = {}
+        self.known_bytes = 0
 
     def _learn_cuts(self, tokens) -> None:
         """Pairs that are certain cuts, and do not change how the sides are split into words.
 
-        The left byte ends a character that is no white space: white space is split by what follows it. It is
-        ASCII, or it follows 0xC3, as in Latin letters; other pairs are just not cut. The right byte begins a
-        character, and is no apostrophe, which reads differently at the start of a text.
+        The left byte ends a character that is no white space: white space is split by what follows it. The right byte
+        begins a character, and is no apostrophe, which reads differently at the start of a text. Nor is anything
+        cut that an apostrophe may take with it.
         """
         cut = np.ones((256, 256), bool)
         for t in tokens:
             pairs = np.frombuffer(t, np.uint8)
             cut[pairs[:-1], pairs[1:]] = False
         cut[:, 0x80:0xC2] = cut[:, ord("'")] = False
-        ascii_left, other_left = cut.copy(), cut
-        ascii_left[:0x21] = ascii_left[0x7F:] = False
-        other_left[:0x80] = False
-        self.ascii_cut, self.other_cut = ascii_left.ravel(), other_left.ravel()
+        cut[:0x21] = cut[0x7F] = cut[0xC0:] = False
+        for word in _CONTRACTED:
+            for left, right in zip(f"'{word}", word):
+                cut[ord(left), ord(right)] = False
+        self.cut = cut.ravel()
+        # A character of several bytes is white space if its last three bytes, or two, are one of these numbers.
+        self.wide = {n: np.array(sorted(int.from_bytes(w) for w in _WIDE_SPACES if len(w) == n)) for n in (2, 3)}
 
     def cuts(self, data: np.ndarray, raw: bytes) -> np.ndarray:
         """Where ``data`` may be cut, as positions of the byte after the cut."""
         if len(data) < 2:
             return np.zeros(0, np.int64)
-        pair = (data[:-1].astype(np.uint16) << 8) | data[1:]
-        cut = self.ascii_cut[pair]
-        cut[1:] |= self.other_cut[pair[1:]] & (data[:-2] == 0xC3)
+        at = np.flatnonzero(self.cut[(data[:-1].astype(np.uint16) << 8) | data[1:]]) + 1
         for found in self.added.finditer(raw) if self.added else ():
-            cut[found.start() : found.end() - 1] = False
-        return np.flatnonzero(cut) + 1
+            inside = slice(*np.searchsorted(at, [found.start() + 1, found.end()]))
+            at = np.delete(at, inside)
+        wide = np.flatnonzero(data[at - 1] >= 0x80)
+        if len(wide):
+            end = at[wide]
+            two = (data[end - 2].astype(np.int64) << 8) | data[end - 1]
+            three = (data[np.maximum(end - 3, 0)].astype(np.int64) << 16) | two
+            at = np.delete(at, wide[np.isin(two, self.wide[2]) | np.isin(three, self.wide[3])])
+        return at
+
+    def _remember(self, fragment: bytes, ids: bytes) -> None:
+        if len(fragment) > KEPT_LENGTH:
+            return
+        if self.known_bytes > KEPT_BYTES:
+            for old in list(self.known)[: len(self.known) // 2 + 1]:
+                self.known_bytes -= _ENTRY + len(old) + len(self.known.pop(old))
+        self.known[fragment] = ids
+        self.known_bytes += _ENTRY + len(fragment) + len(ids)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, and where each text's ids begin."""
@@ -88,13 +115,16 @@ class Codec:
         for i in range(0, len(at) - 1, _SLICE):
             ends = at[i : i + _SLICE + 1].tolist()
             fragments = [raw[a:b] for a, b in zip(ends, ends[1:])]
-            if len(self.known) > KEPT_FRAGMENTS:
-                self.known.clear()
-            known = self.known
-            for f in set(fragments).difference(known):
-                ids = self.tokenizer.encode(f.decode(errors="replace"), add_special_tokens=False).ids
-                known[f] = np.array(ids, "<i4").tobytes()
-            parts = [known[f] for f in fragments]
+            parts = list(map(self.known.get, fragments))
+            new: dict[bytes, bytes] = {}
+            for n, f in enumerate(fragments):
+                if parts[n] is None:
+                    if f not in new:
+                        ids = self.tokenizer.encode(f.decode(errors="replace"), add_special_tokens=False).ids
+                        new[f] = np.array(ids, "<i4").tobytes()
+                    parts[n] = new[f]
+            for f, ids in new.items():
+                self._remember(f, ids)
             counts.append(np.fromiter(map(len, parts), np.int64, len(parts)) // 4)
             packed.append(b"".join(parts))
         ids = np.frombuffer(b"".join(packed), "<i4")
@@ -145,9 +175,10 @@ def bpe_encode(docs: DataFrame, path: str, text_column: str = "text", ids_column
     """``docs`` with the token ids of the whole text, as the tokenizer file at ``path`` gives them.
 
     Texts are cut at byte pairs that no token of the vocabulary has inside, so no merge crosses a cut; the
-    fragments, mostly words with the space before them, are encoded independently and their ids put in a row.
-    Each task remembers the fragments it has seen. The names of added tokens in a text are those tokens, as
-    in the library. Null or empty texts have no ids; a text without any cut is one fragment. Other columns
+    fragments, mostly words with the space before them, in scripts that few tokens have single characters, are encoded
+    independently and their ids put in a row. Each task remembers short fragments up to `KEPT_BYTES`. The names of
+    added tokens in a text are those tokens, as in the library. Null or empty texts have no ids; a text without
+    any cut is one fragment, encoded whole and not remembered. Other columns
     pass through; a column with the name of the ids is replaced. The file is read by the driver only.
     """
     return _map(

@@ -64,11 +64,59 @@ def test_long_text_and_long_fragment(codec, library, monkeypatch):
 
 
 def test_forgetting_changes_nothing(codec, library, monkeypatch):
-    monkeypatch.setattr(bpe, "KEPT_FRAGMENTS", 3)
+    monkeypatch.setattr(bpe, "KEPT_BYTES", 600)
     monkeypatch.setattr(bpe, "_SLICE", 5)
     check(codec, library, ["one two three four five six seven", "one two", "", "seven six five"])
 
 
+SCRIPTS = {
+    "English": ("The quick brown fox reads a plain text every day, and then it sleeps. ", 8),
+    "Russian": ("Это простой текст на русском языке, который мы читаем каждый день. ", 8),
+    "Chinese": ("这是一个简单的中文文本，我们每天都在阅读它。它由许多汉字组成，没有空格。", 4),
+    "Japanese": ("これは日本語の簡単な文章です。毎日読んでいます。漢字とひらがなとカタカナ。", 4),
+    "Arabic": ("هذا نص بسيط باللغة العربية نقرأه كل يوم. يتكون من كلمات كثيرة. ", 8),
+    "Hindi": ("यह हिंदी में एक सरल पाठ है जिसे हम हर दिन पढ़ते हैं। ", 8),
+}
+
+
+@pytest.mark.parametrize("name", SCRIPTS)
+def test_texts_of_all_scripts_are_cut(codec, library, name):
+    """At least once in so many characters, and the ids are the library's."""
+    text, characters = SCRIPTS[name]
+    text *= 30
+    check(codec, library, [text, text[1:]])
+    raw = text.encode()
+    assert len(codec.cuts(np.frombuffer(raw, np.uint8), raw)) >= len(text) / characters
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="aé日本語русскийعربيह\u0300\u200d'stlv \u00a0\u3000\u2003\u0085\n。、!1२", max_size=30), max_size=4))
+def test_mixed_scripts(codec, library, texts):
+    check(codec, library, texts)
+
+
+def test_memory_is_bounded_in_bytes(codec, library, monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_BYTES", 100_000)
+    monkeypatch.setattr(codec, "known", {})
+    monkeypatch.setattr(codec, "known_bytes", 0)
+    r = random.Random(3)
+    for _ in range(20):
+        check(codec, library, [" ".join("".join(r.choices("abcdefghij", k=r.randint(3, 90))) for _ in range(300))])
+        held = sum(bpe._ENTRY + len(k) + len(v) for k, v in codec.known.items())
+        assert held == codec.known_bytes <= 100_000 + 2 * bpe._ENTRY
+        assert max(map(len, codec.known)) <= bpe.KEPT_LENGTH
+
+
+def test_added_tokens_that_strip_are_refused():
+    import json
+
+    with open(PATH, encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["added_tokens"][0]["lstrip"] = True
+    with pytest.raises(ValueError, match="white space"):
+        bpe.Codec(json.dumps(spec))
+
+
 def test_frames(spark, library):
     texts = [None, "", "A <|endoftext|> b", "é" * 40, "same", "same"]
     df = spark.createDataFrame([(i, t, "x", "y") for i, t in enumerate(texts)], "doc_id long, text string, ids string, decoded string")
