@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import random
 import re
-from bisect import bisect_left, bisect_right
+from bisect import bisect_left
+from collections import deque
 from collections.abc import Iterable, Iterator
-from itertools import groupby
+from itertools import groupby, islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_NO_DIGIT = re.compile(r"[^0-9]")
+_NO_DIGIT, _DIGIT = re.compile(r"[^0-9]"), re.compile(r"[0-9]")
 
 
 def _luhn(digits: str) -> bool:
@@ -47,7 +48,8 @@ def base_spans(text: str) -> list[Span]:
             out.append(("email", start, end))
         at = text.find("@", max(at + 1, end))
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+        parts = [p.lstrip("0") for p in m.group().split(".")]  # of any length; int() takes 4300 digits
+        if all(len(p) <= 3 and int(p or "0") <= 255 for p in parts):
             out.append(("ip", *m.span()))
     for m in _CARD.finditer(text):
         digits = _NO_DIGIT.sub("", m.group())
@@ -81,45 +83,77 @@ def _shape(token: str) -> str:
 
 
 def _run_shape(run: str) -> str:
-    return "".join(k for k, _ in groupby("9" if c in "0123456789" else "a" if c.isalnum() else c for c in run[:80]))
+    """The kinds of characters in a row; of a long run those of both ends, and that it is long."""
+    if len(run) > 80:
+        return f"{_run_shape(run[:40])}~{_run_shape(run[-40:])}"
+    return "".join(k for k, _ in groupby("9" if c in "0123456789" else "a" if c.isalnum() else c for c in run))
+
+
+def _word(token: str) -> str:
+    token = token.lower()
+    return token if len(token) <= 12 else f"{token[:6]}~{token[-6:]}"
 
 
 def _digits(run: str) -> str:
-    n = len(_NO_DIGIT.sub("", run))
+    n = sum(1 for _ in islice(_DIGIT.finditer(run), 20))
     return str(n) if n < 20 else "20"
 
 
+#: A segment of more tokens than this is parted.
+LONGEST = 2000
+
+
 def segments(text: str) -> Iterator[list[tuple[int, int, list[str]]]]:
     """Tokens near a match of `TRIGGER`, as runs of ``(start, end, features)``.
 
     No span begins further than `REACH` tokens from one, so all other tokens are no personal data by definition.
-    Line ends end a segment. Looks at the lines with such a match only, and keeps one line's tokens.
+    Line ends end a segment. Looks at the lines with such a match only, and keeps the tokens of one segment at a
+    time, whatever the length of the line; one of more than `LONGEST` tokens is parted, between two plain words
+    if there are any.
     """
     position, end = _TRIGGER.search(text), 0
     while position:
         start = text.rfind("\n", 0, position.start()) + 1
         end = text.find("\n", position.start())
         end = len(text) if end < 0 else end
-        yield from _line_segments(text, start, end)
+        for tokens in _line_segments(text, start, end):
+            yield _featured(text, tokens, end)
         position = _TRIGGER.search(text, end)
 
 
-def _line_segments(text: str, start: int, end: int) -> Iterator[list[tuple[int, int, list[str]]]]:
-    tokens = [(m.start(), m.end(), m.group()) for m in _TOKEN.finditer(text, start, end)]
-    near, last = np.zeros(len(tokens) + 1, np.int64), len(tokens)
-    for i, (_, _, t) in enumerate(tokens):
-        if t == "@" or "0" <= t[0] <= "9":
-            near[max(0, i - REACH)] += 1
-            near[min(last, i + REACH + 1)] -= 1
-    written = list(_WRITTEN_AT.finditer(text, start, end))
-    starts = [a for a, _, _ in tokens] if written else []
-    for m in written:
-        near[max(0, bisect_right(starts, m.start()) - 1 - REACH)] += 1
-        near[min(last, bisect_left(starts, m.end()) + REACH)] -= 1
-    inside = np.flatnonzero(np.cumsum(near[:-1]) > 0)
-    for part in np.split(inside, np.flatnonzero(np.diff(inside) > 1) + 1):
-        if len(part):
-            yield _featured(text, tokens[part[0] : part[-1] + 1], end)
+def _line_segments(text: str, start: int, end: int) -> Iterator[list[tuple[int, int, str]]]:
+    segment: list[tuple[int, int, str]] = []
+    before: deque[tuple[int, int, str]] = deque(maxlen=REACH)
+    after = 0
+    written = _WRITTEN_AT.finditer(text, start, end)
+    place = next(written, None)
+    for m in _TOKEN.finditer(text, start, end):
+        token = (m.start(), m.end(), m.group())
+        while place and place.end() <= token[0]:
+            place = next(written, None)
+        if token[2] == "@" or "0" <= token[2][0] <= "9" or (place and place.start() < token[1]):
+            segment.extend(before)
+            before.clear()
+            segment.append(token)
+            after = REACH
+        elif after:
+            segment.append(token)
+            after -= 1
+        else:
+            if segment and len(before) == REACH:  # the next match is out of reach
+                yield segment
+                segment = []
+            before.append(token)
+        if len(segment) > LONGEST and (_between_words(segment) or len(segment) > LONGEST + 256):
+            yield segment[:-1]
+            segment = segment[-1:]
+    if segment:
+        yield segment
+
+
+def _between_words(tokens: list[tuple[int, int, str]]) -> bool:
+    (_, before, left), (after, _, right) = tokens[-2:]
+    return after > before and left.isalpha() and right.isalpha() and "at" not in (left.lower(), right.lower())
 
 
 def _featured(text: str, tokens: list[tuple[int, int, str]], end: int) -> list[tuple[int, int, list[str]]]:
@@ -129,13 +163,13 @@ def _featured(text: str, tokens: list[tuple[int, int, str]], end: int) -> list[t
     padded = ["<", "<", *shapes, ">", ">"]
     for i, (a, b, t) in enumerate(tokens):
         if a >= run_end or spaced[i]:
-            m = _RUN.match(text, a, min(end, a + 400))
+            m = _RUN.match(text, a, end)
             run_end, run = m.end(), (_run_shape(m.group()), _digits(m.group()))
         p = padded[i : i + 5]
         out.append(
             (a, b, [
                 "bias", f"s {spaced[i]}{p[2]}", f"-1 {p[1]}", f"+1 {p[3]}", f"-2 {p[0]} {p[1]}", f"+2 {p[3]} {p[4]}", f"-0 {p[1]} {p[2]}",
-                f"+0 {p[2]} {p[3]}", f"w {t.lower()[:12]}", f"r {run[0]}", f"n {run[1]} {spaced[i]}",
+                f"+0 {p[2]} {p[3]}", f"w {_word(t)}", f"r {run[0]}", f"n {run[1]} {spaced[i]}",
                 f"g {spaced[i]} {spaced[i + 1] if i + 1 < len(tokens) else '_'} {p[1]} {p[2]} {p[3]}",
             ])
         )
@@ -330,28 +364,56 @@ def _likely(kind: str, piece: str) -> bool:
     return 10 <= len(digits) <= 15 and not re.search(r"[^0-9\x20().+-]", piece)
 
 
+#: So many tokens are decoded together, or the tokens of one segment.
+_TOGETHER = 50_000
+
+
 def all_spans(texts: list[str], field: ChainField) -> list[list[tuple[str, int, int, bool]]]:
     """For each text its spans by kind and place, with whether a fixed pattern found it.
 
     The field's spans are added where they overlap no other span and could be of their kind.
     """
     found = [[(*s, True) for s in base_spans(t)] for t in texts]
-    owners, parts = [], []
+    waiting, held = [], 0
     for i, t in enumerate(texts):
+        base = _Taken(found[i])
         for s in segments(t):
-            owners.append(i)
-            parts.append(s)
-    order = sorted(range(len(parts)), key=lambda i: len(parts[i]))  # sequences of like length share a block
+            waiting.append((s, t, found[i], base))
+            held += len(s)
+            if held > _TOGETHER:
+                _decode(waiting, field)
+                waiting, held = [], 0
+    _decode(waiting, field)
+    return [sorted(s, key=lambda x: (KINDS.index(x[0]), x[1])) for s in found]
+
+
+class _Taken:
+    """The places of a text that spans take."""
+
+    def __init__(self, spans: list[tuple[str, int, int, bool]]) -> None:
+        # Spans of different kinds may overlap; the furthest end so far makes one look at a sorted list enough.
+        self.starts, self.ends, furthest = [], [], 0
+        for _, start, end, _ in sorted(spans, key=lambda s: s[1]):
+            furthest = max(furthest, end)
+            self.starts.append(start)
+            self.ends.append(furthest)
+
+    def free(self, start: int, end: int) -> bool:
+        at = bisect_left(self.starts, end)
+        return at == 0 or self.ends[at - 1] <= start
+
+
+def _decode(parts: list, field: ChainField) -> None:
+    """Add what the field finds in the segments to the spans of their texts."""
+    order = sorted(range(len(parts)), key=lambda i: len(parts[i][0]))  # sequences of like length share a block
     for k in range(0, len(order), 256):
-        block = order[k : k + 256]
-        for at, path in zip(block, field.decode([[f for _, _, f in parts[i]] for i in block])):
-            segment, text, mine = parts[at], texts[owners[at]], found[owners[at]]
+        block = [parts[i] for i in order[k : k + 256]]
+        for (segment, text, mine, base), path in zip(block, field.decode([[f for _, _, f in p[0]] for p in block])):
             for kind, first, last in _labelled_runs(path):
                 start, end = segment[first][0], segment[last][1]
-                free = all(end <= s[1] or s[2] <= start for s in mine)
-                if free and _likely(kind, text[start:end]):
+                # Segments do not overlap, nor do the runs of one, so only the base spans can be in the way.
+                if base.free(start, end) and _likely(kind, text[start:end]):
                     mine.append((kind, start, end, False))
-    return [sorted(s, key=lambda x: (KINDS.index(x[0]), x[1])) for s in found]
 
 
 def _labelled_runs(path: np.ndarray) -> Iterator[tuple[str, int, int]]:
@@ -382,6 +444,8 @@ SPANS = T.ArrayType(
 def find_personal_data(docs: DataFrame, field: ChainField, text_column: str = "text", out_column: str = "spans") -> DataFrame:
     """``docs`` with the spans of personal data in the whole text, in code points, by kind and place.
 
+    Runs of digits, words and lines may have any length; memory grows with a text by its size and its spans only.
+
     ``base`` spans are the matches of the fixed patterns, all of them; the others were added by the field.
     Null and empty texts have none. A text without a match of `TRIGGER` has none either and is not looked at in Python.
     Other columns pass through; a column with the name of the result is replaced. No shuffle.

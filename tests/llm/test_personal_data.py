@@ -49,10 +49,59 @@ def test_base_equals_the_patterns():
 
 
 def test_base_is_linear():
-    for text in ("a" * 300_000, "1" * 300_000, "1." * 150_000, "+1" * 150_000, "a@" * 150_000, "1 " * 150_000, "@" * 300_000, "a@b" * 100_000):
+    for text in ("a" * 300_000, "1" * 300_000, "1." * 150_000, "+1" * 150_000, "a@" * 150_000, "1 " * 150_000, "@" * 300_000, "a@b" * 100_000,
+                 "0" * 300_000 + "1.1.1.1", "1.1.1." + "0" * 300_000 + "9", ("0" * 5000 + ".") * 60, "." * 150_000 + "1" * 150_000 + ".2.3.4"):
         pd.base_spans(text)
 
 
+def test_long_runs_of_digits():
+    zeros = "0" * 5000
+    assert pd.base_spans(f"{zeros}1.1.{zeros}.255") == [("ip", 0, 10_008)]
+    assert pd.base_spans(f"{zeros}256.1.1.1 1.1.1.{'9' * 5000}") == []
+
+
+def by_lists(text):
+    """The tokens of `segments`, from the whole line's list of tokens."""
+    out, at = [], 0
+    for line in text.split("\n"):
+        tokens = [(m.start() + at, m.end() + at, m.group()) for m in pd._TOKEN.finditer(line)]
+        written = [(m.start() + at, m.end() + at) for m in pd._WRITTEN_AT.finditer(line)]
+        hits = [i for i, (a, b, t) in enumerate(tokens) if t == "@" or "0" <= t[0] <= "9" or any(a < y and x < b for x, y in written)]
+        inside = [i for i in range(len(tokens)) if any(abs(i - h) <= pd.REACH for h in hits)]
+        for n, i in enumerate(inside):
+            if n == 0 or inside[n - 1] != i - 1:
+                out.append([])
+            out[-1].append(tokens[i][:2])
+        at += len(line) + 1
+    return out
+
+
+def test_segments_equal_those_of_whole_lines():
+    r = random.Random(4)
+    for _ in range(2000):
+        text = "".join(r.choices(["a ", "bc ", "7", " @", "(at) ", "x at y.z ", ". ", "\n", "é ", "--", "word " * 9, "word " * 17], k=r.randint(0, 25)))
+        assert [[t[:2] for t in s] for s in pd.segments(text)] == by_lists(text), repr(text)
+
+
+def test_long_lines_are_parted_between_words(field, monkeypatch):
+    text = " ".join(f"write to jane{i} (at) host{i}.org or call +1 (523) 555-{1000 + i} please and thank you" for i in range(60))
+    whole = pd.all_spans([text], field)
+    monkeypatch.setattr(pd, "LONGEST", 50)
+    assert max(map(len, pd.segments(text))) <= 50 + 256 and len(list(pd.segments(text))) > 10
+    assert pd.all_spans([text], field) == whole and len(whole[0]) >= 60
+
+
+def test_a_long_line_takes_bounded_memory(field):
+    import tracemalloc
+
+    text = "plain words in one line " * 100_000 + "1 2 3 4 5 6 7 8 " * 20_000
+    tracemalloc.start()
+    pd.all_spans([text], field)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150 << 20
+
+
 @pytest.fixture(scope="module")
 def field():
     return pd.fit_chain_field()
