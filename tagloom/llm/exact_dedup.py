@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.common import SPACE_CLASS, same, settled
 
+#: Keys of a bucket, at most; a fuller one is split if its keys differ in any further bit.
 CAPACITY = 10_000
-# Directory slots are this many doublings finer than an even spread of the keys would need.
-_SPARE_DEPTH = 4
+#: A key is spread over owners if it has more rows than this, and more than a quarter of an even partition.
+HOT_ROWS = 10_000
 
 
 def normalised(text: Column) -> Column:
@@ -24,55 +26,97 @@ def hash_key(text: Column, bits: int = 64) -> Column:
     return key if bits == 64 else F.shiftleft(key, 64 - bits)
 
 
-def directory(keys: DataFrame, capacity: int = CAPACITY) -> tuple[DataFrame, int]:
-    """``(_slot, _depth, _bucket)`` for the distinct ``_key`` of ``keys``, and the directory's depth.
+def _prefix(key: Column, depth: int) -> Column:
+    """The first ``depth`` bits of a key, at the top of a long."""
+    return F.shiftleft(F.shiftright(key, 64 - depth), 64 - depth) if depth else F.lit(0).cast("long")
 
-    A bucket that holds more than ``capacity`` keys is split by the next bit of the key, which doubles
-    the directory where the bucket is as deep as the directory already is. Where that ends does not
-    depend on the order of the splits: a slot's bucket is the shortest prefix with few enough keys. So
-    keys are counted once per slot of the full directory, and the counts are added up for all shorter
-    prefixes. The table has about 16 slots per bucket and never holds keys. Keys that no split can
-    part stay in an overfull bucket at full depth; reading it costs time, not rows.
+
+@dataclass(frozen=True)
+class Directory:
+    """Which bucket a key is in: its first ``depth`` bits, but for slots that were split further.
+
+    ``splits`` has those, ``(_slot, _depth)``: a slot is named by its bits at the top of a long. The bits of a hash are
+    even, so a slot is split only where keys are not; the table is empty unless the hash is poor.
+    """
+
+    depth: int
+    splits: DataFrame | None
+
+    def place(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with ``_bucket``, the bucket of their ``_key``."""
+        slot = _prefix(F.col("_key"), self.depth)
+        if self.splits is None:
+            return rows.withColumn("_bucket", slot)
+        rows = rows.withColumn("_slot", slot).join(self.splits, "_slot", "left")
+        # A split slot is a list of prefixes; a key has the one that it begins with.
+        found = F.expr("get(filter(_prefixes, p -> shiftright(_key, 64 - p.depth) = shiftright(p.bucket, 64 - p.depth)), 0).bucket")
+        return rows.withColumn("_bucket", F.coalesce(found, F.col("_slot"))).drop("_slot", "_prefixes")
+
+
+def directory(keys: DataFrame, capacity: int = CAPACITY) -> Directory:
+    """The directory of the distinct ``_key`` of ``keys``.
+
+    It starts at the depth at which even slots hold a quarter of the capacity. Then overfull buckets are split by their next
+    bit, all at once, until every bucket holds at most ``capacity`` keys or keys that no bit parts; keys
+    of buckets that fit are not looked at again. A round is one count over the keys of overfull slots.
     """
     total = keys.count()
-    depth = max(1, math.ceil(math.log2(max(1, total / capacity))) + _SPARE_DEPTH)
-    slots = keys.groupBy(F.shiftrightunsigned("_key", 64 - depth).alias("_slot")).agg(F.count(F.lit(1)).alias("_n"))
-    at = slots.select("_slot", "_n", F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("_depth"))
-    at = at.withColumn("_prefix", F.expr(f"shiftright(_slot, {depth} - _depth)"))
-    full = at.groupBy("_depth", "_prefix").agg(F.sum("_n").alias("_n"))
-    fits = full.where((F.col("_n") <= capacity) | (F.col("_depth") == depth)).drop("_n")
-    found = at.drop("_n").join(fits, ["_depth", "_prefix"]).groupBy("_slot").agg(F.min("_depth").alias("_depth"))
-    # The bucket is named by the first key of its range.
-    bucket = F.expr(f"shiftleft(shiftright(_slot, {depth} - _depth), 64 - _depth)")
-    return found.withColumn("_bucket", F.when(F.col("_depth") == 0, F.lit(0).cast("long")).otherwise(bucket)), depth
-
-
-def build_index(rows: DataFrame, texts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """The index as a table in the shared folder: ``(_bucket, _key, _link, _sha, _keep, _size)``.
-
-    ``rows`` has ``(_id, _key, _sha, _copies)``, ``texts`` ``(_id, _key, _text)``. Only a key that occurs
-    twice needs its texts: equal bytes are grouped, copies already before the shuffle. Different texts
-    under one key become the links of its chain. Each owner task sorts and writes one range of buckets,
-    so a lookup reads only the files and row groups around its key.
+    depth = max(0, math.ceil(math.log2(max(1, 4 * total / capacity)))) if total > capacity else 0
+    counts = keys.groupBy(_prefix(F.col("_key"), depth).alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
+    full = settled(counts.where(F.col("_n") > capacity).select(F.col("_bucket").alias("_slot")))
+    if depth == 64 or not full.head(1):
+        return Directory(depth, None)
+    left = settled(keys.withColumn("_slot", _prefix(F.col("_key"), depth)).join(full, "_slot", "left_semi"))
+    buckets, at = [], depth
+    while True:
+        at += 1
+        halves = left.groupBy("_slot", _prefix(F.col("_key"), at).alias("bucket")).agg(F.count(F.lit(1)).alias("_n"))
+        halves = settled(halves.withColumn("depth", F.lit(at)))
+        fits = (F.col("_n") <= capacity) | (F.col("depth") == 64)
+        buckets.append(halves.where(fits))
+        still = halves.where(~fits).select("bucket")
+        if not still.head(1):
+            break
+        left = settled(left.withColumn("bucket", _prefix(F.col("_key"), at)).join(still, "bucket", "left_semi").drop("bucket"))
+    splits = buckets[0]
+    for more in buckets[1:]:
+        splits = splits.unionByName(more)
+    by_slot = splits.groupBy("_slot").agg(F.collect_list(F.struct("bucket", "depth")).alias("_prefixes"))
+    return Directory(depth, settled(by_slot))
+
+
+def chains(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """The entries of the index: ``(_bucket, _key, _text, _sha, _keep, _size, _salt, _ids)``.
+
+    ``rows`` has ``(_id, _key, _text)``. Each row finds its bucket through the directory and is dealt to the bucket's
+    owner, which chains the different texts of a key: texts are equal if their bytes are. An entry of the chain
+    has the smallest id, the number of rows, and the sorted ids. Texts are shuffled once, to their owner. A key with
+    a large share of all rows is dealt to several owners by the hash of the id, so its texts come in several entries,
+    with their text; those of all other keys are whole and leave their text behind.
     """
-    entries = settled(
-        rows.groupBy("_key").agg(F.sum("_copies").alias("_size"), F.min("_id").alias("_keep"), F.min("_sha").alias("_sha"))
-    )
-    slots, depth = directory(entries, capacity)
-    slots = settled(slots.coalesce(1))
-    repeated = entries.where(F.col("_size") > 1).select("_key").hint("shuffle_hash")  # keys only; the texts stream by
-    # By the text alone, not by key and text: that needs a shuffle of its own, after copies were counted and
-    # after a hot key's partition of the join was split.
-    chains = (
-        texts.join(repeated, "_key", "left_semi")
-        .groupBy("_text")
-        .agg(F.min("_key").alias("_key"), F.min("_id").alias("_keep"), F.count(F.lit(1)).alias("_size"))
-        .select("_key", "_size", "_keep", F.sha2("_text", 256).alias("_sha"))
+    spark = rows.sparkSession
+    counts = settled(rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_rows")))
+    index = directory(counts.select("_key"), capacity)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = counts.agg(F.sum("_rows")).first()[0] or 0
+    # At most four keys for each partition have so many rows, so the list may be broadcast.
+    share = max(HOT_ROWS, total // (4 * partitions))
+    hot = counts.where(F.col("_rows") > share).select("_key", F.ceil(F.col("_rows") / share).cast("int").alias("_salts"))
+    placed = index.place(rows).join(F.broadcast(hot), "_key", "left")
+    # Rows without id are told apart by the task that reads them.
+    spread = F.coalesce(F.hash("_id"), F.spark_partition_id())
+    salt = F.when(F.col("_salts").isNull(), -1).otherwise(F.pmod(spread, F.col("_salts")))
+    dealt = placed.withColumn("_salt", salt).drop("_salts").repartition("_bucket", "_salt")
+    entries = dealt.groupBy("_bucket", "_salt", "_key", "_text").agg(
+        F.min("_id").alias("_keep"), F.count(F.lit(1)).alias("_size"), F.sort_array(F.collect_list(F.struct("_id"))).alias("_ids")
     )
-    links = entries.where(F.col("_size") == 1).select("_key", "_size", "_keep", "_sha").unionByName(chains)
-    slot = F.shiftrightunsigned("_key", 64 - depth).alias("_slot")
-    pages = links.select("*", slot).join(slots, "_slot").drop("_slot", "_depth")
-    return settled(pages.repartitionByRange("_bucket", "_key").sortWithinPartitions("_bucket", "_key", "_sha"))
+    whole = F.when(F.col("_salt") >= 0, F.col("_text")).alias("_text")
+    return entries.select("_bucket", "_key", whole, F.sha2("_text", 256).alias("_sha"), "_keep", "_size", "_salt", "_ids")
+
+
+def build_index(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """The `chains` as a table in the shared folder: every owner writes the buckets it has."""
+    return settled(chains(rows, capacity))
 
 
 def exact_dedup(
@@ -89,25 +133,24 @@ def exact_dedup(
     no other, one of its rows stays with a null ``keep_id``. Rows that repeat both id and text are
     counted in ``group_size``, and one of them stays. Other columns are not read.
 
-    The index (`build_index`) is made of rows of some 60 bytes; texts are shuffled once, to compare the
-    bytes of those with equal keys. A text's SHA-256 is in the result anyway, and picks the text's link
-    where a key has a chain of several. A group with a large share of all rows is one index entry; the
-    rows that look it up are narrow, and adaptive execution splits their partition.
+    The result is read off the chains of the index (`build_index`); the entries that a hot text has with several
+    owners, one row each, are compared by their bytes once more and added up.
     """
-    hashed = docs.select(F.col(id_column).alias("_id"), normalised(F.col(text_column)).alias("_text"))
-    texts = hashed.select("_id", hash_key(F.col("_text"), hash_bits).alias("_key"), "_text")
-    rows = settled(
-        texts.select("_id", "_key", F.sha2("_text", 256).alias("_sha"))
-        .groupBy("_id", "_key", "_sha")
-        .agg(F.count(F.lit(1)).alias("_copies"))
-    )
-    index = build_index(rows, texts, capacity)
-    found = rows.join(index.drop("_bucket"), ["_key", "_sha"])
-    copy = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy")
-    return found.select("*", copy).select(
-        F.col("_id").alias(id_column),
-        F.col("_keep").alias("keep_id"),
-        F.col("_size").alias("group_size"),
-        (same(F.col("_id"), F.col("_keep")) & (F.col("_copy") == 1)).alias("kept"),
-        F.col("_sha").alias("text_sha256"),
+    rows = docs.select(F.col(f"`{id_column}`").alias("_id"), normalised(F.col(f"`{text_column}`")).alias("_text"))
+    index = build_index(rows.select("_id", hash_key(F.col("_text"), hash_bits).alias("_key"), "_text"), capacity)
+    single = index.where(F.col("_salt") < 0).withColumn("_first", F.lit(True)).drop("_text")
+    parts = index.where(F.col("_salt") >= 0)
+    text = ["_bucket", "_key", "_text"]
+    merged = parts.groupBy(*text).agg(F.min("_keep").alias("_all_keep"), F.sum("_size").alias("_all_size"), F.min("_salt").alias("_first_salt"))
+    spread = parts.join(merged, text).select(
+        "_bucket", "_key", "_sha", F.col("_all_keep").alias("_keep"), F.col("_all_size").alias("_size"), "_salt", "_ids",
+        # A text without any id keeps a row of one of its entries.
+        (F.col("_all_keep").isNotNull() | (F.col("_salt") == F.col("_first_salt"))).alias("_first"),
+    )
+    found = single.unionByName(spread).select("_keep", "_size", "_sha", "_first", "_ids", F.posexplode("_ids").alias("_at", "_row"))
+    before = F.get("_ids", F.col("_at") - 1)["_id"]
+    id_ = F.col("_row._id")
+    kept = F.col("_first") & same(id_, F.col("_keep")) & ((F.col("_at") == 0) | ~same(before, F.col("_keep")))
+    return found.select(
+        id_.alias(id_column), F.col("_keep").alias("keep_id"), F.col("_size").alias("group_size"), kept.alias("kept"), F.col("_sha").alias("text_sha256")
     )

@@ -98,22 +98,47 @@ def test_exact_dedup_equals_brute_force(spark, bits):
     assert got == copies(rows)
 
 
+def test_hot_texts_are_dealt_to_several_owners(spark, monkeypatch):
+    monkeypatch.setattr(ed, "HOT_ROWS", 5)
+    rows = [(i, "hot  text") for i in range(100, 0, -1)] + [(i, "hot text") for i in (3, 3, 3, 50)] + [(None, "hot text")] * 3
+    rows += [(None, "without id")] * 40 + [(i, f"own {i}") for i in range(30)] + [(i, "few") for i in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for bits in (64, 2):
+        assert sorted((tuple(x) for x in ed.exact_dedup(df, hash_bits=bits).collect()), key=repr) == copies(rows)
+    keyed = df.select(F.col("doc_id").alias("_id"), ed.normalised(F.col("text")).alias("_text"))
+    index = ed.build_index(keyed.select("_id", ed.hash_key(F.col("_text")).alias("_key"), "_text"))
+    owners = {r["_text"]: r["n"] for r in index.where("_salt >= 0").groupBy("_text").agg(F.countDistinct("_salt").alias("n")).collect()}
+    assert set(owners) == {"hot text", "without id"} and owners["hot text"] > 5
+
+
+def test_texts_are_shuffled_to_their_owner_only(spark, plan):
+    rows = spark.range(50).select(F.col("id").alias("_id"), F.xxhash64("id").alias("_key"), F.col("id").cast("string").alias("_text"))
+    text = plan(ed.chains(rows, 4))
+    assert text.count("Exchange hashpartitioning(_bucket") == text.count("Exchange hashpartitioning") == 1
+
+
+def test_the_directory_decides(spark, monkeypatch):
+    """If rows of a key are sent to two buckets, copies are no longer found."""
+    rows = [(i, f"text {i % 5}") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted((tuple(x) for x in ed.exact_dedup(df).collect()), key=repr) == copies(rows)
+    monkeypatch.setattr(ed.Directory, "place", lambda self, rows: rows.withColumn("_bucket", F.col("_id") % 2))
+    assert sorted((tuple(x) for x in ed.exact_dedup(df).collect()), key=repr) != copies(rows)
+
+
 def test_directory_splits_until_buckets_fit(spark):
-    keys = spark.range(3000).select(F.xxhash64("id").alias("_key"))
-    slots, depth = ed.directory(keys, 50)
-    placed = keys.join(slots, F.shiftrightunsigned("_key", 64 - depth) == F.col("_slot"))
-    buckets = placed.groupBy("_bucket", "_depth").agg(F.count(F.lit(1)).alias("n"), F.min("_key").alias("low"), F.max("_key").alias("high")).collect()
-    assert sum(b.n for b in buckets) == 3000 and max(b.n for b in buckets) <= 50
-    signed = lambda x: x % (1 << 64)
-    for b in buckets:  # a bucket is the range of keys with its prefix, and its parent would be overfull
-        span = 1 << (64 - b._depth)
-        assert signed(b._bucket) <= signed(b.low) <= signed(b.high) < signed(b._bucket) + span
-        low = signed(b._bucket) // (2 * span) * (2 * span)
-        assert sum(low <= signed(k._key) < low + 2 * span for k in placed.select("_key").collect()) > 50
-        break
-    same = spark.range(100).select(F.lit(7).cast("long").alias("_key"))
-    slots, depth = ed.directory(same, 10)
-    assert slots.count() == 1 and slots.first()._depth == depth  # no split can part equal keys
+    even = spark.range(3000).select(F.xxhash64("id").alias("_key"))
+    found = ed.directory(even, 500)
+    assert found.splits is None and found.place(even).groupBy("_bucket").count().agg(F.max("count")).first()[0] <= 500
+    # Keys that differ in few bits, and more below a slot that is full.
+    poor = spark.range(1000).select(F.shiftleft("id", 50).alias("_key")).union(spark.range(300).select(F.shiftleft(F.col("id") + 1, 41).alias("_key"))).distinct()
+    found = ed.directory(poor, 50)
+    placed = found.place(poor).groupBy("_bucket").agg(F.collect_list("_key").alias("keys")).collect()
+    assert sum(len(b["keys"]) for b in placed) == poor.count() and max(len(b["keys"]) for b in placed) <= 50
+    assert len(placed) > 20 and found.splits.count() > 1
+    sides = sorted(((min(b["keys"]), max(b["keys"])) for b in placed))
+    assert all(a[1] < b[0] for a, b in zip(sides, sides[1:]))  # a bucket is a range of keys
+    assert ed.directory(even.limit(0)).place(even).select("_bucket").distinct().count() == 1
 
 
 def test_exact_dedup_of_nothing(spark):
