@@ -35,7 +35,7 @@ P_SCOPE = {"button", "caption", "html", "object", "table", "td", "th", "template
 
 # Elements that are never part of an article, and words of class, id or role that say the same of any element, as a
 # form does, but for one that holds the main part of the page (`_wrappers`).
-NOT_SHOWN = frozenset("head iframe math noscript object script select style svg template textarea title".split())
+NOT_SHOWN = frozenset("head iframe noscript object script select style svg template textarea title".split())
 NOT_ARTICLE = frozenset("aside button dialog footer menu nav".split())
 NOT_ARTICLE_WORDS = frozenset(
     "ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments complementary consent"
@@ -57,23 +57,30 @@ class Page(HTMLParser):
         self.marks = [False]  # no part of an article: True by the element's kind, None by its name only
         self.texts: list[tuple[int, str]] = []  # (element, text); (element, None): a block begins or ends
         self.open = [0]
+        # Where in ``open`` the open elements of a name are, and those that are blocks, so that no end looks at all of them.
+        self.places: dict[str, list[int]] = {"#page": [0]}
+        self.blocks: list[int] = []
         self.feed(html)
         self.close()
 
     def _close_to(self, depth: int) -> None:
         for node in reversed(self.open[depth:]):
-            if self.tags[node] in BLOCK:
+            tag = self.tags[node]
+            self.places[tag].pop()
+            if tag in BLOCK:
+                self.blocks.pop()
                 self.texts.append((node, None))
         del self.open[depth:]
 
+    def _last(self, names) -> int:
+        """The place of the innermost open element with one of the names, 0 if there is none."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=0)
+
     def _end(self, names, until) -> None:
-        for depth in range(len(self.open) - 1, 0, -1):
-            tag = self.tags[self.open[depth]]
-            if tag in names:
-                return self._close_to(depth)
-            if tag in until:
-                return None
-        return None
+        """Close the innermost open element of ``names``, unless one of ``until`` lies further in."""
+        depth = self._last(names)
+        if depth and depth >= (self.blocks[-1] if until is BLOCK and self.blocks else 0 if until is BLOCK else self._last(until)):
+            self._close_to(depth)
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCK:
@@ -89,6 +96,9 @@ class Page(HTMLParser):
         if tag in BLOCK:
             self.texts.append((len(self.tags) - 1, None))
         if tag not in VOID:
+            self.places.setdefault(tag, []).append(len(self.open))
+            if tag in BLOCK:
+                self.blocks.append(len(self.open))
             self.open.append(len(self.tags) - 1)
 
     def _mark(self, tag, attrs) -> bool | None:
@@ -97,7 +107,7 @@ class Page(HTMLParser):
         if tag in ("html", "body", "article", "main"):
             return False
         if tag == "header":
-            return not any(self.tags[i] in ("article", "main") for i in self.open)
+            return not self._last(("article", "main"))
         mark = None if tag == "form" else False
         for name, value in attrs:
             if value and name in ("class", "id", "role"):

@@ -14,9 +14,11 @@ from tagloom.llm.common import in_batches, uniform, unused, utf8
 
 WINDOW = 128  # bytes
 WIDTHS, FILTERS = (2, 3, 4), 16
-# Bounds of the sample that is learned from: documents per language, windows of each, languages.
-SAMPLE_DOCUMENTS, SAMPLE_WINDOWS, MAX_LANGUAGES = 400, 4, 200
-STEPS, BATCH, RATE = 400, 128, 0.01
+# Bounds of the sample that is learned from: documents per language, windows of each, and documents of all languages
+# together, of which each has its part but never less than the last number.
+SAMPLE_DOCUMENTS, SAMPLE_WINDOWS, SAMPLE_TOTAL, SAMPLE_LEAST = 400, 4, 40_000, 20
+# Steps for up to 32 languages; in proportion for more.
+STEPS, STEPS_LANGUAGES, BATCH, RATE = 400, 32, 128, 0.01
 UNKNOWN = "und"
 
 _PAD = 256
@@ -73,7 +75,7 @@ class ByteNetwork:
         params = [*self.filters, *self.bias, self.out, self.out_bias]
         first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
         column = np.arange(FILTERS)
-        for step in range(1, STEPS + 1):
+        for step in range(1, STEPS * max(1, -(-len(self.languages) // STEPS_LANGUAGES)) + 1):
             pick = r.integers(0, len(x), min(BATCH, len(x)))
             xs = x[pick].copy()
             # Some windows are cut short, as those of short texts are.
@@ -138,23 +140,29 @@ def fit_language_model(
     text_column: str = "text",
     lang_column: str = "lang",
     sample_documents: int = SAMPLE_DOCUMENTS,
+    sample_total: int = SAMPLE_TOTAL,
     seed: int = 0,
 ) -> ByteNetwork | None:
     """A network learned from a bounded sample of the labelled rows that are not held out.
 
-    Counts per language come from the whole table. About ``sample_documents`` documents of each of the at most
-    200 most frequent languages are chosen by a hash of the id, and 4 windows of each by a hash as well, so the
-    driver gets some MB at most and reruns learn the same. Null if there is nothing to learn from.
+    Every language that has such a row is learned. Counts per language come from the whole table. About
+    ``sample_documents`` documents of each, fewer if there are more than ``sample_total`` in all but 20 at least, are
+    chosen by a hash of the id, and 4 windows of each by a hash as well, so the driver gets some MB at most and reruns
+    learn the same. Null if there is nothing to learn from.
     """
-    rows = docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text"), F.col(lang_column).alias("_lang"))
+    rows = docs.select(F.col(f"`{id_column}`").alias("_id"), F.col(f"`{text_column}`").alias("_text"), F.col(f"`{lang_column}`").alias("_lang"))
     rows = rows.where(~held_out("_id") & F.col("_lang").isNotNull() & F.col("_text").rlike(r"\p{L}"))
-    counts = rows.groupBy("_lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "_lang").limit(MAX_LANGUAGES).collect()
+    counts = rows.groupBy("_lang").agg(F.count(F.lit(1)).alias("n")).collect()
     if not counts:
         return None
     languages = sorted(r["_lang"] for r in counts)
-    rate = F.create_map(*[F.lit(v) for r in counts for v in (r["_lang"], sample_documents / r["n"])])
+    place = {name: i for i, name in enumerate(languages)}
+    each = min(sample_documents, max(SAMPLE_LEAST, sample_total // len(languages)))
+    # A table of one row for each language, however many rows a language has.
+    rates = docs.sparkSession.createDataFrame([(r["_lang"], each / r["n"]) for r in counts], "_of string, _rate double")
     luck = uniform(F.lit(seed), F.col("_id").cast("string"), F.length("_text"))
-    chosen = rows.where(luck < F.element_at(rate, F.col("_lang"))).withColumn("_luck", luck)
+    rows = rows.withColumn("_luck", luck).where(F.col("_luck") < each / min(r["n"] for r in counts))
+    chosen = rows.join(F.broadcast(rates), F.col("_lang") == F.col("_of")).where(F.col("_luck") < F.col("_rate"))
     room = F.greatest(F.lit(0), F.length("_text") - WINDOW)
     pieces = [
         F.substring("_text", (uniform(F.lit(seed), F.lit(k), F.col("_luck")) * (room + 1)).cast("int") + 1, F.lit(WINDOW))
@@ -163,10 +171,9 @@ def fit_language_model(
     sample = (
         chosen.select("_luck", "_lang", F.array(*pieces).alias("pieces"))
         .orderBy("_luck", "_lang", "pieces")
-        .limit(2 * sample_documents * len(languages))
         .collect()
     )
-    raw = [(p.encode("utf-8", "replace")[:WINDOW], languages.index(r["_lang"])) for r in sample for p in r["pieces"]]
+    raw = [(p.encode("utf-8", "replace")[:WINDOW], place[r["_lang"]]) for r in sample for p in r["pieces"]]
     x = np.full((len(raw), WINDOW), _PAD, np.int16)
     for i, (piece, _) in enumerate(raw):
         x[i, : len(piece)] = _LOWER[np.frombuffer(piece, np.uint8)]
@@ -181,13 +188,13 @@ def predict_language(
     """``docs`` with the predicted language of the whole text and its probability.
 
     A null text, one without any letter, and every text where nothing was learned are ``und`` with score 0.
-    Only the text is looked at. Other columns pass through; columns with the names of the results are replaced.
+    Of languages with the same probability the first in the order of their names is taken. Only the text is looked at. Other columns pass through; columns with the names of the results are replaced.
     """
     if network is None:
         return docs.withColumns({out_column: F.lit(UNKNOWN), score_column: F.lit(0.0)})
     kept, flag = [c for c in docs.columns if c not in (out_column, score_column)], unused(docs, "_letter")
     fields = [T.StructField(out_column, T.StringType()), T.StructField(score_column, T.DoubleType())]
-    work = docs.select(*kept, F.coalesce(F.col(text_column).rlike(r"\p{L}"), F.lit(False)).alias(flag))
+    work = docs.select(*[F.col(f"`{c}`") for c in kept], F.coalesce(F.col(f"`{text_column}`").rlike(r"\p{L}"), F.lit(False)).alias(flag))
     model = docs.sparkSession.sparkContext.broadcast(network)  # some 100 kB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

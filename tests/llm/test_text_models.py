@@ -3,6 +3,8 @@
 import html as html_text
 import random
 import re
+import time
+import zlib
 
 import numpy as np
 import pytest
@@ -52,6 +54,52 @@ def test_batches_do_not_matter():
         assert alone[0][0] == together[0][i] and alone[1][0] == pytest.approx(together[1][i], rel=1e-4)
 
 
+def plain_probabilities(network, raw):
+    """The network's answer for one text, one window, filter and place at a time."""
+    step = lg.WINDOW - max(lg.WIDTHS) + 1
+    total, weight = np.zeros(len(network.languages)), 0.0
+    for start in range(0, max(1, len(raw) - max(lg.WIDTHS) + 1), step):
+        window = [b + 32 if 65 <= b <= 90 else b for b in raw[start : start + lg.WINDOW]]
+        window += [lg._PAD] * (lg.WINDOW - len(window))
+        hidden = []
+        for table, bias in zip(network.filters, network.bias):
+            for f in range(lg.FILTERS):
+                best = max(sum(float(table[k, window[i + k], f]) for k in range(len(table))) for i in range(lg.WINDOW - len(table) + 1))
+                hidden.append(max(0.0, best + float(bias[f])))
+        scores = [sum(h * float(network.out[k, c]) for k, h in enumerate(hidden)) + float(network.out_bias[c]) for c in range(len(total))]
+        chances = np.exp(np.array(scores) - max(scores))
+        letters = sum(97 <= b <= 122 or 128 <= b < 256 for b in window) + 1e-3
+        total += chances / chances.sum() * letters
+        weight += letters
+    return total / weight
+
+
+def test_predictions_equal_a_plain_forward_pass():
+    network = lg.ByteNetwork(["a", "b", "c", "d"], seed=9)
+    for table in network.filters:
+        table[:, lg._PAD] = 0.1
+    for text in ["", "X", "Hello World, " * 3, "Grüße aus Köln; " * 12, "漢字 und mehr 12" * 9]:
+        raw = text.encode()
+        best, score = network.predict(np.frombuffer(raw, np.uint8) if raw else np.zeros(0, np.uint8), np.array([0, len(raw)]))
+        want = plain_probabilities(network, raw)
+        assert best[0] == want.argmax() and score[0] == pytest.approx(want.max(), rel=1e-4)
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    """300 languages of two rows and more, most beyond any number of frequent ones."""
+    monkeypatch.setattr(lg, "STEPS", 200)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for n in range(300):
+        word = letters[n % 26] + letters[(n // 26) % 26] + letters[(n * 7 + 3) % 26]
+        rows += [(n * 100 + k, f"{word} " * (40 + k), f"l{n:03d}") for k in range(2 + (n % 5) * 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    network = lg.fit_language_model(df, sample_total=3000)
+    learned = {lang for i, _, lang in rows if zlib.crc32(str(i).encode()) % 5}
+    assert network.languages == sorted(learned) and len(learned) > 290
+    assert lg.fit_language_model(df.limit(0)) is None
+
+
 def test_language_frames(spark):
     texts = [(i, ("the cat and the dog of " * 9, "en") if i % 2 else ("der hund und die katze von " * 9, "de")) for i in range(60)]
     rows = [(i, t, l, "s", 0.5) for i, (t, l) in texts] + [(100, None, "en", "s", 1.0), (101, "", None, "s", 1.0), (102, "12 . 34", "de", "s", 1.0), (None, texts[1][1][0], None, None, 1.0)]
@@ -73,8 +121,6 @@ def test_language_frames(spark):
 
 
 def test_language_query_on_held_out_documents(spark):
-    import zlib
-
     sf = "/root/testdata/sf0.01"
     gold = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     out = QUERIES["op2_language_id"](spark, sf).collect()
@@ -142,6 +188,45 @@ def test_lists_of_links_in_main_go():
         assert ht.main_text(f"<{tag}><h1>Title</h1><div><p>{LONG}</p><p>{LONG}</p><p>See <a>this</a> page</div>{links}</{tag}>").endswith("See this page")
 
 
+def test_formulas_stay():
+    formula = "<math><mi>x</mi><mo>=</mo><mn>2</mn></math>"
+    page = f"<article><p>Let {formula} be. {LONG}</p><p>{LONG}</p></article>"
+    assert ht.main_text(page).startswith("Let x=2 be. A sentence")
+
+
+@pytest.mark.parametrize("tag", ["<div>", "<span>", "<p>x", "<li>x", "<b><div>", "<table><tr><td>", "</div><div><i>", "<article><header>"])
+def test_many_open_tags_are_read_in_linear_time(tag):
+    start = time.time()
+    assert isinstance(ht.main_text(tag * 200_000), str)
+    assert time.time() - start < 60
+
+
+def reference_ends(html):
+    """The elements of a page as ``(tag, parent)`` with every end looked up in the whole list of open ones."""
+
+    class Slow(ht.Page):
+        def _end(self, names, until):
+            for depth in range(len(self.open) - 1, 0, -1):
+                tag = self.tags[self.open[depth]]
+                if tag in names:
+                    return self._close_to(depth)
+                if tag in until:
+                    return None
+            return None
+
+    page = Slow(html)
+    return list(zip(page.tags, page.parents)), page.texts
+
+
+def test_open_elements_are_found_as_by_looking_at_all():
+    r = random.Random(8)
+    names = ["p", "div", "b", "a", "ul", "li", "table", "tr", "td", "th", "dl", "dt", "dd", "article", "header", "span", "button", "select", "option"]
+    for _ in range(3000):
+        html = "".join(r.choice(["<{}>", "</{}>", "<{}>x"]).format(r.choice(names)) for _ in range(r.randint(1, 40)))
+        page = ht.Page(html)
+        assert (list(zip(page.tags, page.parents)), page.texts) == reference_ends(html), html
+
+
 @pytest.mark.parametrize("page", ["", "   ", "<", "<p", "<!-- open", "&", "&amp", "<script>x", "</p></div>", "<a><a><a>" * 50, "<div>" * 5000])
 def test_broken_pages_do_not_crash(page):
     assert isinstance(ht.main_text(page), str)
