@@ -16,8 +16,13 @@ from pyspark.sql import types as T
 from tagloom.llm.common import in_batches, settled
 
 PRIME = (1 << 31) - 1
-BASES = (1_000_003, 754_974_721)  # the second only makes the hash of the whole text longer
+BASES = (1_000_003, 754_974_721)  # windows have the first; whole texts and extensions both
 WINDOW, SLOTS = 24, 64
+_PIECE = 1 << 18  # code points whose products are computed together, in 8 bytes each
+
+
+def _pieces(n: int) -> Iterator[slice]:
+    return (slice(i, min(i + _PIECE, n)) for i in range(0, n, _PIECE))
 
 
 def _mod(x: np.ndarray) -> np.ndarray:
@@ -28,15 +33,23 @@ def _mod(x: np.ndarray) -> np.ndarray:
 
 
 class Powers:
-    """The powers of a base, as many as the longest text so far needs."""
+    """The powers of a base, as many as the longest text so far needs, in 4 bytes each."""
 
     def __init__(self, base: int):
-        self.base, self.up = base, np.ones(1, np.int64)
+        self.base, self.up = base, np.ones(1, np.uint32)
 
     def first(self, n: int) -> np.ndarray:
-        while len(self.up) < n:
-            step = pow(self.base, len(self.up), PRIME)
-            self.up = np.concatenate([self.up, _mod(self.up * step)])
+        known = len(self.up)
+        if known < n:
+            up = np.empty(n, np.uint32)
+            up[:known] = self.up
+            while known < n:
+                # The powers so far, at most a piece of them, times the power that comes next.
+                step = pow(self.base, known, PRIME)
+                more = min(known, n - known, _PIECE)
+                up[known : known + more] = _mod(up[:more].astype(np.int64) * step)
+                known += more
+            self.up = up
         return self.up[:n]
 
 
@@ -45,7 +58,7 @@ INVERSES = [Powers(pow(b, -1, PRIME)) for b in BASES]
 
 
 def code_points(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
 class PrefixHashes:
@@ -58,11 +71,14 @@ class PrefixHashes:
     def __init__(self, points: np.ndarray, which: int = 0):
         n = len(points)
         self.n, self.powers, self.inverses = n, POWERS[which], INVERSES[which]
-        terms = _mod((points + 1) * self.powers.first(n))
-        # 2^31 terms below 2^31 add up to less than 2^62.
-        self.hashes = np.zeros(n + 1, np.int64)
-        np.cumsum(terms, out=self.hashes[1:])
-        self.hashes = _mod(self.hashes)
+        up = self.powers.first(n)
+        # In 4 bytes each; a piece's terms below 2^31 add up to less than 2^50.
+        self.hashes = np.zeros(n + 1, np.uint32)
+        before = 0
+        for at in _pieces(n):
+            sums = np.cumsum(_mod((points[at].astype(np.int64) + 1) * up[at])) + before
+            self.hashes[at.start + 1 : at.stop + 1] = sums = _mod(sums)
+            before = int(sums[-1])
 
     def span(self, start: int, end: int, at: int) -> int:
         """The hash of a span, as if it began at position ``at``, which is not before ``start``."""
@@ -71,23 +87,31 @@ class PrefixHashes:
 
     def windows(self, size: int) -> np.ndarray:
         """The hash of each span of ``size`` code points, independent of where it lies."""
-        count = self.n - size + 1
-        if count <= 0:
-            return np.zeros(0, np.int64)
-        here = self.hashes[size:] - self.hashes[:count]
-        here = np.where(here < 0, here + PRIME, here)
-        return _mod(here * self.inverses.first(count))
+        count = max(0, self.n - size + 1)
+        back, out = self.inverses.first(count), np.empty(count, np.uint32)
+        for at in _pieces(count):
+            here = self.hashes[at.start + size : at.stop + size].astype(np.int64) - self.hashes[at]
+            out[at] = _mod(np.where(here < 0, here + PRIME, here) * back[at])
+        return out
+
+
+Hashed = tuple[PrefixHashes, ...]
 
 
-def spans_equal(a: PrefixHashes, i: int, b: PrefixHashes, j: int, length: int) -> bool:
-    """Are the ``length`` code points of ``a`` from i those of ``b`` from j? Wrong with chance length / 2^31."""
+def hashed(points: np.ndarray) -> Hashed:
+    """The prefix arrays of a text for both bases."""
+    return tuple(PrefixHashes(points, which) for which in range(len(BASES)))
+
+
+def spans_equal(a: Hashed, i: int, b: Hashed, j: int, length: int) -> bool:
+    """Are the ``length`` code points of ``a`` from i those of ``b`` from j? Wrong with chance (length / 2^31)^2."""
     at = max(i, j)
-    return a.span(i, i + length, at) == b.span(j, j + length, at)
+    return all(x.span(i, i + length, at) == y.span(j, j + length, at) for x, y in zip(a, b))
 
 
-def common_extension(a: PrefixHashes, i: int, b: PrefixHashes, j: int) -> int:
+def common_extension(a: Hashed, i: int, b: Hashed, j: int) -> int:
     """How many code points ``a`` from i and ``b`` from j have in common, by binary search over the length."""
-    low, high = 0, min(a.n - i, b.n - j)
+    low, high = 0, min(a[0].n - i, b[0].n - j)
     while low < high:
         middle = (low + high + 1) // 2
         if spans_equal(a, i, b, j, middle):
@@ -109,10 +133,13 @@ def _smallest(hashes: np.ndarray, slots: int) -> np.ndarray:
 
 
 def _mixed(hashes: np.ndarray) -> np.ndarray:
-    """Hashes in an order that has nothing to do with the polynomial."""
-    x = (hashes.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return (x >> np.uint64(33)).astype(np.int64)
+    """Hashes in an order that has nothing to do with the polynomial, below 2^31."""
+    out = np.empty(len(hashes), np.uint32)
+    for at in _pieces(len(hashes)):
+        x = (hashes[at].astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        out[at] = x >> np.uint64(33)
+    return out
 
 
 class Fingerprint:
@@ -142,14 +169,14 @@ class Text:
 
     def __init__(self, text: str, window: int = WINDOW, slots: int = SLOTS):
         self.text, self.points, self.size, self.slots = text, code_points(text), window, slots
-        self.prefix, self.prefix2 = PrefixHashes(self.points), PrefixHashes(self.points, 1)
-        self.windows = _mixed(self.prefix.windows(window))
-        whole = (int(self.prefix.hashes[-1]), int(self.prefix2.hashes[-1]))
+        self.prefix = hashed(self.points)
+        self.windows = _mixed(self.prefix[0].windows(window))
+        whole = tuple(int(p.hashes[-1]) for p in self.prefix)
         self.fingerprint = Fingerprint(len(self.points), self._or_whole(self.windows, whole[0]), whole, slots)
 
     def _or_whole(self, windows: np.ndarray, whole: int) -> np.ndarray:
         # A text shorter than a window is its own window; an empty one has none.
-        return windows if len(windows) or not whole else _mixed(np.array([whole], np.int64))
+        return windows if len(windows) or not whole else _mixed(np.array([whole], np.uint32))
 
     def followed_by(self, keep: int, other: Text, take: int) -> Fingerprint:
         """The fingerprint of the first ``keep`` code points and then the first ``take`` of ``other``.
@@ -162,7 +189,7 @@ class Text:
         windows = [self.windows[: max(0, keep - w + 1)], _mixed(seam), other.windows[: max(0, take - w + 1)]]
         whole = tuple(
             (int(a.hashes[keep]) + int(b.hashes[take]) * int(a.powers.first(keep + 1)[keep])) % PRIME
-            for a, b in ((self.prefix, other.prefix), (self.prefix2, other.prefix2))
+            for a, b in zip(self.prefix, other.prefix)
         )
         return Fingerprint(keep + take, self._or_whole(np.concatenate(windows), whole[0]), whole, self.slots)
 
@@ -219,6 +246,9 @@ def fingerprint_chain(docs: DataFrame, id_column: str = "doc_id", text_column: s
     first. Its fingerprint takes the windows of both parts as they are. ``common_prefix`` is how long text and
     edited text agree. Null texts are empty; two empty texts are equal. Other columns are not read.
 
+    A text takes some 20 bytes for each code point besides itself, and so do the powers that a worker keeps for the
+    longest text so far: two texts of 20 million code points need about 1 GB.
+
     Texts are shuffled once, into ranges of ids. A task holds two texts at a time. Where its range ends it
     writes its first and last text to a table, two rows per task, from which the pairs across ranges are made.
     """

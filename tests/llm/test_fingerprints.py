@@ -15,16 +15,46 @@ def test_spans_and_extensions():
     for _ in range(300):
         a = "".join(r.choices("ab🙂é", k=r.randint(0, 40)))
         b = a[: r.randint(0, len(a))] + "".join(r.choices("ab🙂é", k=r.randint(0, 40)))
-        x, y = (fp.PrefixHashes(fp.code_points(t)) for t in (a, b))
+        x, y = (fp.hashed(fp.code_points(t)) for t in (a, b))
         i, j = r.randint(0, len(a)), r.randint(0, len(b))
         for n in range(min(len(a) - i, len(b) - j) + 1):
             assert fp.spans_equal(x, i, y, j, n) == (a[i : i + n] == b[j : j + n])
         common = next((k for k, (p, q) in enumerate(zip(a[i:], b[j:])) if p != q), min(len(a) - i, len(b) - j))
         assert fp.common_extension(x, i, y, j) == common
-        w = x.windows(3).tolist()
+        w = x[0].windows(3).tolist()
         assert all((w[p] == w[q]) == (a[p : p + 3] == a[q : q + 3]) for p in range(len(w)) for q in range(len(w)))
 
 
+def test_extensions_do_not_rest_on_one_hash():
+    """Two texts whose hashes agree for the first base alone: the second tells them apart."""
+    x, y = (fp.hashed(np.array(p, np.uint32)) for p in ([fp.BASES[0] + 5, 7], [5, 8]))
+    assert x[0].hashes[2] == y[0].hashes[2] and x[1].hashes[2] != y[1].hashes[2]
+    assert not fp.spans_equal(x, 0, y, 0, 2) and fp.common_extension(x, 0, y, 0) == 0
+
+
+def test_pieces_do_not_matter(monkeypatch):
+    text = "".join(random.Random(7).choices("abc é漢🙂", k=5000))
+    whole = fp.Text(text)
+    monkeypatch.setattr(fp, "_PIECE", 64)
+    monkeypatch.setattr(fp, "POWERS", [fp.Powers(b) for b in fp.BASES])
+    monkeypatch.setattr(fp, "INVERSES", [fp.Powers(pow(b, -1, fp.PRIME)) for b in fp.BASES])
+    again = fp.Text(text)
+    assert all((a.hashes == b.hashes).all() for a, b in zip(whole.prefix, again.prefix)) and str(whole.fingerprint) == str(again.fingerprint)
+
+
+def test_memory_of_long_texts():
+    """As the docstring says: some 20 bytes for each code point, and the powers."""
+    import tracemalloc
+
+    n = 2_000_000
+    text = "abcdefgh" * (n // 8)
+    tracemalloc.start()
+    one = fp.Text(text)
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(one.points) == n and held < 45 * n and peak < 60 * n
+
+
 def test_seam_equals_hashing_the_whole():
     r = random.Random(4)
     for _ in range(300):
