@@ -20,7 +20,7 @@ HEURISTICS = {
     "words equal to the one before": (0.05, 0.25),
     "words without any letter": (0.05, 0.2),
     "words that end a sentence": (0.3, 0.6),
-    "repeated words, of the first 200": (0.6, 0.85),  # and of every 200 that follow: see `WINDOW`
+    "repeated words, in windows of 200": (0.6, 0.85),  # see `WINDOW`
     "digits per character": (0.1, 0.5),
     "words that end in a symbol": (0.1, 0.4),
 }
@@ -127,6 +127,7 @@ class LabelModel:
 
         It starts from a text with any bad vote being bad, which also says which of the two classes is which.
         """
+        self.counts = dict(counts)
         patterns = np.arange(3 ** len(HEURISTICS))
         n = np.array([counts.get(p, 0) for p in patterns.tolist()], float)
         votes = patterns[:, None] // 3 ** np.arange(len(HEURISTICS)) % 3
@@ -164,7 +165,7 @@ _VOTES = T.StructField("_votes", T.IntegerType())
 
 def fit_label_model(docs: DataFrame, text_column: str = "text") -> LabelModel:
     """The label model of all texts; the driver gets the counts of at most 3 ** 8 combinations of votes."""
-    texts = docs.select(F.col(text_column).alias("_text"))
+    texts = docs.select(F.col(f"`{text_column}`").alias("_text"))
     votes = _mapped(texts, [], [_VOTES], lambda words: [pa.array(words.votes().astype(np.int32))])
     return LabelModel({r["_votes"]: r["n"] for r in votes.groupBy("_votes").agg(F.count(F.lit(1)).alias("n")).collect()})
 
@@ -200,14 +201,13 @@ def fit_scorer(docs: DataFrame, model: LabelModel, text_column: str = "text", sa
     """A scorer learned from the posterior labels of a bounded sample.
 
     About ``sample`` texts that the label model calls good and as many bad ones are chosen by a hash of the text,
-    with a rate that follows from the counts of all, so that their hashed features fit on the driver.
+    with a rate that follows from the counts of all, so that their hashed features fit on the driver. The counts are
+    those that ``model`` was fitted on, which must be of the same texts.
     """
-    texts = docs.select(F.col(text_column).alias("_text"), uniform(F.lit(seed), F.col(text_column)).alias("_luck"))
-    combined = _mapped(texts, ["_luck"], [_VOTES], lambda w: [pa.array(w.votes().astype(np.int32))])
-    counted = combined.groupBy("_votes").agg(F.count(F.lit(1)).alias("n")).collect()
+    texts = docs.select(F.col(f"`{text_column}`").alias("_text"), uniform(F.lit(seed), F.col(f"`{text_column}`")).alias("_luck"))
     bad = model.bad
-    spoken = [r for r in counted if r["_votes"] != NO_WORDS]
-    totals = [sum(r["n"] for r in spoken if (bad[r["_votes"]] >= 0.5) == side) for side in (False, True)]
+    spoken = {votes: n for votes, n in model.counts.items() if votes != NO_WORDS}
+    totals = [sum(n for votes, n in spoken.items() if (bad[votes] >= 0.5) == side) for side in (False, True)]
     rates = [min(1.0, sample / max(1, t)) for t in totals]
     fields = [_VOTES, T.StructField("_features", T.ArrayType(T.IntegerType())), T.StructField("_shares", T.ArrayType(T.FloatType()))]
 
@@ -249,4 +249,4 @@ def score_quality(docs: DataFrame, model: LabelModel, scorer: Scorer, text_colum
         scorer, bad = both.value
         return [pa.array(scorer.score(words)), pa.array(1 - bad[words.votes()])]
 
-    return _mapped(docs.select(*kept), kept, fields, add, text_column)
+    return _mapped(docs.select(*[F.col(f"`{c}`") for c in kept]), kept, fields, add, text_column)

@@ -1,5 +1,9 @@
 """The weak-label model and its scorer on marked texts, and the query against the labels table."""
 
+import random
+import re
+import string
+
 import numpy as np
 import pytest
 
@@ -21,13 +25,13 @@ def test_measures():
     assert m["words equal to the one before"] == pytest.approx(1 / 8)
     assert m["words without any letter"] == pytest.approx(2 / 8)
     assert m["words that end a sentence"] == pytest.approx(1 / 8)
-    assert m["repeated words, of the first 200"] == pytest.approx(1 / 8)
+    assert m["repeated words, in windows of 200"] == pytest.approx(1 / 8)
     assert m["digits per character"] == pytest.approx(2 / 24)
     assert m["words that end in a symbol"] == pytest.approx(2 / 8)
 
 
 def test_repetition_after_the_first_words_counts():
-    name, varied = "repeated words, of the first 200", " ".join(f"w{i}" for i in range(200))
+    name, varied = "repeated words, in windows of 200", " ".join(f"w{i}" for i in range(200))
     texts = ["a b", f"{varied} " + "buy this now and here " * 2000, " ".join(f"w{i}" for i in range(5000)), varied + " a a"]
     together = words(*texts).measures()[:, list(ql.HEURISTICS).index(name)]
     assert together == pytest.approx([0, (10_000 - 50 * 5) / 10_200, 0, 1 / 202])
@@ -35,6 +39,103 @@ def test_repetition_after_the_first_words_counts():
     assert vote.tolist() == [ql.SILENT, ql.BAD, ql.GOOD, ql.GOOD]
 
 
+def plain_words(text):
+    return [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+
+
+def plain_votes(text):
+    """The votes of the heuristics on one text, from their names."""
+    words = plain_words(text)
+    if not words:
+        return None
+    raw, last = [w.encode() for w in words], [w.encode()[-1:] for w in words]
+    count = lambda chars: sum(text.count(c) for c in chars)
+    upper, lower = count(string.ascii_uppercase), count(string.ascii_lowercase)
+    symbols, characters = count("#$%&*+/<=>@[\\]^_`{|}~"), sum(map(len, raw))
+    # Characters are bytes that show; control characters do not.
+    characters = sum(33 <= b < 127 or b >= 128 for w in raw for b in w)
+    letter = lambda w: any(chr(b) in string.ascii_letters or b >= 128 for b in w)
+    windows = [words[i : i + 200] for i in range(0, len(words), 200)]
+    measures = [
+        symbols / characters, upper / max(1, upper + lower), sum(a == b for a, b in zip(words, words[1:])) / len(words),
+        sum(not letter(w) for w in raw) / len(words), sum(x in (b".", b"!", b"?") for x in last) / len(words),
+        sum(len(w) - len(set(w)) for w in windows) / len(words), count(string.digits) / characters,
+        sum(x and x in b"#$%&*+/<=>@[\\]^_`{|}~" for x in last) / len(words),
+    ]
+    if len(words) < ql.FEWEST_WORDS:
+        return [ql.SILENT] * 8
+    return [ql.GOOD if m < low else ql.BAD if m > high else ql.SILENT for m, (low, high) in zip(measures, ql.HEURISTICS.values())]
+
+
+def random_texts(count, seed):
+    r = random.Random(seed)
+    pieces = ["the", "Quick", "FOX", "é#", "end.", "what?", "||", "12", "3,4", "a", "a a a", "x%", "\n", "buy now!"]
+    return [" ".join(r.choices(pieces[: r.randint(1, len(pieces))], k=r.choice([0, 1, 5, 9, 30, 450]))) for _ in range(count)]
+
+
+def test_votes_equal_the_heuristics_as_named():
+    texts = random_texts(300, 4)
+    for text, got in zip(texts, words(*texts).votes().tolist()):
+        want = plain_votes(text)
+        assert got == (ql.NO_WORDS if want is None else sum(v * 3**k for k, v in enumerate(want))), repr(text)
+
+
+def plain_label_model(votes, steps=100):
+    """Expectation-maximisation text by text: the prior, and the chance that each text is bad."""
+    silent = [all(v == ql.SILENT for v in t) for t in votes]
+    bad = [0.9 if ql.BAD in t else 0.1 for t in votes]
+    for _ in range(steps):
+        spoken = [i for i in range(len(votes)) if not silent[i]]
+        total = [sum(1 - bad[i] for i in spoken), sum(bad[i] for i in spoken)]
+        prior = [(t + 1) / (sum(total) + 2) for t in total]
+        chance = {}
+        for c in (0, 1):
+            for k in range(8):
+                said = [0.1 + sum(bad[i] if c else 1 - bad[i] for i in spoken if votes[i][k] == v) for v in range(3)]
+                for v in range(3):
+                    chance[c, k, v] = said[v] / sum(said)
+        for i, t in enumerate(votes):
+            side = [prior[c] * np.prod([chance[c, k, v] for k, v in enumerate(t)]) for c in (0, 1)]
+            bad[i] = prior[1] if silent[i] else side[1] / sum(side)
+    return bad
+
+
+def test_posteriors_equal_plain_expectation_maximisation():
+    votes = [v for v in map(plain_votes, random_texts(200, 5)) if v]
+    counts = {}
+    for t in votes:
+        number = sum(v * 3**k for k, v in enumerate(t))
+        counts[number] = counts.get(number, 0) + 1
+    model = ql.LabelModel(counts)
+    assert [model.bad[sum(v * 3**k for k, v in enumerate(t))] for t in votes] == pytest.approx(plain_label_model(votes), abs=1e-6)
+
+
+def test_scores_equal_a_plain_sum():
+    scorer = ql.Scorer()
+    scorer.weights, scorer.bias = np.random.default_rng(1).normal(size=len(scorer.weights)), 0.3
+    texts = random_texts(60, 6)
+    for text, got in zip(texts, scorer.score(words(*texts))):
+        if not plain_words(text):
+            assert got == 0
+            continue
+        one = words(text)
+        of, features, _ = one.features()
+        # Every word has one feature of each family, and each weighs one part of the words and the doubt.
+        assert len(features) == 3 * len(plain_words(text)) and set(of) == {0}
+        total = sum(scorer.weights[f] for f in features) / (len(plain_words(text)) + ql.DOUBT) + 0.3
+        assert got == pytest.approx(1 / (1 + np.exp(-total)))
+
+
+def test_texts_are_read_for_votes_once(spark, monkeypatch):
+    """The scorer takes the counts of the label model; only the texts it learns from are looked at again."""
+    df = spark.createDataFrame([(i, "a plain text of some words and more of them again") for i in range(20)], "doc_id long, text string")
+    model, passes = ql.fit_label_model(df), []
+    whole = ql._mapped
+    monkeypatch.setattr(ql, "_mapped", lambda *a, **k: passes.append(1) or whole(*a, **k))
+    ql.fit_scorer(df, model)
+    assert len(passes) == 1 and sum(model.counts.values()) == 20
+
+
 def test_batches_do_not_matter():
     texts = ["a b c", "", "  ", "c d c", "C!! D##", "é " * 50]
     together, alone = words(*texts), [words(t) for t in texts]
