@@ -13,7 +13,7 @@ from tagloom.operators.indexing import global_positions
 
 WEIGHTS, SHARE, MAX_REPEATS = (3, 1, 2), 1.5, 2
 BLOCK = 64  # documents that are rounded against each other in one step of the tree
-HEAVY = 0.01  # documents with at least this share of their source's words, 100 at most, are rounded first
+HEAVY = 0.01  # documents with at least this share of their source's words, 100 at most, are rounded before the others
 
 
 def words(text: Column) -> Column:
@@ -86,8 +86,11 @@ def _fold(level: int, seed: int) -> tuple[Column, Column]:
     return merge, done_type
 
 
-def _rounded(items: DataFrame, blocks: int, seed: int) -> DataFrame:
-    """``(_unit, _extra)`` for ``items`` of ``(_source, _block, unit, mark, mass, p)``, up a tree of blocks."""
+def _folded(items: DataFrame, blocks: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """``items`` of ``(_source, _block, unit, mark, mass, p)``, folded up a tree of blocks.
+
+    Returns ``(unit, extra)`` of all that are settled, and of each source the one that is still open.
+    """
     unit = items.schema["unit"].dataType.simpleString()
     settled_units, level = [], 0
     while True:
@@ -107,12 +110,41 @@ def _rounded(items: DataFrame, blocks: int, seed: int) -> DataFrame:
         if blocks <= 1:
             break
         blocks, level = math.ceil(blocks / BLOCK), level + 1
-    last = F.when(uniform(F.lit(seed), F.lit(-1), F.col("mark")) < F.col("p"), 1).otherwise(0)
-    settled_units.append(items.select("unit", last.alias("extra")))
     out = settled_units[0]
     for more in settled_units[1:]:
         out = out.unionByName(more)
-    return out
+    return out, items
+
+
+def _last(items: DataFrame, seed: int) -> DataFrame:
+    """``(unit, extra)``: an open item alone is taken with its own chance."""
+    taken = uniform(F.lit(seed), F.lit(-1), F.col("mark")) < F.col("p")
+    return items.select("unit", F.when(taken, 1).otherwise(0).alias("extra"))
+
+
+def _against_the_rest(heavy: DataFrame, rest: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
+    """One more step of the rounding, in each source: its open heavy item against all its light ones as one.
+
+    The light ones have the same chance, so together they are an item of their mass, ``(_from, _mass, _chance)``. Words move
+    between the two until the heavy one has a copy or none, or all light ones have; as in `_fold`, the chances of the
+    two ways keep everybody's expected copies. Returns the heavy items with their new chance, 0 or 1 in the first case,
+    and ``(_from, _chance)``, the new chance of the light ones.
+    """
+    both = heavy.join(rest, same(F.col("_source"), F.col("_from")))
+    up = F.least(F.col("mass") * (1 - F.col("p")), F.col("_mass") * F.col("_chance"))
+    down = F.least(F.col("mass") * F.col("p"), F.col("_mass") * (1 - F.col("_chance")))
+    luck = uniform(F.lit(seed), F.lit(-3), F.col("mark")) * (up + down)
+    both = both.withColumn("_words", F.when(luck < down, up).otherwise(-down))
+
+    def moved(p: Column, gain: Column, mass: Column) -> Column:
+        # What is used up by a move is 0 or 1, whatever the roundings.
+        x = p + gain / mass
+        return F.when(x < 1e-9, F.lit(0.0)).when(x > 1 - 1e-9, F.lit(1.0)).otherwise(x)
+
+    both = both.withColumn("p", moved(F.col("p"), F.col("_words"), F.col("mass")))
+    both = settled(both.withColumn("_chance", moved(F.col("_chance"), -F.col("_words"), F.col("_mass"))))
+    alone = heavy.join(rest, same(F.col("_source"), F.col("_from")), "left_anti")
+    return both.select(*heavy.columns).unionByName(alone), both.select("_from", "_chance")
 
 
 def mixing_plan(
@@ -133,8 +165,9 @@ def mixing_plan(
     aggregation over the open rests, so a source with most of the rows is many blocks. At the end of the
     tree each source has one open document, and its words differ from the target by less than that
     document's. As the largest documents stay open longest, those with 1 % of their source's words or
-    more are rounded first, and the chances of the others are shifted by what they got too much or too
-    little.
+    more are rounded first, and the last of them against all light ones as one item (`_against_the_rest`), so
+    that the open document is a light one wherever the light ones can make up for it. Every step keeps
+    every document's expected copies, so each is target / words times in the mix on average.
 
     Rows with the same id, source and size are one unit of ``_rows`` rows with the same copies. Null ids,
     null sources and null texts are values like others; a null text has no words. Documents without words
@@ -167,23 +200,16 @@ def mixing_plan(
         "p",
         (F.col("_size") * F.col("_rows") >= F.col("_words") * HEAVY).alias("_heavy"),
     )
-    heavy = items.where("_heavy").withColumn("_block", F.lit(0).cast("long"))
-    heavy_tree = settled(_rounded(heavy.drop("_heavy"), 1, seed).select("unit", "extra"))
-    # What chance gave the heavy documents too much or too little, the light ones of the source make up for.
-    got = heavy_tree.groupBy(F.col("unit._source").alias("_of")).agg(
-        F.sum(F.col("extra") * F.col("unit._size") * F.col("unit._rows")).alias("_got")
-    )
-    sums = items.groupBy(F.col("_source").alias("_from")).agg(
-        F.sum(F.when(F.col("_heavy"), F.col("mass") * F.col("p")).otherwise(0.0)).alias("_due"),
-        F.sum(F.when(~F.col("_heavy"), F.col("mass"))).alias("_light"),
-    )
-    shift = sums.join(got, same(F.col("_from"), F.col("_of")), "left").select(
-        "_from", ((F.col("_due") - F.coalesce("_got", F.lit(0))) / F.col("_light")).alias("_shift")
-    )
-    light = items.where(~F.col("_heavy")).join(shift, same(F.col("_source"), F.col("_from")))
-    moved = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("p") + F.col("_shift")))
-    light = light.withColumn("p", moved).drop("_heavy", "_from", "_shift")
-    light_tree = _rounded(light, math.ceil(largest / BLOCK), seed).select("unit", "extra")
+    heavy = items.where("_heavy").withColumn("_block", F.lit(0).cast("long")).drop("_heavy")
+    heavy_settled, heavy_open = _folded(heavy, 1, seed)
+    light = items.where(~F.col("_heavy")).drop("_heavy")
+    rest = light.groupBy(F.col("_source").alias("_from")).agg(F.sum("mass").alias("_mass"), F.max("p").alias("_chance"))
+    heavy_open, chances = _against_the_rest(heavy_open, rest, seed)
+    light = light.join(chances, same(F.col("_source"), F.col("_from")), "left")
+    light = light.withColumn("p", F.coalesce("_chance", "p")).drop("_from", "_chance")
+    light_settled, light_open = _folded(light, math.ceil(largest / BLOCK), seed)
+    heavy_tree = heavy_settled.unionByName(_last(heavy_open, seed))
+    light_tree = light_settled.unionByName(_last(light_open, seed))
     tree = heavy_tree.unionByName(light_tree).select("unit.*", "extra")
     return plain.select(*columns, "_copies").unionByName(
         tree.select(*columns, (F.col("_whole") + F.col("extra")).alias("_copies"))

@@ -212,6 +212,33 @@ def test_rounding_keeps_the_chances(spark):
     df.unpersist()
 
 
+def test_a_very_heavy_document_keeps_all_chances(spark):
+    """300 sources alike, each with one document of 900 words and 60 of one: as many draws of the same rounding."""
+    sources = 300
+    rows = [(s * 100, " w" * 900, f"s{s:03d}") for s in range(sources)]
+    rows += [(s * 100 + 1 + i, " w", f"s{s:03d}") for s in range(sources) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    plan = mx.mixing_plan(df, weights=(1,), share=0.3).collect()
+    heavy = [x._copies for x in plan if x._size == 900]
+    light = {}
+    for x in plan:
+        assert x._target / x._words == pytest.approx(0.3)
+        if x._size == 1:
+            light.setdefault(x._id % 100, []).append(x._copies)
+    four = 4 * (0.3 * 0.7 / sources) ** 0.5
+    assert abs(sum(heavy) / sources - 0.3) < four
+    assert all(abs(sum(v) / sources - 0.3) < four for v in light.values())
+
+
+def test_light_documents_make_up_for_heavy_ones(spark):
+    """With enough light documents the words come within one of those of the target."""
+    rows = [(i, " w" * 500, "s") for i in range(7)] + [(100 + i, " w" * 3, "s") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    for seed in (1, 2, 3):
+        plan = mx.mixing_plan(df, weights=(1,), share=0.3, seed=seed).collect()
+        assert abs(sum(x._copies * x._size for x in plan) - plan[0]._target) <= 3
+
+
 def test_mix_edge_cases(spark):
     schema = "doc_id long, text string, source string"
     df = spark.createDataFrame([(1, None, "a"), (2, "", "a"), (None, "x y", "b"), (None, "x y", "b"), (3, "x", None)], schema)
