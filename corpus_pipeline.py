@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.llm.bpe import bpe_encode
-from tagloom.llm.common import settled, table
+from tagloom.llm.common import settled, table, unused
 from tagloom.llm.jaccard_join import drop_near_copies
 from tagloom.llm.language import UNKNOWN, fit_language_model, predict_language
 from tagloom.llm.line_dedup import line_dedup
@@ -20,9 +20,10 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the labelled ones teach. A null label becomes the predicted language."""
-    found = predict_language(docs, fit_language_model(docs), out_column="_language", score_column="_score")
-    kept = found.where((F.col("_language") != UNKNOWN) & (F.col("_score") >= LEAST_SCORE))
-    return kept.withColumn("lang", F.coalesce("lang", "_language")).select(docs.columns)
+    language, score = unused(docs, "_language"), unused(docs, "_score")
+    found = predict_language(docs, fit_language_model(docs), out_column=language, score_column=score)
+    kept = found.where((F.col(language) != UNKNOWN) & (F.col(score) >= LEAST_SCORE))
+    return kept.withColumn("lang", F.coalesce("lang", language)).select(docs.columns)
 
 
 def shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
