@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tagloom.llm.common import SPACE_CLASS, same, settled
 
 #: Keys of a bucket, at most; a fuller one is split if its keys differ in any further bit.
-CAPACITY = 10_000
+CAPACITY = 2_000
 #: A key is spread over owners if it has more rows than this, and more than a quarter of an even partition.
 HOT_ROWS = 10_000
 

@@ -97,4 +97,4 @@ def test_entry_lists_it(spark):
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert "pipeline" in names and {f"op{n}" for n in range(1, 11)} <= {x.split("_")[0] for x in names}
+    assert "pipeline" in names and {f"op{n}" for n in range(1, 14)} <= {x.split("_")[0] for x in names}
