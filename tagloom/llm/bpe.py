@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import os
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -14,11 +16,12 @@ from pyspark.sql import types as T
 
 from tagloom.llm.common import in_batches, text_column as text_array, utf8
 
-#: What a task remembers of fragments and their ids, in bytes; beyond it the older half is forgotten and encoded again.
-KEPT_BYTES = 64 << 20
+#: What a task remembers of fragments and their ids, in bytes, besides those of the slice at hand; beyond it the older
+#: half is forgotten and encoded again.
+KEPT_BYTES = 96 << 20
 #: Longer fragments are not remembered. An entry is counted with what Python needs for two short byte strings and a place.
 KEPT_LENGTH, _ENTRY = 48, 200
-_SLICE = 200_000
+_SLICE, _CALL = 100_000, 4096
 # The white space of more than one byte in UTF-8.
 _WIDE_SPACES = [c.encode() for c in "\u0085\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"]
 # What an apostrophe takes with it as one word.
@@ -36,6 +39,7 @@ class Codec:
     """Encodes and decodes batches with one tokenizer file."""
 
     def __init__(self, spec: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         told = json.loads(spec)
@@ -98,33 +102,41 @@ class Codec:
             at = np.delete(at, wide[np.isin(two, self.wide[2]) | np.isin(three, self.wide[3])])
         return at
 
-    def _remember(self, fragment: bytes, ids: bytes) -> None:
-        if len(fragment) > KEPT_LENGTH:
-            return
-        if self.known_bytes > KEPT_BYTES:
-            for old in list(self.known)[: len(self.known) // 2 + 1]:
-                self.known_bytes -= _ENTRY + len(old) + len(self.known.pop(old))
-        self.known[fragment] = ids
-        self.known_bytes += _ENTRY + len(fragment) + len(ids)
+    def _learn(self, fragments: list[bytes]) -> None:
+        """Remember the ids of fragments, by the library, some thousand in a call."""
+        for i in range(0, len(fragments), _CALL):
+            some = fragments[i : i + _CALL]
+            texts = [f.decode(errors="replace") for f in some]
+            for f, found in zip(some, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
+                ids = array("i", found.ids).tobytes()
+                self.known[f] = ids
+                self.known_bytes += _ENTRY + len(f) + len(ids)
+
+    def _forget(self, fragments: list[bytes]) -> None:
+        """Forget the long ones of fragments just learned, and the older half of all if they are too many."""
+        long = [f for f in fragments if len(f) > KEPT_LENGTH]
+        while long or self.known_bytes > KEPT_BYTES:
+            for f in long or list(self.known)[: len(self.known) // 2 + 1]:
+                self.known_bytes -= _ENTRY + len(f) + len(self.known.pop(f))
+            long = []
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, and where each text's ids begin."""
         raw = data.tobytes()
-        at = np.unique(np.concatenate([self.cuts(data, raw), offsets]))
+        begins = np.zeros(len(data) + 1, bool)
+        begins[self.cuts(data, raw)] = begins[offsets] = True
+        at = np.flatnonzero(begins)
         packed, counts = [], [np.zeros(1, np.int64)]
         for i in range(0, len(at) - 1, _SLICE):
             ends = at[i : i + _SLICE + 1].tolist()
             fragments = [raw[a:b] for a, b in zip(ends, ends[1:])]
             parts = list(map(self.known.get, fragments))
-            new: dict[bytes, bytes] = {}
-            for n, f in enumerate(fragments):
-                if parts[n] is None:
-                    if f not in new:
-                        ids = self.tokenizer.encode(f.decode(errors="replace"), add_special_tokens=False).ids
-                        new[f] = np.array(ids, "<i4").tobytes()
-                    parts[n] = new[f]
-            for f, ids in new.items():
-                self._remember(f, ids)
+            missing = [n for n, ids in enumerate(parts) if ids is None]
+            new = list(dict.fromkeys([fragments[n] for n in missing]))
+            self._learn(new)
+            for n in missing:
+                parts[n] = self.known[fragments[n]]
+            self._forget(new)
             counts.append(np.fromiter(map(len, parts), np.int64, len(parts)) // 4)
             packed.append(b"".join(parts))
         ids = np.frombuffer(b"".join(packed), "<i4")
