@@ -22,6 +22,8 @@ from pyspark.sql import types as T
 
 # An id with more rows than this part of an even partition is spread over salts.
 PART = 0.25
+# Rows of the sample that a value at the limit is expected to have.
+SAMPLED = 64
 MAX_COPIES_PER_ARRAY = 1_000_000
 
 _SALT = "_salt"
@@ -31,21 +33,29 @@ _COPIES = "_copies"
 
 
 def hot_keys(df: DataFrame, key: str, share: float) -> dict[str, float]:
-    """Every value that fills at least ``share`` of the rows that have one, with its share.
+    """The values that fill at least ``share`` of the rows that have one, with their shares.
 
-    A bounded counter per task names at most ``1 / share`` values, and a second pass over the key column
-    counts those: the driver gets one number for each. The counter may name values below the share as well;
-    the counts leave them out.
+    Values are named by a sample in which such a value is expected `SAMPLED` times, and named from half as often on: at
+    most ``2 / share`` of them, and one at the share itself is missed once in some two thousand cases, one with
+    twice the share practically never. A pass over the key column then counts the named ones exactly. The sample
+    has ``SAMPLED / share`` rows whatever the size of ``df``; a smaller ``df`` is counted whole.
     """
     keys = df.select(F.col(key).alias("k")).where(F.col("k").isNotNull())
-    named = keys.stat.freqItems(["k"], share).first()
-    if not named or not named[0]:
+    total = keys.count()
+    if not total:
         return {}
-    named = keys.sparkSession.createDataFrame([(k,) for k in named[0]], keys.schema)
-    flagged = keys.join(F.broadcast(named.withColumn("_named", F.lit(True))), "k", "left")
-    counts = flagged.groupBy(F.when(F.col("_named"), F.col("k")).alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()
-    total = sum(r["n"] for r in counts)
-    return {r["k"]: r["n"] / total for r in counts if r["k"] is not None and r["n"] >= share * total}
+    part = SAMPLED / share / total
+    rows = keys if part >= 1 else keys.sample(fraction=part, seed=1)
+    counts = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    named = counts.where(F.col("n") >= (share * total if part >= 1 else SAMPLED / 2))
+    if part < 1:
+        found = named.select("k").collect()
+        if not found:
+            return {}
+        known = keys.sparkSession.createDataFrame([(r[0],) for r in found], keys.schema)
+        exact = keys.join(F.broadcast(known), "k", "left_semi").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+        named = exact.where(F.col("n") >= share * total)
+    return {r["k"]: r["n"] / total for r in named.collect()}
 
 
 @dataclass(frozen=True)

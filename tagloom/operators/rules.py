@@ -8,6 +8,7 @@ once, on the driver, so Catalyst sees plain comparisons: pushed down, pruned and
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -69,14 +70,17 @@ def match_list(x: Column, value: str) -> Column:
     return x.cast("string").isin(items)
 
 
+#: A bound of an interval: a decimal number, also with an exponent, or Infinity; spaces around it do not matter.
+NUMBER = r"[ \t]*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|Infinity)[ \t]*"
+INTERVAL = rf"(.)({NUMBER}),({NUMBER})(.)"
+
+
 def match_range(x: Column, value: str) -> Column:
     """Numeric interval ``(a,b)``, ``[a,b)``, ``(a,b]`` or ``[a,b]``; text that is no number never matches."""
-    left, right = value[:1], value[-1:]
-    try:
-        low_text, high_text = value[1:-1].split(",")
-        low, high = float(low_text), float(high_text)
-    except ValueError as e:
-        raise RuleError(f"unreadable range {value!r}") from e
+    interval = re.fullmatch(INTERVAL, value, re.DOTALL)
+    if not interval:
+        raise RuleError(f"unreadable range {value!r}")
+    left, low, high, right = interval[1], float(interval[2]), float(interval[3]), interval[4]
     if left not in ("(", "[") or right not in (")", "]"):
         raise RuleError(f"unknown bracket in range {value!r}")
     if low > high or (low == high and left + right == "()"):

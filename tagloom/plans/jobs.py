@@ -1,5 +1,8 @@
 """The monthly jobs on catalog tables: each computes, saves and writes the run log.
 
+A ``store`` writes the rows it is given and returns the table it wrote (`sinks.buckets`); the job returns that, as the
+rows themselves may read the state that the store has just replaced.
+
 Every job is logged as started before anything is planned, and as complete or failed afterwards; a failure
 goes on to the caller. Without a period it is the month before ``today``. `run_base_labels` is the first of
 them.
@@ -13,18 +16,19 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from tagloom.functions.dates import previous_period
+from tagloom.operators.changes import apply_changes, change_set, one_per_id
 from tagloom.operators.documents import doc_upsert
+from tagloom.operators.postings import posting_changes, update_postings
 from tagloom.plans import doc_update, publish
 from tagloom.plans import resident as resident_plan
 from tagloom.plans import station_report as station_plan
 from tagloom.plans import user_markets as markets_plan
+from tagloom.sinks.buckets import DocumentStore
 from tagloom.sinks.period import save_period
+from tagloom.sinks.keyvalue import merge_entries
 from tagloom.sinks.runlog import RunLog
 from tagloom.sources.tables import period_scan
 
-DocumentStore = Callable[[DataFrame], None]
-
-
 def logged(log: RunLog, name: str, period: str | None, today: dt.date | None, job: Callable[[str], DataFrame]) -> DataFrame:
     """What ``job`` returns for the period, with its run logged."""
     period = period or previous_period(today or dt.date.today())
@@ -89,18 +93,13 @@ def run_user_markets(
     partition_field: str = "month_id",
     today: dt.date | None = None,
 ) -> DataFrame:
-    """Store the saved labels of the period with each user's campaigns into the documents.
-
-    ``store`` writes the next state of the documents, for example into a table; the state is returned too.
-    """
+    """Store the saved labels of the period with each user's campaigns into the documents; return what was stored."""
 
     def job(period: str) -> DataFrame:
         since = markets_plan.window_start(period, months, today or dt.date.today())
         users = period_scan(user_labels, partition_field, period)
         reached = markets_plan.action_filter(actions, since=since)
-        documents = doc_upsert(state, markets_plan.user_markets(users, batches, reached))
-        store(documents)
-        return documents
+        return store(doc_upsert(state, markets_plan.user_markets(users, batches, reached)))
 
     return logged(log, "user_markets", period, today, job)
 
@@ -119,14 +118,12 @@ def run_document_update(
     label_id: str | None = None,
     today: dt.date | None = None,
 ) -> DataFrame:
-    """Add the labels of a source to the documents, or delete one label; store and return the state."""
+    """Add the labels of a source to the documents, or delete one label; return what was stored."""
 
     def job(period: str) -> DataFrame:
-        documents = doc_update.document_update(
-            state, read, catalog, source, period, action, id_column=id_column, label_id=label_id
+        return store(
+            doc_update.document_update(state, read, catalog, source, period, action, id_column=id_column, label_id=label_id)
         )
-        store(documents)
-        return documents
 
     return logged(log, f"update_{source}", period, today, job)
 
@@ -144,12 +141,10 @@ def run_publish_documents(
     order: Column | None = None,
     today: dt.date | None = None,
 ) -> DataFrame:
-    """Store the projected rows of the period as documents; store and return the state."""
+    """Store the projected rows of the period as documents; return what was stored."""
 
     def job(period: str) -> DataFrame:
-        documents = publish.publish_documents(state, source, id_column, other_columns, partition_field, period, order)
-        store(documents)
-        return documents
+        return store(publish.publish_documents(state, source, id_column, other_columns, partition_field, period, order))
 
     return logged(log, "publish_documents", period, today, job)
 
@@ -168,15 +163,43 @@ def run_publish_key_values(
     log: RunLog,
     period: str | None = None,
     *,
+    state: DataFrame | None = None,
     partition_field: str = "month_id",
     today: dt.date | None = None,
     **options,
 ) -> DataFrame:
-    """Hand the key-value entries of the period to ``store`` and return them."""
+    """Store the key-value entries of the period, merged into those of ``state`` if there is one; return what was stored."""
 
     def job(period: str) -> DataFrame:
         entries = publish.publish_key_values(source, kind, partition_field, period, **options)
-        store(entries)
-        return entries
+        return store(entries if state is None else merge_entries(state, entries, kind))
 
     return logged(log, f"publish_{kind.lower()}", period, today, job)
+
+
+def run_document_sync(
+    state: DataFrame,
+    labels: DataFrame,
+    before: str,
+    store: DocumentStore,
+    log: RunLog,
+    period: str | None = None,
+    *,
+    partition_field: str = "month_id",
+    postings: str | None = None,
+    today: dt.date | None = None,
+) -> DataFrame:
+    """Bring documents that hold the labels of period ``before`` up to ``period``: only what changed is written anew.
+
+    ``labels`` is the saved label table ``(id, labels)``. With ``postings`` the index of documents by label is
+    kept up too; its version is the period, so that a job that is started again adds nothing. Returns what was stored.
+    """
+
+    def job(period: str) -> DataFrame:
+        old, new = (period_scan(labels, partition_field, p).select("id", "labels") for p in (before, period))
+        changes = change_set(old, new)
+        if postings is not None:
+            update_postings(postings, posting_changes(one_per_id(old), changes), int(period))
+        return store(apply_changes(state, changes))
+
+    return logged(log, "document_sync", period, today, job)

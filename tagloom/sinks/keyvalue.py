@@ -1,4 +1,4 @@
-"""Key-value entries: the final state a key-value store would hold after the export."""
+"""Key-value entries: the final state a key-value store would hold after the export, alone or into keys that are live."""
 
 from __future__ import annotations
 
@@ -82,3 +82,52 @@ def key_value_entries(
         case "SORTEDSET":
             return kv_zset(df, key, value, order)
     raise ValueError(f"unknown key-value type {kind!r}, or a hash without field and value columns")
+
+
+def _replaced(state: DataFrame, new: DataFrame, keys: list[str], value: str) -> DataFrame:
+    written = new.select(*keys, F.col(value).alias("_new"), F.lit(True).alias("_written"))
+    merged = F.when(F.col("_written"), F.col("_new")).otherwise(F.col(value)).alias(value)
+    return state.select(*keys, value).join(written, keys, "full_outer").select(*keys, merged)
+
+
+def merge_strings(state: DataFrame, new: DataFrame) -> DataFrame:
+    """``(key, value)``: new values replace those of the same key, all others stay."""
+    return _replaced(state, new, ["key"], "value")
+
+
+def merge_hashes(state: DataFrame, new: DataFrame) -> DataFrame:
+    """``(key, field, value)``: new values replace those of the same field, all others stay."""
+    return _replaced(state, new, ["key", "field"], "value")
+
+
+def merge_zsets(state: DataFrame, new: DataFrame) -> DataFrame:
+    """``(key, member, score)``: new scores replace those of the same member, all others stay."""
+    return _replaced(state, new, ["key", "member"], "score")
+
+
+def merge_sets(state: DataFrame, new: DataFrame) -> DataFrame:
+    """``(key, member)``: the members of either. The old ones pass through; only new ones look for themselves."""
+    members = ["key", "member"]
+    return state.select(*members).unionByName(new.select(*members).distinct().join(state.select(*members), members, "left_anti"))
+
+
+def merge_lists(state: DataFrame, new: DataFrame) -> DataFrame:
+    """``(key, pos, element)``: new elements take the first positions, the old ones of their key move up by as many.
+
+    Pushed again, elements are there twice, as in the store. One row for each key of ``new`` is joined to the state.
+    """
+    pushed = new.groupBy("key").agg(F.count(F.lit(1)).alias("_pushed"))
+    moved = state.join(pushed, "key", "left").select("key", (F.col("pos") + F.coalesce("_pushed", F.lit(0))).alias("pos"), "element")
+    return moved.unionByName(new.select("key", "pos", "element"))
+
+
+def merge_entries(state: DataFrame, new: DataFrame, kind: str) -> DataFrame:
+    """The entries of a store that holds ``state`` after those of ``new``, of the kinds of `key_value_entries`.
+
+    Strings, hashes, sets and sorted sets may be merged again with the same result; lists grow.
+    """
+    kinds = {"STRING": merge_strings, "HASH": merge_hashes, "SET": merge_sets, "LIST": merge_lists, "SORTEDSET": merge_zsets}
+    merge = kinds.get("".join(kind.upper().split()))
+    if merge is None:
+        raise ValueError(f"unknown key-value type {kind!r}")
+    return merge(state, new)

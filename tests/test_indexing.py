@@ -48,6 +48,17 @@ def test_buckets_are_balanced(spark):
     assert max(r["count"] for r in sizes.collect()) <= 2 * 200_000 / 257
 
 
+@pytest.mark.parametrize("partitions", [3, 200])
+def test_the_sample_is_small_whatever_the_tasks(spark, partitions):
+    """The order of the sample gets some 40 rows for each bucket, not as many from every task."""
+    rows = spark.range(0, 100_000, 1, partitions).select(F.xxhash64("id").alias("o"))
+    cuts = spark.range(1).select(indexing.sample_cuts(rows, ["o"], 16).alias("cuts"))
+    assert len(cuts.first()[0]) == 16
+    total, wanted = 100_000, 16 * indexing.ROWS_PER_CUT
+    spread = F.shiftrightunsigned(F.xxhash64("o"), 11).cast("double") / F.lit(float(2**53))
+    assert wanted <= rows.where(spread * total <= 1.2 * wanted + 8 * wanted**0.5).count() <= 50 * 16
+
+
 def test_a_hot_row_is_one_row(spark, plan):
     df = spark.range(100_000).select(F.lit("same").alias("e"))
     placed = global_positions(df, [], 8)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tagloom.plans import doc_update, jobs, resident, station_report, user_markets
 from tagloom.plans.base_labels import MainSourceError, base_labels, run_base_labels
 from tagloom.plans.publish import publish_key_values, publish_relational
+from tagloom.sinks import buckets
 from tagloom.sinks import period as p
 from tagloom.sinks.relational import jdbc_write_options, rolling_append
 from tagloom.sinks.runlog import EVENT_SCHEMA, RunLog, run_log_latest
@@ -104,9 +105,17 @@ def test_failed_base_labels_are_logged(spark, rules, database):
     assert latest(spark, database)["other"].status == "2"
 
 
+class Stored(list):
+    """A store that keeps what it is given and returns it."""
+
+    def append(self, rows):
+        super().append(rows)
+        return rows
+
+
 def job_cases(spark, database, log):
     """Each job as a call of the frames it reads, what it stores, and its name in the log."""
-    doc, out = spark.createDataFrame([("1", "a")], "id string, labels string"), []
+    doc, out = spark.createDataFrame([("1", "a")], "id string, labels string"), Stored()
     rows = spark.createDataFrame([("1", "x", "7", "202401"), ("2", "y", "8", "202312")], "id string, labels string, atid string, month_id string")
     return out, {
         "user_markets": lambda df: jobs.run_user_markets(doc, df or rows, spark.createDataFrame([("7", "1,2")], "atid string, userids string"), spark.createDataFrame([("7", "NOTERESSUC", dt.date(2024, 1, 1))], "atid string, bstatus string, send_time date"), out.append, log, "202401"),
@@ -128,6 +137,26 @@ def test_jobs_store_and_log(spark, rows, database):
     assert {n: (r.status, r.job_period) for n, r in latest(spark, database).items()} == {n: ("1", "202401") for n in cases}
 
 
+def test_jobs_return_what_was_stored(spark, rows, database):
+    """The state that a job reads is replaced by its store; the returned table is the stored one, however often it is read."""
+    state, log = f"{database}.documents", RunLog(spark, f"{database}.runs")
+    store = buckets.table_store(state)
+    store(spark.createDataFrame([("u1", "5")], "id string, labels string"))
+    source = spark.createDataFrame([("u1", "x", "202401")], "k string, f string, month_id string")
+    rules = spark.createDataFrame([("101", '{"f":{"value":"x","type":"single"}}', "src", "l", "month_id")], c.CATALOG_SCHEMA)
+    got = jobs.run_document_update(spark.table(state), lambda _: source, rules, "src", "add", store, log, "202401", id_column="k")
+    assert rows(got) == rows(got) == rows(spark.table(state)) == [("u1", "5,101")]
+    labels = spark.createDataFrame([("u1", "7", "202401"), ("u2", "8", "202401")], "id string, labels string, month_id string")
+    none = spark.createDataFrame([], "atid string, userids string"), spark.createDataFrame([], "atid string, bstatus string, send_time date")
+    got = jobs.run_user_markets(spark.table(state), labels, *none, store, log, "202401")
+    assert rows(got) == rows(got) == [("u1", "7", None), ("u2", "8", None)]
+    entries = f"{database}.entries"
+    first = jobs.run_publish_key_values(labels, "set", buckets.table_store(entries), log, "202401", key="k", value="id", order=[])
+    more = labels.withColumn("id", F.concat("id", F.lit("!")))
+    got = jobs.run_publish_key_values(more, "set", buckets.table_store(entries), log, "202401", state=first, key="k", value="id", order=[])
+    assert rows(got) == rows(got) == [("k", "u1"), ("k", "u1!"), ("k", "u2"), ("k", "u2!")]
+
+
 def test_failed_jobs_are_logged(spark, database):
     out, cases = job_cases(spark, database, RunLog(spark, f"{database}.runs"))
     for job in cases.values():

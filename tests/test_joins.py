@@ -75,6 +75,20 @@ def test_salts_follow_the_share_and_the_partitions(spark):
     assert spread.select("_salt").distinct().count() == 5
 
 
+@pytest.mark.parametrize("partitions", [2000, 4000, 20_000])
+def test_any_number_of_partitions(spark, partitions):
+    """An id with 0.3 % of the rows is spread by its share however many partitions there are."""
+    rows = spark.range(0, 2_000_000, 1, 8).select(F.when(F.col("id") % 1000 < 3, -1).otherwise(F.col("id")).alias("id"))
+    salts = Salt.of(rows, "id", partitions).salts
+    assert set(salts) == {-1} and salts[-1] == pytest.approx(0.003 * partitions / joins.PART, abs=1)
+
+
+def test_sampled_hot_keys_are_counted_exactly(spark):
+    rows = spark.range(0, 1_000_000, 1, 8).select(F.when(F.col("id") % 10 == 0, "a").when(F.col("id") % 100 == 1, "b").otherwise(F.col("id").cast("string")).alias("id"))
+    assert hot_keys(rows, "id", 0.009) == {"a": 0.1, "b": 0.01}
+    assert hot_keys(rows, "id", 0.05) == {"a": 0.1}
+
+
 def test_salted_join_without_exchange_reuse(spark, rows, hot_main, others):
     spark.conf.set("spark.sql.exchange.reuse", "false")
     try:

@@ -159,6 +159,28 @@ VIEWS = {
         select cast(o_custkey as varchar) id, o_orderpriority old_labels, o_orderstatus new_labels,
                strftime(o_orderdate, '%Y%m') month_id
         from orders""",
+    "part_rules": """
+        select cast(p_size as varchar) id, p_type kind, floor(p_retailprice / 100) * 100 low,
+               floor(p_retailprice / 100) * 100 + 100 high
+        from part where p_type <> 'PROMO'""",
+    "rule_bodies": """
+        select kind, low, high, string_agg(distinct id, ',' order by id) ids, cast(count(distinct id) as integer) n
+        from part_rules group by kind, low, high""",
+    "order_documents": """
+        select cast(o_custkey as varchar) id, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) labels,
+               arg_max(o_orderstatus, (o_orderdate, o_orderkey)) state
+        from orders group by 1""",
+    "priority_labels": """
+        select cast(o_custkey as varchar) id, strftime(o_orderdate, '%Y%m') month_id,
+               string_agg(distinct o_orderpriority, ',' order by o_orderpriority) labels
+        from orders group by 1, 2""",
+    "labels_before": "select id, labels from priority_labels where month_id = '199805'",
+    "labels_after": "select id, labels from priority_labels where month_id = '199806'",
+    "station_members": """
+        select distinct s.lac_ci, s.user_id, unnest(string_split(u.labels, ',')) "label"
+        from station_live s join user_labels u on s.user_id = u.id where s.month_id = '202401' and u.labels <> ''""",
+    "orders_before": "select * from orders_monthly where month_id = '199805'",
+    "orders_after": "select * from orders_monthly where month_id = '199806'",
     "pushes": "select *, o_custkey || ',' || o_orderpriority member, o_orderstatus || ',' || o_orderpriority element from orders",
 }
 
@@ -250,6 +272,14 @@ ORACLES = {
         from user_spend""",
     "label_columns": "select * from profile_matrix",
     "label_tags": "select * from profile_tags",
+    "part_labels": """
+        select cast(p_partkey as varchar) id, coalesce(string_agg(distinct r.id, ',' order by r.id), '') labels
+        from part left join part_rules r on p_type = r.kind and p_retailprice >= r.low and p_retailprice < r.high
+        group by p_partkey""",
+    "line_labels": """
+        select l_orderkey, l_linenumber, coalesce(n, 0) n_labels, coalesce(ids, '') labels
+        from lineitem join part on l_partkey = p_partkey left join rule_bodies b
+             on p_type = b.kind and l_extendedprice / l_quantity >= b.low and l_extendedprice / l_quantity < b.high""",
     "composite_attr": "select * from visit_attributes",
     "multi_hot": "select id, concat_ws(',', " + ", ".join(f"label_{i}" for i in _FLAG_IDS) + ") flags from user_flags",
     "multi_hot_wide": "select id, "
@@ -300,6 +330,12 @@ ORACLES = {
         select lac_ci, dn_flag, cast(to_json({'lac_ci': lac_ci, 'dn_flag': dn_flag, """
     + ", ".join(f"'label_{i}': label_{i}" for i in _FLAG_IDS)
     + """}) as varchar) result, '202401' month_id from station_counts""",
+    "station_label_users": """select lac_ci, "label", count(distinct user_id) users from station_members group by all""",
+    "station_label_overlap": """
+        select a.lac_ci, a."label" "first", b."label" "second", count(distinct a.user_id) users
+        from station_members a join station_members b on a.lac_ci = b.lac_ci and a.user_id = b.user_id and a."label" < b."label"
+        where a."label" in ('101', '102', '103', '201', '202', '203', '302') and b."label" in ('101', '102', '103', '201', '202', '203', '302')
+        group by all""",
     "action_filter": "select * from reached_actions",
     "batch_actions": """
         select distinct b.atid, b.userids from campaign_batch b join reached_actions a on a.atid = b.atid""",
@@ -314,10 +350,25 @@ ORACLES = {
         select * from docs where list_has_any(string_split(labels, ','), ['201', '203'])""",
     "docs_with_label": "select * from docs where list_contains(string_split(labels, ','), '203')",
     "doc_upsert": """
+        select * from order_documents
+        union all select id, labels, null from docs where id not in (select id from order_documents)""",
+    "doc_upsert_month": """
         , n as (select cast(o_custkey as varchar) id, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) labels,
                        arg_max(o_orderstatus, (o_orderdate, o_orderkey)) state
                 from orders_monthly where month_id = '199806' group by 1)
         select * from n union all select id, labels, null from docs where id not in (select id from n)""",
+    "doc_upsert_bucketed": """
+        select * from order_documents
+        union all select id, labels, null from docs where id not in (select id from order_documents)""",
+    "label_changes": """
+        select coalesce(o.id, n.id) id, case when o.id is null then 'inserted' when n.id is null then 'gone' else 'changed' end "change", n.labels
+        from labels_before o full join labels_after n on o.id = n.id where o.labels is distinct from n.labels""",
+    "label_changes_applied": "select * from labels_after",
+    "document_sync": "select * from labels_after",
+    "docs_with_label_indexed": "select * from labels_after where list_contains(string_split(labels, ','), '1-URGENT')",
+    "docs_with_all_labels_indexed": "select id from labels_after where list_has_all(string_split(labels, ','), ['1-URGENT', '2-HIGH'])",
+    "label_postings": """
+        select id, "label" from (select id, unnest(string_split(labels, ',')) "label" from docs) where "label" in ('201', '202')""",
     "doc_projection": "select lac_ci, longitude, latitude, per_num from station_heat where month_id = '202401'",
     "doc_projection_id_only": "select lac_ci from station_heat where month_id = '202401'",
     "labels_append_one": _append(
@@ -367,6 +418,24 @@ ORACLES = {
     "kv_zset": """
         select 'user_zset' "key", member, cast(max(i) as double) score
         from (select member, row_number() over (order by o_orderdate, member) - 1 i from pushes) group by member""",
+    "kv_merge_string": """
+        select cast(o_custkey as varchar) "key", arg_max(o_orderstatus || ',' || o_orderpriority, (month_id, o_orderdate, o_orderkey)) "value"
+        from (select * from orders_before union all select * from orders_after) group by o_custkey""",
+    "kv_merge_hash": """
+        select 'user_orders' "key", cast(o_custkey as varchar) field, arg_max(o_orderkey || '_' || o_orderstatus, (month_id, o_orderdate, o_orderkey)) "value"
+        from (select * from orders_before union all select * from orders_after) group by o_custkey""",
+    "kv_merge_set": """
+        select distinct 'user_set' "key", o_custkey || ',' || o_orderpriority member
+        from (select * from orders_before union all select * from orders_after)""",
+    "kv_merge_list": """
+        select 'user_list' "key", count(*) over () - row_number() over (order by month_id, o_orderdate, element) pos, element
+        from (select month_id, o_orderdate, o_orderstatus || ',' || o_orderpriority element
+              from (select * from orders_before union all select * from orders_after))""",
+    "kv_merge_zset": """
+        select 'user_zset' "key", member, cast(arg_max(i, (month_id, i)) as double) score
+        from (select month_id, cast(o_custkey as varchar) member,
+                     row_number() over (partition by month_id order by o_orderdate, cast(o_custkey as varchar)) - 1 i
+              from (select * from orders_before union all select * from orders_after)) group by member""",
     "run_log_latest": """
         select job_id, job_name, arg_max(job_desc, (ts, event_id)) filter (where status = '0') job_desc, job_period,
                arg_max(project, (ts, event_id)) filter (where status = '0') project,

@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.functions import dates, text
-from tagloom.operators import aggregates, documents, rules, tags
+from tagloom.operators import aggregates, audiences, changes, documents, postings, rule_index, rules, tags
 from tagloom.plans import base_labels as labels_plan
 from tagloom.plans import doc_update, jobs, resident, station_report, user_markets
 from tagloom.settings import apply_settings
-from tagloom.sinks import keyvalue, period, relational, runlog
+from tagloom.sinks import buckets, keyvalue, period, relational, runlog
 from tagloom.sinks.scratch import shared_database
 from tagloom.sources import catalog, tables
 from workload import standins as s
@@ -23,6 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 ORDER_PERIOD = s.ORDER_PERIOD
+BEFORE = "199805"
 TODAY = dt.date(1998, 7, 15)
 CAMPAIGN_SINCE = user_markets.window_start(s.PERIOD, 300, dt.date(2024, 2, 1))
 
@@ -157,6 +158,22 @@ def label_tags(spark, sf):
     return s.profile_tags(spark, sf)
 
 
+@query
+def part_labels(spark, sf):
+    """All rules of the large catalog on all parts, by the index."""
+    parts = s.table(spark, sf, "part").select("p_partkey", F.col("p_retailprice").alias("price"), F.col("p_type").alias("kind"))
+    return rule_index.tag_by_index(parts, s.readable_rules(spark, sf), "p_partkey")
+
+
+@query
+def line_labels(spark, sf):
+    """All rules of the large catalog on all order lines, with the price of a piece."""
+    kinds = s.table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("kind"))
+    lines = s.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"))
+    found = rule_index.rule_index(s.readable_rules(spark, sf)).labelled(lines.join(kinds, "l_partkey"), "ids")
+    return found.select("l_orderkey", "l_linenumber", F.size("ids").alias("n_labels"), F.array_join("ids", ",").alias("labels"))
+
+
 @query
 def composite_attr(spark, sf):
     return tags.composite_attribute(s.user_visit(spark, sf), ["401", "402"], _rules("user_visit"), "user_id", "lac_ci")
@@ -295,6 +312,25 @@ def station_label_json(spark, sf):
     )
 
 
+def _station_audiences(spark, sf):
+    here = station_report.station_join(s.station_live(spark, sf), s.user_labels(spark, sf), s.PERIOD)
+    members = here.select("lac_ci", "user_id", F.explode(tags.tokens(F.col("labels"))).alias("label")).where(F.col("label") != "")
+    numbers = audiences.user_numbers(s.user_profile(spark, sf), "user_id")
+    return audiences.audience_bitmaps(members, numbers, ["lac_ci", "label"], "user_id")
+
+
+@query
+def station_label_users(spark, sf):
+    """Distinct users for each station and label, from bitmaps."""
+    return audiences.audience_sizes(_station_audiences(spark, sf), ["lac_ci", "label"])
+
+
+@query
+def station_label_overlap(spark, sf):
+    """Distinct users with both of two labels at each station, from the bitmaps alone."""
+    return audiences.audience_overlaps(_station_audiences(spark, sf), ["lac_ci"], "label", s.STATION_LABELS)
+
+
 @query
 def action_filter(spark, sf):
     return user_markets.action_filter(s.campaign_actions(spark, sf), since=CAMPAIGN_SINCE)
@@ -341,15 +377,100 @@ def docs_with_label(spark, sf):
     return documents.docs_with_label(s.documents(spark, sf), "203")
 
 
+def _order_documents(orders):
+    return orders.select(
+        F.col("o_custkey").cast("string").alias("id"), F.col("o_orderpriority").alias("labels"), F.col("o_orderstatus").alias("state"), *_BY_ORDER
+    )
+
+
+_BY_ORDER = ["o_orderdate", "o_orderkey"]
+
+
 @query
 def doc_upsert(spark, sf):
-    """Of the month's orders the last of each customer becomes the document; it has a field more than before."""
-    order = ["o_orderdate", "o_orderkey"]
-    orders = tables.period_scan(s.orders_monthly(spark, sf), "month_id", ORDER_PERIOD)
-    new = orders.select(
-        F.col("o_custkey").cast("string").alias("id"), F.col("o_orderpriority").alias("labels"), F.col("o_orderstatus").alias("state"), *order
-    )
-    return documents.doc_upsert(s.documents(spark, sf), new, F.struct(*order), order)
+    """Of all orders the last of each customer becomes the document; it has a field more than before."""
+    new = _order_documents(s.table(spark, sf, "orders"))
+    return documents.doc_upsert(s.documents(spark, sf), new, F.struct(*_BY_ORDER), _BY_ORDER)
+
+
+@query
+def doc_upsert_month(spark, sf):
+    """The same with the orders of one month."""
+    new = _order_documents(tables.period_scan(s.orders_monthly(spark, sf), "month_id", ORDER_PERIOD))
+    return documents.doc_upsert(s.documents(spark, sf), new, F.struct(*_BY_ORDER), _BY_ORDER)
+
+
+BUCKETS = 16
+
+
+@query
+def doc_upsert_bucketed(spark, sf):
+    """All orders into a state that is saved in buckets: it is merged bucket by bucket and replaced."""
+    table = f"{shared_database(spark)}.documents"
+    state = buckets.save_bucketed(s.documents(spark, sf), table, BUCKETS)
+    new = _order_documents(s.table(spark, sf, "orders"))
+    return buckets.merge_bucketed(documents.doc_upsert(state, new, F.struct(*_BY_ORDER), _BY_ORDER), table, BUCKETS)
+
+
+def _months(spark, sf):
+    labels = s.priority_labels(spark, sf)
+    return [tables.period_scan(labels, "month_id", p).select("id", "labels") for p in (BEFORE, ORDER_PERIOD)]
+
+
+@query
+def label_changes(spark, sf):
+    return changes.change_set(*_months(spark, sf), unique=True)
+
+
+@query
+def label_changes_applied(spark, sf):
+    old, new = _months(spark, sf)
+    return changes.apply_changes(old, changes.change_set(old, new, unique=True))
+
+
+def _synced(spark, sf):
+    """The labels of a month as documents in buckets, indexed by label and brought up to the next month."""
+    db = shared_database(spark)
+    labels = s.priority_labels(spark, sf).where(F.col("month_id").isin(BEFORE, ORDER_PERIOD))
+    labels.write.partitionBy("month_id").format("orc").saveAsTable(f"{db}.labels")
+    saved = tables.table_scan(spark, f"{db}.labels")
+    state = tables.period_scan(saved, "month_id", BEFORE).select("id", "labels")
+    state = buckets.save_bucketed(state, f"{db}.documents", BUCKETS)
+    postings.build_postings(state, f"{db}.postings", int(BEFORE))
+    return db, jobs.run_document_sync(
+        state, saved, BEFORE, buckets.bucketed_store(f"{db}.documents", BUCKETS), runlog.RunLog(spark, f"{db}.runs"),
+        ORDER_PERIOD, postings=f"{db}.postings",
+    )
+
+
+@query
+def document_sync(spark, sf):
+    return _synced(spark, sf)[1]
+
+
+@query
+def docs_with_label_indexed(spark, sf):
+    """A search through the index after an update, in the documents after the update."""
+    db, docs = _synced(spark, sf)
+    return postings.search_documents(docs, f"{db}.postings", ["1-URGENT"])
+
+
+@query
+def docs_with_all_labels_indexed(spark, sf):
+    db, _ = _synced(spark, sf)
+    return postings.ids_with_all_labels(spark, f"{db}.postings", ["1-URGENT", "2-HIGH"])
+
+
+@query
+def label_postings(spark, sf):
+    """The folded index of all labels of all documents."""
+    db = shared_database(spark)
+    postings.build_postings(s.documents(spark, sf), f"{db}.postings")
+    removed = documents.labels_remove(s.documents(spark, sf), "203")
+    gone = changes.change_set(s.documents(spark, sf), removed, unique=True)
+    postings.update_postings(f"{db}.postings", postings.posting_changes(s.documents(spark, sf), gone), 1)
+    postings.compact(spark, f"{db}.postings", f"{db}.folded")
+    return postings.labelled_ids(spark, f"{db}.postings", ["201", "202", "203"])
 
 
 @query
@@ -482,6 +603,41 @@ def kv_zset(spark, sf):
     return _entries(spark, sf, "sorted set", key="user_zset", value="o_custkey#o_orderpriority", order=["o_orderdate"])
 
 
+def _merged(spark, sf, kind, **options):
+    """The entries of a month in a store that holds those of the month before."""
+    monthly = s.orders_monthly(spark, sf)
+    state, new = (keyvalue.key_value_entries(tables.period_scan(monthly, "month_id", p), kind, **options) for p in (BEFORE, ORDER_PERIOD))
+    return keyvalue.merge_entries(state, new, kind)
+
+
+@query
+def kv_merge_string(spark, sf):
+    return _merged(spark, sf, "string", key="o_custkey", value="o_orderstatus#o_orderpriority", order=["o_orderdate", "o_orderkey"])
+
+
+@query
+def kv_merge_hash(spark, sf):
+    return _merged(
+        spark, sf, "hash", key="user_orders", value="o_custkey", order=["o_orderdate", "o_orderkey"],
+        hash_field="o_custkey", hash_value="o_orderkey#o_orderstatus",
+    )
+
+
+@query
+def kv_merge_set(spark, sf):
+    return _merged(spark, sf, "set", key="user_set", value="o_custkey#o_orderpriority", order=[])
+
+
+@query
+def kv_merge_list(spark, sf):
+    return _merged(spark, sf, "list", key="user_list", value="o_orderstatus#o_orderpriority", order=["o_orderdate"])
+
+
+@query
+def kv_merge_zset(spark, sf):
+    return _merged(spark, sf, "sorted set", key="user_zset", value="o_custkey", order=["o_orderdate"])
+
+
 @query
 def run_log_latest(spark, sf):
     return runlog.run_log_latest(s.run_events(spark, sf))

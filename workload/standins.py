@@ -294,6 +294,23 @@ def order_labels(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
     )
 
 
+def priority_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per customer and month the priorities of their orders as labels; one row each, and they change by month."""
+    return (
+        table(spark, sf_dir, "orders")
+        .select(F.col("o_custkey").cast("string").alias("id"), "o_orderpriority", _month("o_orderdate"))
+        .distinct()
+        .groupBy("id", "month_id")
+        .agg(F.array_join(F.sort_array(F.collect_list("o_orderpriority")), ",").alias("labels"))
+        .select("id", "labels", "month_id")
+    )
+
+
+def readable_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules of `part_catalog` that have a body."""
+    return part_catalog(spark, sf_dir).where(F.length("value") > 0)
+
+
 def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of a user and event type in a part of a month: open ones, restarts, and ends without a start."""
     value = F.col("value")
