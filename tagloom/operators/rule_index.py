@@ -1,7 +1,7 @@
 """Rules matched by an index: a row costs the logarithm of the rules, and the plan does not grow with them.
 
 `rules.label_columns` writes every rule into the plan, which is best for some hundred rules of a source. Here rules stay
-rows. A value is reduced to its place among the values that rules name (a binary search, `places`); rows with the
+rows. A value is reduced to its place among the values that rules name (a binary search, `place_among`); rows with the
 same places match the same rules, so rules are matched once for each combination of places that occurs, by
 joins, and the labels are joined back to the rows.
 
@@ -15,41 +15,50 @@ joins, and the labels are joined back to the rows.
 
 from __future__ import annotations
 
+import json
 import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.operators.rules import INTERVAL, RuleError, rule_conditions
+from tagloom.operators.rules import INTERVAL, RuleError
 from tagloom.sinks.scratch import stored
 
 #: The kinds of conditions whose places are numbers and texts.
 _NUMBERS, _TEXTS = "number", "text"
-#: Bounds or texts of one field. They are held as one array, some 8 MB for a million numbers; more are refused.
-MOST_VALUES = 4_000_000
+#: Bounds or texts of one field. They are one constant of the plan, some 8 MB for a million numbers; more are refused.
+MOST_VALUES = 1_000_000
 
 
-def places(df: DataFrame, name: str, value: Column, values: Column, count: int) -> DataFrame:
-    """``df`` with ``name``: how many of the ``count`` sorted ``values`` are not after ``value``, null for null.
+def place_among(value: Column, values: Column, count: int) -> Column:
+    """How many of the ``count`` sorted ``values`` are not after ``value``, null for null.
 
-    A binary search, one projection per step, so that a step reads the result of the one before.
+    A binary search as one fold over its steps, ..., 4, 2, 1, so that the expression does not grow with the values.
     """
-    df = df.withColumn("_value", value).withColumn(name, F.when(F.col("_value").isNotNull(), 0))
-    for step in (2**i for i in reversed(range(max(1, count).bit_length()))):
-        not_after = F.get(values, F.col(name) + (step - 1)) <= F.col("_value")
-        df = df.withColumn(name, F.col(name) + F.when(not_after, step).otherwise(0))
-    return df.drop("_value")
+    steps = F.array(*[F.lit(2**i) for i in reversed(range(max(1, count).bit_length()))])
+    found = F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(F.get(values, at + step - 1) <= value, step).otherwise(0))
+    return F.when(value.isNotNull(), found)
 
 
 @dataclass(frozen=True)
 class Dimension:
-    """A field as the rules of one kind see it: its sorted ``values``, a table of one row and one array."""
+    """A field as the rules of one kind see it, with its sorted different values."""
 
     field: str
     kind: str
-    values: DataFrame
-    count: int
+    values: tuple
+
+    @property
+    def count(self) -> int:
+        return len(self.values)
+
+    def _constant(self) -> Column:
+        """The values as one array that is made once, when the plan is."""
+        if self.kind == _NUMBERS:
+            # A double reads back from its text as it was.
+            return F.split(F.lit(",".join(str(v).replace("inf", "Infinity") for v in self.values)), ",").cast("array<double>")
+        return F.from_json(F.lit(json.dumps(self.values)), "array<string>")
 
     def value(self) -> Column:
         column = F.col("`" + self.field.replace("`", "``") + "`")
@@ -58,11 +67,11 @@ class Dimension:
 
     def place(self, df: DataFrame, name: str, value: Column | None = None) -> DataFrame:
         """The place of this field's value in each row: odd where it is one of the values, null if it has none."""
-        values = self.values.select("values").scalar()
-        df = places(df, name, self.value() if value is None else value, values, self.count)
-        found = self.value() if value is None else value
-        exact = F.get(values, F.col(name) - 1) == found
-        return df.withColumn(name, 2 * F.col(name) - F.when(exact, 1).otherwise(0))
+        values = self._constant()
+        df = df.withColumn("_value", self.value() if value is None else value)
+        df = df.withColumn(name, place_among(F.col("_value"), values, self.count))
+        exact = F.get(values, F.col(name) - 1) == F.col("_value")
+        return df.withColumn(name, 2 * F.col(name) - F.when(exact, 1).otherwise(0)).drop("_value")
 
 
 @dataclass(frozen=True)
@@ -115,55 +124,56 @@ class RuleIndex:
 
 
 def _conditions(catalog: DataFrame) -> DataFrame:
-    """``(_id, _body, _field, _kind, _text, _items, _low, _high, _left, _right)``, one row per condition of a body."""
-    work = catalog.select("id", "value").distinct()
-    bad = rule_conditions(work.withColumn("source_name", F.lit(None).cast("string"))).where(F.col("error").isNotNull())
-    wrong = bad.select("id", "field", "error").limit(5).collect()
-    if wrong:
-        raise RuleError("; ".join(f"label {r['id']}: {r['error']}" + (f" in {r['field']}" if r["field"] else "") for r in wrong))
+    """``(_body, _field, _kind, _items, _low, _high, _left, _right, _ids, _error)``, one row per condition of a different body.
+
+    Stored, so that rules are read once; ``_error`` says what is wrong with a condition or its body.
+    """
     body = F.from_json("value", "map<string,struct<value:string,type:string>>")
-    rows = work.select(F.col("id").alias("_id"), F.sha2("value", 256).alias("_body"), F.explode(body).alias("_field", "_rule"))
+    rows = catalog.select(F.col("id").alias("_id"), "value", F.sha2(F.coalesce("value", F.lit("")), 256).alias("_body"), F.explode_outer(body).alias("_field", "_rule"))
     kind, value = F.upper("_rule.type"), F.col("_rule.value")
-    rows = rows.select("_id", "_body", "_field", kind.alias("_type"), value.alias("_text"))
+    rows = rows.where(F.col("_id").isNotNull()).groupBy("_body", "_field", kind.alias("_type"), value.alias("_text")).agg(F.min("_id").alias("_first"), F.collect_set("_id").alias("_ids"))
     part = lambda i: F.regexp_extract("_text", f"(?s)^{INTERVAL}$", i)
-    number = lambda i: F.when(ranged, F.trim(part(i)).try_cast("double") + 0.0)
     ranged = F.col("_type") == "RANGE"
+    number = lambda i: F.when(ranged, F.trim(part(i)).try_cast("double") + 0.0)
     # A list without its empty items at the end; one of separators only matches nothing.
     items = F.split(F.regexp_replace("_text", ",+$", ""), ",")
     items = F.when(F.col("_type") == "SINGLE", F.array("_text")).when(F.col("_text").rlike("^,+$"), F.array().cast("array<string>")).otherwise(items)
     rows = rows.select(
-        "_id", "_body", "_field", "_text", F.when(ranged, _NUMBERS).otherwise(_TEXTS).alias("_kind"), F.when(~ranged, items).alias("_items"),
+        "_body", "_field", "_text", "_type", "_first", "_ids", F.when(ranged, _NUMBERS).otherwise(_TEXTS).alias("_kind"), F.when(~ranged, items).alias("_items"),
         number(2).alias("_low"), number(3).alias("_high"), F.when(ranged, part(1)).alias("_left"), F.when(ranged, part(4)).alias("_right"),
     )
     reversed_ = (F.col("_low") > F.col("_high")) | ((F.col("_low") == F.col("_high")) & (F.col("_left") == "(") & (F.col("_right") == ")"))
-    error = F.when(F.col("_low").isNull() | F.col("_high").isNull(), "unreadable range").when(
-        ~F.col("_left").isin("(", "[") | ~F.col("_right").isin(")", "]"), "unknown bracket in range"
-    ).when(reversed_, "reversed range")
-    wrong = rows.where(F.col("_kind") == _NUMBERS).withColumn("_error", error).where(F.col("_error").isNotNull()).limit(5).collect()
+    error = (
+        F.when(F.col("_field").isNull(), "unreadable rule body")
+        .when(F.col("_type").isNull(), "no match type")
+        .when(~F.col("_type").isin("SINGLE", "LIST", "RANGE"), "unknown match type")
+        .when(F.col("_text").isNull(), "no value")
+        .when(ranged & (F.col("_low").isNull() | F.col("_high").isNull()), "unreadable range")
+        .when(~F.col("_left").isin("(", "[") | ~F.col("_right").isin(")", "]"), "unknown bracket in range")
+        .when(reversed_, "reversed range")
+    )
+    rows = stored(rows.withColumn("_error", error))
+    wrong = rows.where(F.col("_error").isNotNull()).select("_first", "_field", "_error", "_text").limit(5).collect()
     if wrong:
-        raise RuleError("; ".join(f"label {r['_id']}: {r['_error']} {r['_text']!r}" for r in wrong))
-    return rows
+        raise RuleError("; ".join(f"label {r['_first']}: {r['_error']} ({r['_field']}: {r['_text']!r})" for r in wrong))
+    return rows.drop("_error", "_first", "_type")
 
 
 def _dimensions(rows: DataFrame) -> list[Dimension]:
     """Every field and kind that conditions read, with its distinct values."""
-    item = F.explode(F.when(F.col("_kind") == _NUMBERS, F.array("_low", "_high").cast("array<string>")).otherwise(F.col("_items"))).alias("_value")
-    distinct = rows.select("_field", "_kind", item).distinct()
-    named = rows.select("_field", "_kind").distinct().join(distinct.groupBy("_field", "_kind").agg(F.count(F.lit(1)).alias("n")), ["_field", "_kind"], "left")
-    counts = {(r["_field"], r["_kind"]): r["n"] or 0 for r in named.collect()}
-    for (field, _), count in counts.items():
+    values = F.when(F.col("_kind") == _NUMBERS, F.array("_low", "_high").cast("array<string>")).otherwise(F.col("_items"))
+    # A null keeps the field of a list without items.
+    distinct = stored(rows.select("_field", "_kind", F.explode_outer(values).alias("_value")).distinct())
+    out = []
+    for r in distinct.groupBy("_field", "_kind").agg(F.count("_value").alias("n")).orderBy("_field", "_kind").collect():
+        field, kind, count = r
         if count > MOST_VALUES:
             raise RuleError(f"{count} values of {field!r} in rules; at most {MOST_VALUES} fit one index, so split the catalog by label")
-    # A double reads back from its text as it was.
-    arrays = stored(
-        distinct.groupBy("_field", "_kind").agg(
-            F.sort_array(F.collect_list("_value")).alias("texts"), F.sort_array(F.collect_list(F.col("_value").try_cast("double"))).alias("numbers")
-        )
-    )
-    out = []
-    for field, kind in sorted(counts):
-        mine = arrays.where((F.col("_field") == field) & (F.col("_kind") == kind))
-        out.append(Dimension(field, kind, mine.select(F.col("numbers" if kind == _NUMBERS else "texts").alias("values")), counts[field, kind]))
+        mine = distinct.where((F.col("_field") == field) & (F.col("_kind") == kind) & F.col("_value").isNotNull())
+        value = F.col("_value").try_cast("double") if kind == _NUMBERS else F.col("_value")
+        # Sorted by Spark, as it compares them.
+        found = mine.agg(F.sort_array(F.collect_list(value)).alias("values")).first()[0]
+        out.append(Dimension(field, kind, tuple(found)))
     return out
 
 
@@ -171,11 +181,10 @@ def rule_index(catalog: DataFrame) -> RuleIndex:
     """The index of all rules of ``catalog`` (``id``, ``value``); rules that share an id are alternatives.
 
     The meaning is that of `rules.label_columns`. A body that cannot be read is an error, as it is there. Rules are
-    read, cut and joined as rows, and kept in the shared folder; the driver gets the names of their fields and the
-    number of their values.
+    read, cut and joined as rows, and kept in the shared folder; the driver gets the names of their fields and their
+    different values, `MOST_VALUES` of a field at most.
     """
-    rows = _conditions(catalog).where(F.col("_id").isNotNull())
-    rows = stored(rows.groupBy("_body", "_field", "_text", "_kind", "_items", "_low", "_high", "_left", "_right").agg(F.collect_set("_id").alias("_ids")))
+    rows = _conditions(catalog)
     dimensions = _dimensions(rows)
     placed = []
     for i, d in enumerate(dimensions):

@@ -163,9 +163,11 @@ VIEWS = {
         select cast(p_size as varchar) id, p_type kind, floor(p_retailprice / 100) * 100 low,
                floor(p_retailprice / 100) * 100 + 100 high
         from part where p_type <> 'PROMO'""",
-    "rule_bodies": """
-        select kind, low, high, string_agg(distinct id, ',' order by id) ids, cast(count(distinct id) as integer) n
-        from part_rules group by kind, low, high""",
+    "narrow_rules": """
+        select 'p' || (p_partkey % 997) id, p_type kind,
+               cast(cast(p_retailprice as decimal(12, 2)) - cast(p_partkey % 10 + 1 as decimal(12, 2)) / 10 as double) low,
+               cast(cast(p_retailprice as decimal(12, 2)) + cast(p_partkey % 10 + 1 as decimal(12, 2)) / 10 as double) high
+        from part""",
     "order_documents": """
         select cast(o_custkey as varchar) id, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) labels,
                arg_max(o_orderstatus, (o_orderdate, o_orderkey)) state
@@ -277,9 +279,15 @@ ORACLES = {
         from part left join part_rules r on p_type = r.kind and p_retailprice >= r.low and p_retailprice < r.high
         group by p_partkey""",
     "line_labels": """
-        select l_orderkey, l_linenumber, coalesce(n, 0) n_labels, coalesce(ids, '') labels
-        from lineitem join part on l_partkey = p_partkey left join rule_bodies b
-             on p_type = b.kind and l_extendedprice / l_quantity >= b.low and l_extendedprice / l_quantity < b.high""",
+        , pieces as (select l_orderkey, l_linenumber, l_extendedprice / l_quantity price, p_type kind
+                     from lineitem join part on l_partkey = p_partkey),
+        found as (
+            select p.price, p.kind, cast(count(distinct r.id) as integer) n, min(r.id) first_id
+            from (select distinct price, kind from pieces) p join narrow_rules r on p.kind = r.kind and p.price > r.low and p.price <= r.high
+            group by all
+        )
+        select l_orderkey, l_linenumber, coalesce(n, 0) n_labels, first_id first_label
+        from pieces left join found using (price, kind)""",
     "composite_attr": "select * from visit_attributes",
     "multi_hot": "select id, concat_ws(',', " + ", ".join(f"label_{i}" for i in _FLAG_IDS) + ") flags from user_flags",
     "multi_hot_wide": "select id, "

@@ -311,6 +311,17 @@ def readable_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part_catalog(spark, sf_dir).where(F.length("value") > 0)
 
 
+def narrow_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One rule per part: its kind, and an interval of up to a unit to either side of its price. Nearly all differ."""
+    price, wide = F.col("p_retailprice").cast("decimal(12,2)"), (F.col("p_partkey") % 10 + 1).cast("decimal(12,2)") / 10
+    low, high = ((price + sign * wide).cast("decimal(12,2)").cast("string") for sign in (-1, 1))
+    body = F.concat(
+        F.lit('{"price":{"value":"('), low, F.lit(","), high, F.lit(']","type":"range"},"kind":{"value":"'),
+        F.col("p_type"), F.lit(',OTHER,","type":"list"}}'),
+    )
+    return table(spark, sf_dir, "part").select(F.concat(F.lit("p"), (F.col("p_partkey") % 997).cast("string")).alias("id"), body.alias("value"))
+
+
 def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of a user and event type in a part of a month: open ones, restarts, and ends without a start."""
     value = F.col("value")
