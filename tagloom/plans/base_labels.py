@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable, Collection, Iterable, Sequence
 from dataclasses import dataclass, field
 
@@ -13,7 +14,7 @@ from tagloom.operators.joins import Salt, join_tags
 from tagloom.operators.rules import Rule, RulesById
 from tagloom.operators.tags import tag_source
 from tagloom.sinks.period import save_period
-from tagloom.sinks.runlog import COMPLETE, FAILED, STARTED, RunLog
+from tagloom.sinks.runlog import COMPLETE, FAILED, STARTED, RunLog, complete_jobs
 from tagloom.sources.catalog import label_tasks, read_rules, screen_tasks
 from tagloom.sources.tables import period_scan
 
@@ -56,6 +57,33 @@ def label_source(
     return tag_source(snapshot, sorted(label_ids), rules, id_column)
 
 
+class UnitStore:
+    """Saved labels of work units, so that a run that starts again computes only what is not there.
+
+    A unit is saved as a period of a table of its own, and is complete once the run log says so: units that were
+    logged complete for the period are read, all others are labelled and saved.
+    """
+
+    def __init__(self, spark: SparkSession, database: str, log: RunLog) -> None:
+        self.spark, self.database, self.log = spark, database, log
+        self.read: list[str] = []
+
+    def _job(self, source: str, partition_field: str) -> str:
+        return f"unit {source}/{partition_field}"
+
+    def unit(self, source: str, partition_field: str, period: str, label: Callable[[], DataFrame]) -> DataFrame:
+        """The labels of the unit: saved by an earlier run, or what ``label`` gives, saved and logged."""
+        job = self._job(source, partition_field)
+        table = f"{self.database}.`unit_{re.sub('[^A-Za-z0-9_]', '_', f'{source}_{partition_field}')}`"
+        if self.spark.catalog.tableExists(self.log.table) and job in complete_jobs(self.spark.read.table(self.log.table), period):
+            self.read.append(job)
+            saved = self.spark.read.table(table)
+        else:
+            with self.log.run(job, period):
+                saved = save_period(label(), table, period, partition_field="_period")
+        return period_scan(saved, "_period", period).select("id", "labels")
+
+
 def base_labels(
     read: Callable[[str], DataFrame],
     catalog: DataFrame,
@@ -66,6 +94,7 @@ def base_labels(
     id_column: str,
     unique: Collection[str] = (),
     salted: bool = True,
+    kept: UnitStore | None = None,
 ) -> BaseLabels:
     """Label all work units of the enabled sources and join them to ``main`` on user id.
 
@@ -73,7 +102,8 @@ def base_labels(
     labelled, for whatever reason, is reported and left out; without the main source there is no result,
     nor if the main source has rules in several partition fields, as none of them is the main one. Labels
     come in the order main, then ``enabled``, by partition field within a source, and ascending within a
-    unit. ``salted=False`` skips the search for ids that fill a large share of the main source.
+    unit. ``salted=False`` skips the search for ids that fill a large share of the main source. ``kept`` saves what
+    each unit gives, and gives back what an earlier run of the period has saved.
     """
     tasks = screen_tasks(label_tasks(catalog), enabled)
     rules = read_rules(catalog, tasks)
@@ -89,9 +119,8 @@ def base_labels(
             try:
                 if source == main and len(units[main]) > 1:
                     raise ValueError(f"{len(units[main])} work units of the main source")
-                labelled[name] = label_source(
-                    read, source, partition_field, period, unit.pids.split("#"), rules, id_column
-                )
+                label = lambda: label_source(read, source, partition_field, period, unit.pids.split("#"), rules, id_column)  # noqa: B023, E731
+                labelled[name] = label() if kept is None else kept.unit(source, partition_field, period, label)
                 statuses.append(SourceStatus(source, COMPLETE, "complete", partition_field))
             except Exception as e:  # whatever it is, the other sources go on
                 statuses.append(SourceStatus(source, FAILED, str(e), partition_field))
@@ -118,17 +147,21 @@ def run_base_labels(
     period: str | None = None,
     *,
     today: dt.date | None = None,
+    units: str | None = None,
     **options,
 ) -> BaseLabels:
     """The whole monthly job on catalog tables: label, join, save the period, write the run log.
 
     Without ``period`` it is the month before ``today``. The run is logged from before the plan is made;
-    what became of each work unit is logged in either case.
+    what became of each work unit is logged in either case. With ``units``, a database, the labels of every work unit
+    are saved there (`UnitStore`), and a job that is started again after a failure labels only the units that are not
+    complete. Drop the database to label all anew.
     """
     period = period or previous_period(today or dt.date.today())
     with log.run(target, period):
         try:
-            plan = base_labels(spark.read.table, spark.read.table(catalog), period, **options)
+            kept = None if units is None else UnitStore(spark, units, log)
+            plan = base_labels(spark.read.table, spark.read.table(catalog), period, kept=kept, **options)
         except MainSourceError as e:
             _log_sources(log, period, e.statuses)
             raise

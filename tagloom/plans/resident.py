@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, Row
 
@@ -13,13 +14,13 @@ from tagloom.sources.catalog import label_tasks_single, read_rules
 from tagloom.sources.tables import period_scan
 
 
-def single_unit(catalog: DataFrame, source: str) -> tuple[Row, RulesById]:
-    """The one work unit of a source and its rules; one with rows in several partition fields has no single unit."""
+def work_units(catalog: DataFrame, source: str) -> tuple[list[Row], RulesById]:
+    """The work units of a source, one for each partition field of its rules, by that field, and their rules."""
     tasks = label_tasks_single(catalog, source)
-    units = tasks.collect()
-    if len(units) != 1:
-        raise ValueError(f"source {source!r} has {len(units)} work units in the catalog")
-    return units[0], read_rules(catalog, tasks)
+    units = sorted(tasks.collect(), key=lambda u: u.partition_field or "")
+    if not units:
+        raise ValueError(f"source {source!r} has 0 work units in the catalog")
+    return units, read_rules(catalog, tasks)
 
 
 def resident_attributes(
@@ -31,10 +32,16 @@ def resident_attributes(
     id_column: str,
     place_column: str,
 ) -> DataFrame:
-    """``(id, labels)``: the composite attributes of each user, sorted and joined by comma."""
-    unit, rules = single_unit(catalog, source)
-    snapshot = period_scan(read(source), unit.partition_field, period)
-    attributes = composite_attribute(
-        snapshot, sorted(unit.pids.split("#")), rules, id_column, place_column
-    )
-    return invert_membership(attributes, "id", "labels")
+    """``(id, labels)``: the composite attributes of each user, sorted and joined by comma.
+
+    If the rules of the source name several partition fields, the rows of the period by each field have the
+    attributes of that field's rules, and a user has those of all.
+    """
+    units, rules = work_units(catalog, source)
+    attributes = [
+        composite_attribute(
+            period_scan(read(source), unit.partition_field, period), sorted(unit.pids.split("#")), rules, id_column, place_column
+        )
+        for unit in units
+    ]
+    return invert_membership(reduce(DataFrame.unionByName, attributes), "id", "labels")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.dates import fmt_datetime_19
 from tagloom.functions.text import single_to_double_quotes
+from tagloom.sinks.buckets import replace_table
 
 # The columns of the run log and its status codes.
 RUN_KEY = ["job_id", "job_name", "job_period"]
@@ -61,6 +62,38 @@ class RunLog:
         self.append(job_name, job_period, [(COMPLETE, "complete")], job_desc)
 
 
+def compacted_events(events: DataFrame) -> DataFrame:
+    """At most four events of each run, from which `run_log_latest` says the same: its first and its last start, and the last event.
+
+    The start with the earliest time gives ``create_time``, the last one the description. Ends without a start stay, as a
+    start may still come late.
+    """
+    at = F.struct("event_time", "event_id")
+    rest = [c for c in events.columns if c not in RUN_KEY]
+    event, started = F.struct(*rest), F.col("status") == STARTED
+    kept = F.array_distinct(
+        F.array_compact(
+            F.array(F.min_by(event, F.when(started, at)), F.max_by(event, F.when(started, at)), F.max_by(event, at))
+        )
+    )
+    runs = events.groupBy(*RUN_KEY).agg(kept.alias("_kept"))
+    return runs.select(*RUN_KEY, F.explode("_kept").alias("_event")).select(*[F.col(c) if c in RUN_KEY else F.col(f"_event.{c}") for c in events.columns])
+
+
+def compact_run_log(spark: SparkSession, table: str, file_format: str = "orc") -> DataFrame:
+    """Fold the event table into `compacted_events`, in few files, and put it in the place of the old one at once.
+
+    Run it when no job is writing; events that are appended meanwhile would be lost.
+    """
+    return replace_table(compacted_events(spark.read.table(table)).coalesce(max(1, spark.sparkContext.defaultParallelism)), table, file_format)
+
+
+def complete_jobs(log: DataFrame, job_period: str) -> set[str]:
+    """The names of the jobs whose latest run of the period, of any application, ended complete."""
+    latest = log.where(F.col("job_period") == job_period).groupBy("job_name").agg(F.max_by("status", F.struct("event_time", "event_id")).alias("status"))
+    return {r["job_name"] for r in latest.where(F.col("status") == COMPLETE).collect()}
+
+
 def run_log_latest(events: DataFrame) -> DataFrame:
     """One row per run that was started, with its description and its latest status and result.
 

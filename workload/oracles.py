@@ -235,6 +235,12 @@ ORACLES = {
     "period_scan": "select * from orders_monthly where month_id = '199806'",
     "default_period_scan": "select * from orders_monthly where month_id = '199806'",
     "table_scan": "select * from orders",
+    "statement_scan": """
+        select o_orderkey, o_custkey, 'it''s'' or ''1'' = ''1' note from orders
+        where o_orderpriority = '1-URGENT' and o_orderdate >= date '1997-01-01' and o_totalprice > 1000""",
+    "controlled_periods": """
+        select id, old_labels labels, month_id from history
+        where month_id in (select month_id from history group by month_id having count(*) % 2 = 0)""",
     "label_catalog": "select * from part_catalog where id = '10'",
     "label_tasks": "select * from part_tasks",
     "label_tasks_single": """
@@ -408,6 +414,7 @@ ORACLES = {
         select id, array_to_string(list_filter(string_split(labels, ','), lambda x: x <> ''), ',') labels from gappy""",
     "save_period": _saved("199706"),
     "save_default_period": _saved("199707"),
+    "publish_period": "select id, case when month_id = '199806' then new_labels else old_labels end labels, month_id from history",
     "rolling_append": """
         select id, old_labels labels, month_id from history where month_id <> '199804'
         union all select id, new_labels, month_id from history where month_id = '199806'""",
@@ -451,6 +458,13 @@ ORACLES = {
                case when arg_max(status, (ts, event_id)) <> '0' then strftime(max(ts), '%Y-%m-%d %H:%M:%S') end end_time,
                arg_max(status, (ts, event_id)) status, 'it"s ' || job_name result
         from run_events group by job_id, job_name, job_period having count(*) filter (where status = '0') > 0""",
+    "run_log_compacted": """
+        select job_id, job_name, arg_max(job_desc, (ts, event_id)) filter (where status = '0') job_desc, job_period,
+               arg_max(project, (ts, event_id)) filter (where status = '0') project,
+               strftime(min(ts) filter (where status = '0'), '%Y-%m-%d %H:%M:%S') create_time,
+               case when arg_max(status, (ts, event_id)) <> '0' then strftime(max(ts), '%Y-%m-%d %H:%M:%S') end end_time,
+               arg_max(status, (ts, event_id)) status, 'it"s ' || job_name result
+        from run_events group by job_id, job_name, job_period having count(*) filter (where status = '0') > 0""",
     "csv_split": "select id, cast(len(items) as integer) n, array_to_string(items, '|') items from gappy_items",
     "csv_join": "select user_id, segment || ',' || nation joined from user_profile",
     "csv_clean_split": "select user_id, 2 n, segment || '|' || nation items from user_profile",

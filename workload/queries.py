@@ -14,9 +14,9 @@ from tagloom.operators import aggregates, audiences, changes, documents, posting
 from tagloom.plans import base_labels as labels_plan
 from tagloom.plans import doc_update, jobs, resident, station_report, user_markets
 from tagloom.settings import apply_settings
-from tagloom.sinks import buckets, keyvalue, period, relational, runlog
+from tagloom.sinks import buckets, keyvalue, period, relational, runlog, staged
 from tagloom.sinks.scratch import shared_database
-from tagloom.sources import catalog, tables
+from tagloom.sources import catalog, statements, tables
 from workload import standins as s
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,31 @@ def period_scan(spark, sf):
     return tables.period_scan(s.orders_monthly(spark, sf), "month_id", ORDER_PERIOD)
 
 
+@query
+def statement_scan(spark, sf):
+    """A statement with parameters, one of them with quotes and SQL in it."""
+    s.table(spark, sf, "orders").createOrReplaceTempView("tagloom_statement_orders")
+    text = """
+        select o_orderkey, o_custkey, '{note}' note from tagloom_statement_orders
+        where o_orderpriority = '{priority}' and o_orderdate >= {since} and o_totalprice > {least} and o_orderstatus <> '{note}'"""
+    return statements.statement(spark, text, {"priority": "1-URGENT", "since": dt.date(1997, 1, 1), "least": 1000, "note": "it's' or '1' = '1"})
+
+
+def _control(spark, sf):
+    """The months with an even number of orders are enabled."""
+    months = s.orders_monthly(spark, sf).groupBy("month_id").agg((F.count(F.lit(1)) % 2 == 0).alias("enabled"))
+    return months.select(F.lit("order_labels").alias("source_name"), F.col("month_id").alias("period"), "enabled")
+
+
+@query
+def controlled_periods(spark, sf):
+    """The periods of a saved table that a control table names."""
+    history = tables.table_scan(spark, _label_history(spark, sf))
+    control = f"{shared_database(spark)}.control"
+    _control(spark, sf).write.saveAsTable(control)
+    return statements.controlled_scan(history, tables.table_scan(spark, control), "order_labels", "month_id").select("id", "labels", "month_id")
+
+
 @query
 def default_period_scan(spark, sf):
     return tables.default_period_scan(s.orders_monthly(spark, sf), "month_id", TODAY)
@@ -565,6 +590,13 @@ def save_default_period(spark, sf):
     return period.save_default_period(new, _label_history(spark, sf), TODAY)
 
 
+@query
+def publish_period(spark, sf):
+    """A period staged, checked and put in the place of the old one."""
+    new = tables.period_scan(s.order_labels(spark, sf, "o_orderstatus"), "month_id", ORDER_PERIOD)
+    return staged.publish_period(new, _label_history(spark, sf), ORDER_PERIOD)
+
+
 @query
 def rolling_append(spark, sf):
     return relational.rolling_append(s.order_labels(spark, sf, "o_orderstatus"), _label_history(spark, sf), ORDER_PERIOD)
@@ -643,6 +675,12 @@ def run_log_latest(spark, sf):
     return runlog.run_log_latest(s.run_events(spark, sf))
 
 
+@query
+def run_log_compacted(spark, sf):
+    """The latest state from the events that compaction keeps."""
+    return runlog.run_log_latest(runlog.compacted_events(s.run_events(spark, sf)))
+
+
 # Text functions
 
 
