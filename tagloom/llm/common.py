@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.sinks.scratch import shared_folder
+from tagloom.sinks.scratch import stored as settled  # noqa: F401
 
 #: The white space of the contracts, as a regular expression class and as characters.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -21,13 +21,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and read back: computed once, and no lost executor takes it along."""
-    path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def unused(df: DataFrame, name: str) -> str:
     """``name``, with as many underscores before it as keep it apart from the columns of ``df``."""
     taken = {c.lower() for c in df.columns}

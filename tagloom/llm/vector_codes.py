@@ -16,8 +16,8 @@ from tagloom.llm.vectors import exact, matrix_rows, whole_vectors
 PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
 #: Whole numbers stay below this, that is components below 8,192: then distances of up to 4,096 components fit a long.
 LIMIT = 1 << 23
-#: So many entries of a list are looked at in one step, and so many vectors walk together.
-STEP, TOGETHER = 16, 8192
+#: So many entries of a list are looked at in one step; vectors walk together as long as a step has so many components.
+STEP, COMPONENTS = 16, 1 << 20
 
 
 class Orchard:
@@ -34,13 +34,15 @@ class Orchard:
         apart = np.stack([((self.entries - e) ** 2).sum(1) for e in self.entries])
         self.lists = np.argsort(apart, axis=1, kind="stable")
         self.radii = np.take_along_axis(apart, self.lists, 1)
+        self.norms = (self.entries * self.entries).sum(1)
         self.sums = self.entries.sum(1)
         self.by_sum = np.argsort(self.sums, kind="stable")
         self.looked_at = 0
 
     def nearest(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Index of and squared distance to each vector's nearest entry; of equally near ones the lowest index."""
-        found = [self._walk(vectors[i : i + TOGETHER].astype(self.entries.dtype)) for i in range(0, len(vectors), TOGETHER)]
+        together = max(64, COMPONENTS // (STEP * max(1, vectors.shape[1])))
+        found = [self._walk(vectors[i : i + together].astype(self.entries.dtype)) for i in range(0, len(vectors), together)]
         if not found:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]).astype(np.int64)
@@ -49,7 +51,9 @@ class Orchard:
         count = len(self.entries)
         # Any start is right; the entry with the nearest sum of components is a cheap good one.
         current = self.by_sum[np.minimum(np.searchsorted(self.sums[self.by_sum], x.sum(1)), count - 1)]
+        norms = (x * x).sum(1)
         best = ((x - self.entries[current]) ** 2).sum(1)
+        far = np.inf if x.dtype == np.float64 else np.iinfo(np.int64).max
         seen = np.zeros((len(x), count), bool)
         seen[np.arange(len(x)), current] = True
         at = np.zeros(len(x), np.int64)
@@ -58,15 +62,15 @@ class Orchard:
             places = at[walking, None] + np.arange(STEP)
             inside = places < count
             places = np.minimum(places, count - 1)
-            held = current[walking]
-            entries, radii = self.lists[held[:, None], places], self.radii[held[:, None], places]
-            within = inside & (radii <= 4 * best[walking, None])
-            new = within & ~seen[walking[:, None], entries]
-            i, j = np.nonzero(new)
-            near = np.full(entries.shape, np.inf if x.dtype == np.float64 else np.iinfo(np.int64).max, x.dtype)
-            near[i, j] = ((x[walking[i]] - self.entries[entries[i, j]]) ** 2).sum(1)
-            seen[walking[i], entries[i, j]] = True
-            self.looked_at += len(i)
+            held, owner = current[walking], walking[:, None]
+            entries = self.lists[held[:, None], places]
+            within = inside & (self.radii[held[:, None], places] <= 4 * best[owner])
+            new = within & ~seen[owner, entries]
+            seen[owner, entries] |= new
+            self.looked_at += np.count_nonzero(new)
+            # |x - e|^2 as |x|^2 - 2 x e + |e|^2, all of whole numbers.
+            product = np.einsum("nd,nkd->nk", x[walking], self.entries[entries])
+            near = np.where(new, norms[owner] - 2 * product + self.norms[entries], far)
             least = near.min(1)
             lowest = np.where(near == least[:, None], entries, count).min(1)
             better = (least < best[walking]) | ((least == best[walking]) & (lowest < held))
