@@ -1,6 +1,7 @@
 """Catalog, tables, run log and the monthly jobs end to end on catalog tables."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from tagloom.sinks import buckets
 from tagloom.sinks import period as p
 from tagloom.sinks.relational import jdbc_write_options, rolling_append
 from tagloom.sinks.runlog import EVENT_SCHEMA, RunLog, run_log_latest
-from tagloom.sinks.scratch import drop_scratch, shared_database, shared_folder
+from tagloom.sinks.scratch import drop_scratch, shared_database, shared_folder, stored
 from tagloom.sources import catalog as c
 from tagloom.sources import tables as t
 from workload import standins as s
@@ -270,8 +271,11 @@ def test_shared_folder_comes_from_the_session(spark):
 def test_scratch_databases_are_dropped(spark):
     name = shared_database(spark)
     spark.range(3).write.saveAsTable(f"{name}.t")
+    kept = stored(spark.range(3))
+    folder = os.path.dirname(kept.inputFiles()[0].removeprefix("file://"))
+    assert kept.count() == 3 and os.path.isdir(folder)
     drop_scratch(spark)
-    assert not spark.catalog.databaseExists(name)
+    assert not spark.catalog.databaseExists(name) and not os.path.exists(folder)
 
 
 def test_run_log(spark, rows, database):
