@@ -41,7 +41,7 @@ def sample_cuts(rows: DataFrame, columns: Sequence[str], buckets: int) -> Column
     total = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
     # Of so many rows about 1.2 times the wanted ones lie below; all rows, if there are not many more than wanted.
     spread = F.shiftrightunsigned(F.xxhash64(*columns), 11).cast("double") / F.lit(float(2**53))
-    few = rows.withColumn("_hash", spread).where(F.col("_hash") * total <= 1.2 * wanted + 8 * wanted**0.5)
+    few = rows.withColumn("_hash", spread).where(F.col("_hash") * total <= 1.2 * wanted + 4 * wanted**0.5)
     sample = few.select(F.struct(*columns).alias("_row"), "_hash").orderBy("_hash", "_row").limit(wanted)
     return (
         sample.agg(F.sort_array(F.collect_list("_row")).alias("sample"))

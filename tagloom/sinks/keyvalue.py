@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tagloom.operators.indexing import global_positions, last_position
 from tagloom.operators.joins import repeat_rows
+from tagloom.sinks.scratch import stored
 
 
 def _columns(spec: str) -> list[Column]:
@@ -114,8 +115,10 @@ def merge_sets(state: DataFrame, new: DataFrame) -> DataFrame:
 def merge_lists(state: DataFrame, new: DataFrame) -> DataFrame:
     """``(key, pos, element)``: new elements take the first positions, the old ones of their key move up by as many.
 
-    Pushed again, elements are there twice, as in the store. One row for each key of ``new`` is joined to the state.
+    Pushed again, elements are there twice, as in the store. One row for each key of ``new`` is joined to the state;
+    the new elements are stored first, as they are counted and read.
     """
+    new = stored(new.select("key", "pos", "element"))
     pushed = new.groupBy("key").agg(F.count(F.lit(1)).alias("_pushed"))
     moved = state.join(pushed, "key", "left").select("key", (F.col("pos") + F.coalesce("_pushed", F.lit(0))).alias("pos"), "element")
     return moved.unionByName(new.select("key", "pos", "element"))

@@ -56,7 +56,7 @@ def test_the_sample_is_small_whatever_the_tasks(spark, partitions):
     assert len(cuts.first()[0]) == 16
     total, wanted = 100_000, 16 * indexing.ROWS_PER_CUT
     spread = F.shiftrightunsigned(F.xxhash64("o"), 11).cast("double") / F.lit(float(2**53))
-    assert wanted <= rows.where(spread * total <= 1.2 * wanted + 8 * wanted**0.5).count() <= 50 * 16
+    assert wanted <= rows.where(spread * total <= 1.2 * wanted + 4 * wanted**0.5).count() <= 50 * 16
 
 
 def test_a_hot_row_is_one_row(spark, plan):

@@ -639,7 +639,7 @@ def _merged(spark, sf, kind, **options):
     """The entries of a month in a store that holds those of the month before."""
     monthly = s.orders_monthly(spark, sf)
     state, new = (keyvalue.key_value_entries(tables.period_scan(monthly, "month_id", p), kind, **options) for p in (BEFORE, ORDER_PERIOD))
-    return keyvalue.merge_entries(state, new, kind)
+    return keyvalue.merge_entries(buckets.table_store(f"{shared_database(spark)}.entries")(state), new, kind)
 
 
 @query
