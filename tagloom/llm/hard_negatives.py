@@ -221,7 +221,8 @@ def _search(clusters: DataFrame, lists: DataFrame, same_label: bool, count: int)
     Which cluster meets which list is decided on their bounds alone: no member can find in the list what it needs if
     the angles leave no score that high. Every cluster that remains walks the list.
     """
-    slices = int(clusters.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The bounds of all lists go to every slice of the clusters; there are never more slices than clusters.
+    slices = max(1, min(int(clusters.sparkSession.conf.get("spark.sql.shuffle.partitions")), clusters.count()))
     slice_of = F.pmod(F.hash("_cell", "_part"), F.lit(slices)).alias("_slice")
     few = clusters.select(
         "_length", F.col("_cell").alias("_a_cell"), F.col("_part").alias("_a_part"), F.col("_centre").alias("_a_centre"),

@@ -17,6 +17,8 @@ from tagloom.llm.vectors import BLOCK_BYTES, binary_rows, dealt, matrix_rows, ve
 THRESHOLD = 0.93
 #: Products are accumulated over the first 8 axes, then up to axis 16, 32, ...
 FIRST_AXES = 8
+#: Principal axes are those of so many components at most, so that the driver's matrix is bounded; others stay as they are.
+AXES = 1024
 #: Cells of a label are cut along so many of the first axes.
 CELL_AXES = 2
 #: Rows of two tiles are compared so many at once.
@@ -69,25 +71,27 @@ def principal_axes(groups: DataFrame) -> tuple[int, np.ndarray]:
     """The most frequent length of the vectors and its principal axes, the one with the largest sum of squares first.
 
     Sums of products cover all vectors: a task sends its own sum, one row for each axis, and Spark adds them up. The
-    driver gets one square matrix. Any rotation gives the same links; this one makes the bounds tight early.
+    driver gets one square matrix, of the first `AXES` components. Any rotation gives the same links; this one makes
+    the bounds tight early.
     """
     lengths = groups.groupBy("_length").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "_length").first()
     if lengths is None:
         return 0, np.zeros((0, 0))
     length = lengths[0]
+    turned = min(length, AXES)
 
     def products(batches):
-        total = np.zeros((length, length))
+        total = np.zeros((turned, turned))
         for batch in batches:
-            unit = matrix_rows(batch.column(0), np.float64, length)
+            unit = matrix_rows(batch.column(0), np.float64, length)[:, :turned]
             total += unit.T @ unit
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(length, dtype=np.int32)), pa.array(list(total), pa.list_(pa.float64()))], names=["_axis", "_sums"]
+            [pa.array(np.arange(turned, dtype=np.int32)), pa.array(list(total), pa.list_(pa.float64()))], names=["_axis", "_sums"]
         )
 
     of_tasks = in_batches(groups.where(F.col("_length") == length).select("_unit"), products, "_axis int, _sums array<double>")
     flat = of_tasks.select("_axis", F.posexplode("_sums").alias("_other", "_sum"))
-    gram = np.zeros((length, length))
+    gram = np.zeros((turned, turned))
     for r in flat.groupBy("_axis", "_other").agg(F.sum("_sum").alias("s")).collect():
         gram[r["_axis"], r["_other"]] = r["s"]
     return length, np.linalg.eigh((gram + gram.T) / 2)[1][:, ::-1].copy()
@@ -106,7 +110,9 @@ def _celled(groups: DataFrame, length: int, axes: np.ndarray, threshold: float)
                 at = np.flatnonzero(lengths == n)
                 part = batch.take(pa.array(at))
                 unit = matrix_rows(part.column(part.num_columns - 1), np.float64, int(n))
-                turned = unit @ axes if n == length else unit
+                turned = unit.copy()
+                if n == length:
+                    turned[:, : len(axes)] = unit[:, : len(axes)] @ axes
                 lead = np.zeros((len(turned), CELL_AXES))
                 lead[:, : min(n, CELL_AXES)] = turned[:, :CELL_AXES]
                 cells = np.floor(lead / width).astype(np.int32)

@@ -86,6 +86,13 @@ def test_near_vectors_equal_all_pairs(spark, monkeypatch, threshold):
     assert got == want and max(w[1] for w in want) > 40 and len({w[2] for w in want}) > 20
 
 
+def test_few_axes_give_the_same_links(spark, monkeypatch):
+    monkeypatch.setattr(nv, "AXES", 5)
+    rows = clustered(2, 80)
+    got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in nv.near_vectors(frame(spark, rows)).collect()), key=repr)
+    assert got == linked_by_all_pairs(rows, 0.93)
+
+
 def test_near_vectors_of_nothing(spark):
     df = frame(spark, [(1, [1.0, 0.0], 1)])
     assert nv.near_vectors(df.limit(0)).collect() == []
