@@ -28,13 +28,10 @@ HEADLINE = [
     "resident_attributes",
     "label_tags",
     "match_range",
-    "line_labels",
     "invert_membership",
     "labels_append",
     "labels_add",
     "doc_upsert",
-    "label_changes_applied",
-    "station_label_overlap",
     "run_log_latest",
     "kv_string",
     "kv_list",
